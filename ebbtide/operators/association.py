@@ -12,26 +12,23 @@ from pyspark.sql import functions as F
 def _pair_correlations(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     """One row per pair. Each input row fans out to its pairs inside the map
     task and is combined there, so the shuffle carries one row per pair and
-    task. A constant column gives NULL instead of a division by zero."""
-    cells = F.array(
-        *[
-            F.struct(
-                F.lit(a).alias("column_a"),
-                F.lit(b).alias("column_b"),
-                F.col(a).cast("double").alias("_a"),
-                F.col(b).cast("double").alias("_b"),
-            )
-            for a, b in pairs
-        ]
-    )
+    task. Pairs are addressed by position, which keeps the generated code small.
+    A constant column gives NULL instead of a division by zero."""
+    names = list(dict.fromkeys(c for pair in pairs for c in pair))
+    at = {c: i for i, c in enumerate(names)}
+    grid = F.array(*[F.array(F.lit(at[a]), F.lit(at[b])) for a, b in pairs])
+    cells = df.select(F.array(*[F.col(c).cast("double") for c in names]).alias("_v"), F.explode(grid).alias("_p"))
+    a, b = F.get("_p", F.lit(0)), F.get("_p", F.lit(1))
+    lookup = F.lit(names)
     return (
-        df.select(F.inline(cells))
+        cells.select(a.alias("_i"), b.alias("_j"), F.get("_v", a).alias("_a"), F.get("_v", b).alias("_b"))
         .where("_a IS NOT NULL AND _b IS NOT NULL")
-        .groupBy("column_a", "column_b")
+        .groupBy("_i", "_j")
         .agg(
             F.count(F.lit(1)).alias("n"),
             F.try_divide(F.covar_pop("_a", "_b"), F.stddev_pop("_a") * F.stddev_pop("_b")).alias("r"),
         )
+        .select(F.get(lookup, F.col("_i")).alias("column_a"), F.get(lookup, F.col("_j")).alias("column_b"), "n", "r")
     )
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ebbtide.functions.columns import clip_upper
@@ -91,42 +91,26 @@ def histogram(
     keys = list(by) or ["_all"]
     source = counts if by else counts.select("*", one)
     flat = F.min("_v") == F.max("_v")
+    low = F.when(flat, F.min("_v") - 0.5).otherwise(F.min("_v"))
+    high = F.when(flat, F.max("_v") + 0.5).otherwise(F.max("_v"))
     ranges = settle(
-        source.groupBy(*keys).agg(
-            F.when(flat, F.min("_v") - 0.5).otherwise(F.min("_v")).alias("_lo"),
-            F.when(flat, F.max("_v") + 0.5).otherwise(F.max("_v")).alias("_hi"),
-            F.sum("_n").alias("_total"),
-        )
+        source.groupBy(*keys)
+        .agg(low.alias("_lo"), high.alias("_hi"), F.sum("_n").alias("_total"))
+        .withColumn("_width", (F.col("_hi") - F.col("_lo")) / F.lit(float(bins)))
     )
-    width = (F.col("_hi") - F.col("_lo")) / F.lit(float(bins))
-
-    def edge(i: Column) -> Column:
-        return F.when(i >= bins, F.col("_hi")).otherwise(i * width + F.col("_lo"))
-
-    guess = F.least(
-        F.floor((F.col("_v") - F.col("_lo")) * (F.lit(float(bins)) / (F.col("_hi") - F.col("_lo")))), F.lit(bins - 1)
-    ).cast("int")
-    g = F.col("_guess")
     # The edges decide where rounding put a value next to its bin.
-    cell = (
-        F.when(F.col("_v") < edge(g), g - 1)
-        .when((F.col("_v") >= edge(g + 1)) & (g != bins - 1), g + 1)
-        .otherwise(g)
-    )
+    v, lo, w, g = F.col("_v"), F.col("_lo"), F.col("_width"), F.col("_guess")
+    cell = F.when(v < g * w + lo, g - 1).when((v >= (g + 1) * w + lo) & (g < bins - 1), g + 1).otherwise(g)
     counted = (
         join_groups(source, ranges, keys)
-        .withColumn("_guess", guess)
+        .withColumn("_guess", F.least(((v - lo) / w).cast("int"), F.lit(bins - 1)))
         .withColumn("bin", cell)
         .groupBy(*keys, "bin")
-        .agg(
-            F.sum("_n").alias("n"),
-            F.first("_lo").alias("_lo"),
-            F.first("_hi").alias("_hi"),
-            F.first("_total").alias("_total"),
-        )
+        .agg(F.sum("_n").alias("n"), *[F.first(c).alias(c) for c in ("_lo", "_hi", "_width", "_total")])
     )
     b = F.col("bin")
-    out = counted.select(*by, "bin", edge(b).alias("lower"), edge(b + 1).alias("upper"), "n", "_total")
+    upper = F.when(b == bins - 1, F.col("_hi")).otherwise((b + 1) * w + lo)
+    out = counted.select(*by, "bin", (b * w + lo).alias("lower"), upper.alias("upper"), "n", "_total")
     if density:
         out = out.withColumn("density", F.col("n") / F.col("_total") / (F.col("upper") - F.col("lower")))
     return out.drop("_total")

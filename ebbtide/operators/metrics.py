@@ -146,8 +146,7 @@ def metric_record(
     ) / F.sum(F.col("pos") + F.col("neg"))
     ranking = ranked.agg(loss.alias("log_loss"), roc.alias("roc_auc"), ap.alias("pr_auc"))
     best = best_threshold(_with_f1(_sweep_counts(ranked.select("score", "pos", "neg"))))
-    one = F.lit(1).alias("_one")
-    both = ranking.select("*", one).join(F.broadcast(best.select("f1", "f1_threshold", one)), "_one")
+    both = _side_by_side(ranking, best.select("f1", "f1_threshold"))
     if rounded:
         out = both.select(
             *[F.round(m, 5).alias(m) for m in METRICS], F.round("f1_threshold", 2).alias("f1_threshold")
@@ -157,6 +156,12 @@ def metric_record(
     return out if run is None else out.select(F.lit(run).alias("run"), *out.columns)
 
 
+def _side_by_side(*rows: DataFrame) -> DataFrame:
+    """Columns of several one-row frames in one row, without a join."""
+    stacked = functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rows)
+    return stacked.agg(*[F.max(c).alias(c) for c in stacked.columns])
+
+
 def compare_runs(records: Sequence[DataFrame]) -> DataFrame:
     """Metric records of several runs, one row each."""
     return functools.reduce(DataFrame.unionByName, records)
@@ -272,9 +277,5 @@ def top_at_risk(pred: DataFrame, user: str, p: str = "y_prob", n: int = 100) ->
 
 def metric_lift(before: DataFrame, after: DataFrame, metric: str = "log_loss") -> DataFrame:
     """Improvement of one metric between two one-row records, in percent."""
-    one = F.lit(1).alias("_one")
-    return (
-        before.select(F.col(metric).alias("before"), one)
-        .join(after.select(F.col(metric).alias("after"), one), "_one")
-        .select("before", "after", percent_lift("before", "after").alias("improvement_pct"))
-    )
+    both = _side_by_side(before.select(F.col(metric).alias("before")), after.select(F.col(metric).alias("after")))
+    return both.withColumn("improvement_pct", percent_lift("before", "after"))

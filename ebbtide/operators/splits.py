@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ebbtide.operators.small import settle
+from ebbtide.session import durable
 
 HASH_BITS = 32
 SPACE = 1 << HASH_BITS
@@ -39,34 +40,34 @@ def stratified_split(
 def _exact_split(hashed: DataFrame, key: str, label: str, share: float) -> DataFrame:
     """Cut each class at its k-th smallest (hash, key).
 
-    A histogram over the top bits of the hash finds the cell the cut falls in;
-    only the rows of that cell, about one in 65,536, are then ranked.
+    A histogram over the top bits of the hash finds the cell the cut falls in.
+    Only the rows of that cell, about one in 65,536, are ranked to find the cut
+    itself; marking the rows is then a comparison, without a shuffle.
     """
-    cell = F.shiftright("_h", HASH_BITS - 16).alias("_cell")
-    cells = hashed.groupBy(label, cell).agg(F.count(F.lit(1)).alias("_n"))
+    cell = F.shiftright("_h", HASH_BITS - 16)
+    cells = durable(hashed.groupBy(label, cell.alias("_cell")).agg(F.count(F.lit(1)).alias("_n")))
     sizes = {r[label]: r["n"] for r in cells.groupBy(label).agg(F.sum("_n").alias("n")).collect()}
-    quota = _quotas(sizes, share)
-    quotas = settle(hashed.sparkSession.createDataFrame(
-        list(quota.items()), f"{label} {dict(hashed.dtypes)[label]}, _quota long"
-    ))
+    kind = dict(hashed.dtypes)[label]
+    quotas = hashed.sparkSession.createDataFrame(list(_quotas(sizes, share).items()), f"{label} {kind}, _quota long")
     upto = F.sum("_n").over(Window.partitionBy(label).orderBy("_cell"))  # at most 65,536 rows per class
-    cut = (
+    cut_cells = (
         cells.withColumn("_upto", upto)
-        .join(quotas, label)
+        .join(settle(quotas), label)
         .where((F.col("_upto") >= F.col("_quota")) & (F.col("_upto") - F.col("_n") < F.col("_quota")))
-        .select(label, F.col("_cell").alias("_cut"), (F.col("_quota") - F.col("_upto") + F.col("_n")).alias("_left"))
+        .select(label, "_cell", (F.col("_quota") - F.col("_upto") + F.col("_n")).alias("_rank"))
     )
-    placed = hashed.withColumn("_cell", F.shiftright("_h", HASH_BITS - 16)).join(settle(cut), label, "left")
-    below = F.coalesce(F.col("_cell") < F.col("_cut"), F.lit(False))
-    at_cut = F.coalesce(F.col("_cell") == F.col("_cut"), F.lit(False))
     rank = F.row_number().over(Window.partitionBy(label).orderBy("_h", key))
-    chosen = (
-        placed.where(at_cut).select(label, key, "_h", "_left").withColumn("_rank", rank).where("_rank <= _left")
-        .select(key, F.lit(1).alias("_chosen"))
+    cuts = (
+        hashed.select(label, key, "_h", cell.alias("_cell"))
+        .join(settle(cut_cells), [label, "_cell"])
+        .withColumn("_rn", rank)
+        .where("_rn = _rank")
+        .select(label, F.struct("_h", key).alias("_cut"))
     )
+    inside = F.coalesce(F.struct("_h", key) <= F.col("_cut"), F.lit(False))
     return (
-        placed.join(chosen, key, "left")
-        .withColumn("is_test", (below | (at_cut & F.col("_chosen").isNotNull())).cast("int"))
+        hashed.join(settle(cuts), label, "left")
+        .withColumn("is_test", inside.cast("int"))
         .select(*[c for c in hashed.columns if c != "_h"], "is_test")
     )
 

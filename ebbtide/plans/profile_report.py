@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ebbtide.functions.columns import days_between, less_flag, normalize_category, parse_ymd, safe_divide, zero_to_null
 from ebbtide.operators import association, audit, distributions, segments
 from ebbtide.operators.distinct import sums_and_distinct
-from ebbtide.operators.latest import latest_rows
+from ebbtide.operators.latest import latest_and_totals, latest_rows
 from ebbtide.plans.features import GENDERS, ID, TARGET, member_features
 from ebbtide.sources.files import inventory
 
@@ -66,8 +66,8 @@ def transaction_summary(transactions: DataFrame) -> DataFrame:
     per user, so that the distinct count is a plain count."""
     discounted = less_flag("actual_amount_paid", "plan_list_price")
     sums = {
-        "plan_days": F.col("payment_plan_days"), "list_price": F.col("plan_list_price").cast("decimal(18,2)"),
-        "amount_paid": F.col("actual_amount_paid").cast("decimal(18,4)"),
+        "plan_days": F.col("payment_plan_days"), "list_price": F.col("plan_list_price"),
+        "amount_paid": F.col("actual_amount_paid"),
     }
     per_user = transactions.groupBy(ID).agg(
         F.count(F.lit(1)).alias("n"),
@@ -105,16 +105,24 @@ def log_range(logs: DataFrame) -> DataFrame:
     )
 
 
+def history_totals() -> dict[str, Column]:
+    return {
+        "txn_count": F.count(F.lit(1)),
+        "_on": F.max("transaction_date"),
+        "_until": F.max("membership_expire_date"),
+    }
+
+
 def payment_history(transactions: DataFrame) -> DataFrame:
     """Payments per user and days from the last payment to the last paid day,
     from the greatest raw dates, parsed strictly."""
-    per_user = transactions.groupBy(ID).agg(
-        F.count(F.lit(1)).alias("txn_count"),
-        F.max("transaction_date").alias("_on"),
-        F.max("membership_expire_date").alias("_until"),
-    )
+    per_user = transactions.groupBy(ID).agg(*[agg.alias(name) for name, agg in history_totals().items()])
+    return _with_gap(per_user).select(ID, "txn_count", "days_until_expiry")
+
+
+def _with_gap(per_user: DataFrame) -> DataFrame:
     gap = days_between(parse_ymd("_on", strict=True), parse_ymd("_until", strict=True))
-    return per_user.select(ID, "txn_count", gap.alias("days_until_expiry"))
+    return per_user.withColumn("days_until_expiry", gap)
 
 
 def user_activity(logs: DataFrame, window: tuple[int, int] | None = None) -> DataFrame:
@@ -142,21 +150,21 @@ def mini_features(
     labels: DataFrame, members: DataFrame, transactions: DataFrame, logs: DataFrame, as_of: str,
     ties: Sequence[str], window: tuple[int, int] | None = None,
 ) -> DataFrame:
-    """The small numeric table behind the correlation report."""
-    last = latest_rows(transactions, ID, "transaction_date", ties).select(
-        ID,
-        F.col("is_auto_renew").alias("last_auto_renew"),
-        F.col("is_cancel").alias("last_cancel"),
-        F.col("payment_plan_days").alias("last_plan_days"),
-        F.col("actual_amount_paid").alias("_paid"),
-        F.col("plan_list_price").alias("_list"),
+    """The small numeric table behind the correlation report. Payments are read
+    once: the latest row and the history come from one aggregation."""
+    paid = latest_and_totals(
+        transactions, ID, "transaction_date", ties,
+        latest={
+            "last_auto_renew": "is_auto_renew", "last_cancel": "is_cancel", "last_plan_days": "payment_plan_days",
+            "_paid": "actual_amount_paid", "_list": "plan_list_price",
+        },
+        totals=history_totals(),
     )
     return (
         labels.join(member_features(members, as_of).select(ID, "age", "tenure_days"), ID, "left")
-        .join(last, ID, "left")
-        .withColumn("has_discount", less_flag("_paid", "_list"))
-        .join(payment_history(transactions), ID, "left")
+        .join(_with_gap(paid), ID, "left")
         .join(user_activity(logs, window), ID, "left")
+        .withColumn("has_discount", less_flag("_paid", "_list"))
         .select(ID, *MINI)
     )
 

@@ -1,11 +1,13 @@
 """The four logical inputs derived from the shared order and event tables.
 
-Money is summed as DECIMAL, so that results do not depend on task order.
+Money is summed in whole cents, so that results do not depend on task order.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import decimal
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbtide.functions.columns import date_literal, ymd_of
@@ -31,6 +33,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _hundredths(name: str) -> Column:
+    return F.rint(F.col(name) * 100).cast("long")
+
+
 def _orders_before(spark: SparkSession, sf_dir: str, as_of: str) -> DataFrame:
     return table(spark, sf_dir, "orders").where(F.col("o_orderdate") < date_literal(as_of))
 
@@ -81,15 +87,15 @@ def transactions(spark: SparkSession, sf_dir: str, as_of: str = LATER) -> DataFr
     Lines are combined per order before the join, so a crowded order is reduced
     on the map side.
     """
-    price = F.col("l_extendedprice").cast("decimal(12,2)")
-    discount = F.col("l_discount").cast("decimal(4,2)")
+    price = _hundredths("l_extendedprice")
+    paid_parts = price * (F.lit(100) - _hundredths("l_discount"))  # hundredths of a cent
     per_order = (
         table(spark, sf_dir, "lineitem")
         .groupBy(F.col("l_orderkey").alias("o_orderkey"))
         .agg(
             F.sum(F.col("l_quantity").cast("int")).cast("int").alias("payment_plan_days"),
-            F.sum(price).cast("double").alias("plan_list_price"),
-            F.sum(price * (1 - discount)).cast("double").alias("actual_amount_paid"),
+            (F.sum(price) / F.lit(100.0)).alias("plan_list_price"),
+            (F.sum(paid_parts) / F.lit(10000.0)).alias("actual_amount_paid"),
             F.max("l_shipdate").alias("last_ship"),
         )
     )
@@ -135,13 +141,13 @@ def user_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
         .groupBy(F.col("user_id").alias("msno"), day, "props")
         .agg(
             *[F.count_if(F.col("event_type") == kind).alias(name) for name, kind in PLAY_EVENTS.items()],
-            F.sum(F.col("value").cast("decimal(12,2)")).alias("secs"),
+            F.sum(_hundredths("value")).alias("parts"),
         )
     )
     return per_props.groupBy("msno", "date").agg(
         *[F.sum(name).alias(name) for name in PLAY_EVENTS],
         F.count("props").alias("num_unq"),
-        F.sum("secs").alias("total_secs"),
+        (F.sum("parts").cast("decimal(18,0)") * F.lit(decimal.Decimal("0.01"))).alias("total_secs"),
     )
 
 

@@ -43,6 +43,8 @@ def test_row_sum_is_null_when_one_part_is(spark):
 def test_dates(spark):
     df = spark.createDataFrame([(20170228,), (20170230,), (None,)], "d int")
     assert values(df, c.parse_ymd("d")) == [dt.date(2017, 2, 28), None, None]
+    odd = spark.createDataFrame([(20240229,), (20230229,), (20171301,), (20170100,), (2017021,), (201702011,), (-20170101,)], "d int")
+    assert values(odd, c.parse_ymd("d")) == [dt.date(2024, 2, 29)] + [None] * 6
     with pytest.raises(Exception):
         values(df, c.parse_ymd("d", strict=True))
     assert values(df, c.ymd_month("d")) == [201702, 201702, None]
