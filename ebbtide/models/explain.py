@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 from math import factorial
 
 import numpy as np
@@ -51,71 +52,94 @@ def node_table(spark: SparkSession, fitted: Fitted) -> DataFrame:
     )
 
 
-class _Leaf:
-    """One leaf as a product of one test per feature on its path.
+@dataclass
+class _Paths:
+    """The leaves of one tree, each as one test per feature on its path.
 
-    ``shares[j]`` is the part of the training weight that follows the path at
-    the splits on feature j; ``table`` holds the Shapley values of the path
-    features for every pattern of passed and failed tests.
+    Row l, slot j of the arrays: the feature, the interval (low, high] it must
+    lie in, and the share of the training weight that goes this way at the
+    splits on that feature. ``levels`` holds the allowed sets of categories.
+    Short paths are filled up with tests that always hold, which changes nothing.
     """
 
-    def __init__(self, value: float, tests: dict[int, tuple]):
-        self.features = list(tests)
-        self.tests = [tests[f][:2] for f in self.features]
-        shares = np.array([tests[f][2] for f in self.features])
-        d = len(shares)
-        passed = (np.arange(1 << d)[:, None] >> np.arange(d)) & 1
-        self.base = value * float(np.prod(shares))
-        self.table = np.zeros((1 << d, d))
+    value: np.ndarray
+    feature: np.ndarray
+    low: np.ndarray
+    high: np.ndarray
+    share: np.ndarray
+    levels: dict[tuple[int, int], list[float]]
+
+    def base(self) -> float:
+        return float(self.value @ self.share.prod(axis=1))
+
+    def shapley_tables(self) -> np.ndarray:
+        """Shapley value per leaf, pattern of passed tests, and slot.
+
+        For slot j the other slots form a polynomial whose coefficients collect
+        the coalitions by size; the sizes are then weighted as usual.
+        """
+        d = self.share.shape[1]
+        passed = ((np.arange(1 << d)[:, None] >> np.arange(d)) & 1).astype(float)
+        weight = np.array([factorial(s) * factorial(d - 1 - s) / factorial(d) for s in range(d)])
+        out = np.empty((len(self.value), 1 << d, d))
         for j in range(d):
-            # Coefficients by coalition size over the other features.
-            poly = np.ones((1 << d, 1))
+            poly = np.ones((len(self.value), 1 << d, 1))
             for i in range(d):
                 if i != j:
-                    grown = np.zeros((1 << d, poly.shape[1] + 1))
-                    grown[:, :-1] += poly * shares[i]
-                    grown[:, 1:] += poly * passed[:, [i]]
+                    grown = np.zeros((*poly.shape[:2], poly.shape[2] + 1))
+                    grown[..., :-1] += poly * self.share[:, i, None, None]
+                    grown[..., 1:] += poly * passed[None, :, i, None]
                     poly = grown
-            weight = np.array([factorial(s) * factorial(d - 1 - s) / factorial(d) for s in range(d)])
-            self.table[:, j] = value * (passed[:, j] - shares[j]) * (poly @ weight)
+            gain = passed[None, :, j] - self.share[:, j, None]
+            out[..., j] = self.value[:, None] * gain * (poly @ weight)
+        return out
 
     def add(self, x: np.ndarray, phi: np.ndarray) -> None:
-        code = np.zeros(len(x), dtype=np.int64)
-        for j, (f, (interval, allowed)) in enumerate(zip(self.features, self.tests)):
-            v = x[:, f]
-            ok = (v > interval[0]) & (v <= interval[1])
+        """Add the attributions of all rows of x to phi."""
+        tables = self.shapley_tables()
+        bits = 1 << np.arange(self.share.shape[1])
+        for leaf, features in enumerate(self.feature):
+            v = x[:, features]
+            ok = (v > self.low[leaf]) & (v <= self.high[leaf])
+            for j in range(len(features)):
+                if (leaf, j) in self.levels:
+                    ok[:, j] = np.isin(v[:, j], self.levels[leaf, j])
+            parts = tables[leaf][ok @ bits]
+            for j, f in enumerate(features):
+                phi[:, f] += parts[:, j]
+
+
+def _tree_paths(nodes: pd.DataFrame, weight: float) -> _Paths:
+    """Walk one tree from its root and note the tests of each leaf."""
+    by_id = {n.id: n for n in nodes.itertuples()}
+    leaves: list[tuple[float, dict]] = []
+    todo: list[tuple] = [(by_id[0], {})]
+    while todo:
+        node, tests = todo.pop()
+        if node.leftChild < 0:
+            leaves.append((node.prediction * weight, tests))
+            continue
+        low, high, allowed, share = tests.get(node.feature, (-np.inf, np.inf, None, 1.0))
+        for child, left in ((by_id[node.leftChild], True), (by_id[node.rightChild], False)):
+            part = share * child.cover / node.cover
+            if node.levels < 0:
+                at = float(node.cut[0])
+                test = (low, min(high, at), allowed, part) if left else (max(low, at), high, allowed, part)
+            else:
+                side = set(node.cut) if left else set(map(float, range(node.levels))) - set(node.cut)
+                test = (low, high, side if allowed is None else side & allowed, part)
+            todo.append((child, {**tests, node.feature: test}))
+    shape = (len(leaves), max(1, max(len(t) for _, t in leaves)))
+    paths = _Paths(
+        np.array([v for v, _ in leaves]), np.zeros(shape, dtype=int),
+        np.full(shape, -np.inf), np.full(shape, np.inf), np.ones(shape), {},
+    )
+    for i, (_, tests) in enumerate(leaves):
+        for j, (f, (low, high, allowed, share)) in enumerate(tests.items()):
+            paths.feature[i, j], paths.low[i, j], paths.high[i, j], paths.share[i, j] = f, low, high, share
             if allowed is not None:
-                ok &= np.isin(v, allowed)
-            code |= ok.astype(np.int64) << j
-        picked = self.table[code]
-        for j, f in enumerate(self.features):
-            phi[:, f] += picked[:, j]
-
-
-def _leaves(nodes: pd.DataFrame, weights: list[float]) -> list[_Leaf]:
-    """Walk every tree from its root and note the tests of each leaf."""
-    out = []
-    for tree, part in nodes.groupby("tree"):
-        by_id = {n.id: n for n in part.itertuples()}
-        todo = [(by_id[0], {})]
-        while todo:
-            node, tests = todo.pop()
-            if node.leftChild < 0:
-                out.append(_Leaf(node.prediction * weights[tree], tests))
-                continue
-            (low, high), allowed, share = tests.get(node.feature, ((-np.inf, np.inf), None, 1.0))
-            for child, left in ((by_id[node.leftChild], True), (by_id[node.rightChild], False)):
-                part_of = share * child.cover / node.cover
-                if node.levels < 0:
-                    at = float(node.cut[0])
-                    span = (low, min(high, at)) if left else (max(low, at), high)
-                    test = (span, allowed, part_of)
-                else:
-                    side = set(node.cut) if left else set(map(float, range(node.levels))) - set(node.cut)
-                    kept = side if allowed is None else side & set(allowed)
-                    test = ((low, high), sorted(kept), part_of)
-                todo.append((child, {**tests, node.feature: test}))
-    return out
+                paths.levels[i, j] = sorted(allowed)
+    return paths
 
 
 def attributions(fitted: Fitted, df: DataFrame, user: str) -> tuple[DataFrame, float]:
@@ -125,12 +149,14 @@ def attributions(fitted: Fitted, df: DataFrame, user: str) -> tuple[DataFrame, f
 
     This is the path-dependent form: a feature outside the coalition follows
     both branches in the shares of the training weight. Spark spreads the rows;
-    the leaves, whose number the model bounds, go to every task.
+    the paths of the model go to every task, a few numbers per leaf, and the
+    tables made from them exist for one tree at a time.
     """
     spark = df.sparkSession
     weights = list(fitted.model.stages[-1].treeWeights)
-    leaves = _leaves(node_table(spark, fitted).toPandas(), weights)
-    shared = spark.sparkContext.broadcast(leaves)
+    nodes = node_table(spark, fitted).toPandas()
+    trees = [_tree_paths(part, weights[tree]) for tree, part in nodes.groupby("tree")]
+    shared = spark.sparkContext.broadcast(trees)
     rows = fitted.model.transform(fitted.inputs(df))
     names = vector_names(rows)
 
@@ -139,15 +165,15 @@ def attributions(fitted: Fitted, df: DataFrame, user: str) -> tuple[DataFrame, f
             if len(batch):
                 x = np.vstack(batch["x"].to_numpy())
                 phi = np.zeros_like(x)
-                for leaf in shared.value:
-                    leaf.add(x, phi)
+                for tree in shared.value:
+                    tree.add(x, phi)
                 yield pd.DataFrame({user: batch[user], "x": list(x), "phi": list(phi)})
 
     kind = dict(df.dtypes)[user]
     explained = rows.select(user, vector_to_array("features").alias("x")).mapInPandas(
         explain, f"{user} {kind}, x array<double>, phi array<double>"
     )
-    return _long(explained, user, names), float(sum(leaf.base for leaf in leaves))
+    return _long(explained, user, names), sum(tree.base() for tree in trees)
 
 
 def _long(explained: DataFrame, user: str, names: list[str]) -> DataFrame:

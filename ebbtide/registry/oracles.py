@@ -170,8 +170,10 @@ def _medians(source: str, columns: list[str]) -> str:
 
 
 def _corr(source: str, pairs: list[tuple[str, str]]) -> str:
+    """A constant column has no correlation: NULL."""
     return " UNION ALL ".join(
-        f"SELECT '{a}' AS column_a, '{b}' AS column_b, count(*) AS n, round(corr({a}, {b}), 6) AS r "
+        f"SELECT '{a}' AS column_a, '{b}' AS column_b, count(*) AS n, "
+        f"CASE WHEN stddev_pop({a}) > 0 AND stddev_pop({b}) > 0 THEN round(corr({a}, {b}), 6) END AS r "
         f"FROM {source} WHERE {a} IS NOT NULL AND {b} IS NOT NULL"
         for a, b in pairs
     )
