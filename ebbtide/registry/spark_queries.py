@@ -37,17 +37,17 @@ def query(fn: Query) -> Query:
 # Inputs ---------------------------------------------------------------------
 
 
-def _tables(spark, sf_dir, as_of=st.LATER) -> dict[str, DataFrame]:
+def _tables(spark, sf_dir, as_of=st.LATER, window=None) -> dict[str, DataFrame]:
     return {
         "labels": st.labels(spark, sf_dir, as_of),
         "members": st.members(spark, sf_dir, as_of),
         "transactions": st.transactions(spark, sf_dir, as_of),
-        "user_logs": st.user_logs(spark, sf_dir),
+        "user_logs": st.user_logs(spark, sf_dir, window),
     }
 
 
 def _mart(spark, sf_dir, as_of=st.LATER, window=WINDOW, mode="nonzero") -> DataFrame:
-    t = _tables(spark, sf_dir, as_of)
+    t = _tables(spark, sf_dir, as_of, window)
     return ft.churn_features(
         t["labels"], t["members"], t["transactions"], t["user_logs"], as_of, window, mode, TIES
     )
@@ -66,11 +66,11 @@ def _paid(spark, sf_dir) -> DataFrame:
 
 
 def _active(spark, sf_dir) -> DataFrame:
-    return st.labels(spark, sf_dir).join(pr.user_activity(st.user_logs(spark, sf_dir), WINDOW), ft.ID)
+    return st.labels(spark, sf_dir).join(pr.user_activity(st.user_logs(spark, sf_dir, WINDOW), WINDOW), ft.ID)
 
 
 def _mini(spark, sf_dir) -> DataFrame:
-    t = _tables(spark, sf_dir)
+    t = _tables(spark, sf_dir, window=WINDOW)
     return pr.mini_features(
         t["labels"], t["members"], t["transactions"], t["user_logs"], st.LATER, TIES, WINDOW
     )
@@ -119,7 +119,7 @@ def last_with_totals_by_join(spark, sf_dir):
 
 @query
 def activity_features(spark, sf_dir):
-    return ft.activity_features(st.user_logs(spark, sf_dir), WINDOW)
+    return ft.activity_features(st.user_logs(spark, sf_dir, WINDOW), WINDOW)
 
 
 @query
@@ -140,7 +140,8 @@ def active_days_approx(spark, sf_dir):
 
 @query
 def logs_in_window(spark, sf_dir):
-    logs = st.user_logs(spark, sf_dir).where(c.in_ymd_window("date", (20240108, 20240114)))
+    week = (20240108, 20240114)
+    logs = st.user_logs(spark, sf_dir, week).where(c.in_ymd_window("date", week))
     return logs.withColumn("total_secs", F.col("total_secs").cast("double"))
 
 
@@ -326,7 +327,7 @@ def engagement_median(spark, sf_dir):
 
 @query
 def engagement_log1p(spark, sf_dir):
-    activity = ft.activity_features(st.user_logs(spark, sf_dir), WINDOW)
+    activity = ft.activity_features(st.user_logs(spark, sf_dir, WINDOW), WINDOW)
     return activity.select("msno", F.round(c.log1p("engagement_depth"), 9).alias("log_engagement_depth"))
 
 

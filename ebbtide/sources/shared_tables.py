@@ -5,6 +5,7 @@ Money is summed in whole cents, so that results do not depend on task order.
 
 from __future__ import annotations
 
+import datetime as dt
 import decimal
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -129,16 +130,22 @@ PLAY_EVENTS = {
 }
 
 
-def user_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per user and day.
+def user_logs(spark: SparkSession, sf_dir: str, window: tuple[int, int] | None = None) -> DataFrame:
+    """One row per user and day, of all days or of a window of YYYYMMDD days.
 
-    Distinct ``props`` are found by grouping on them first: the counters are
-    combined at every step, so a user with very many events stays small.
+    The window is put to the scan as a range of time stamps. Distinct ``props``
+    are found by grouping on them first: the counters are combined at every
+    step, so a user with very many events stays small.
     """
     day = ymd_of("ts").alias("date")
+    events = table(spark, sf_dir, "events")
+    if window is not None:
+        first, last = (dt.datetime.strptime(str(d), "%Y%m%d").date() for d in window)
+        events = events.where(
+            (F.col("ts") >= date_literal(first)) & (F.col("ts") < date_literal(last + dt.timedelta(days=1)))
+        )
     per_props = (
-        table(spark, sf_dir, "events")
-        .groupBy(F.col("user_id").alias("msno"), day, "props")
+        events.groupBy(F.col("user_id").alias("msno"), day, "props")
         .agg(
             *[F.count_if(F.col("event_type") == kind).alias(name) for name, kind in PLAY_EVENTS.items()],
             F.sum(_hundredths("value")).alias("parts"),
