@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ebbtide.functions.columns import clip_upper
 from ebbtide.operators.prefix import running_sums
 from ebbtide.operators.small import join_groups, settle
+from ebbtide.session import durable
 
 
 def _frequencies(df: DataFrame, by: Sequence[str], columns: Sequence[str]) -> DataFrame:
@@ -35,15 +36,11 @@ def exact_quantiles(
     """
     keys = [*by, "metric"]
     ranked = running_sums(_frequencies(df, by, columns), ["value"], ["n"], within=keys)
-    sizes = ranked.groupBy(*keys).agg(F.sum("n").alias("_size"))
-    wanted = sizes.select(*keys, "_size", F.explode(F.array(*[F.lit(float(q)) for q in qs])).alias("q")).withColumn(
-        "_at", F.col("q") * (F.col("_size") - 1)
+    each_q = ranked.withColumn("q", F.explode(F.lit([float(q) for q in qs]))).withColumn(
+        "_at", F.col("q") * (F.col("n_total") - 1)
     )
     low, high = F.floor("_at"), F.ceil("_at")
-    # One row per group and quantile on the right side.
-    hit = join_groups(ranked, settle(wanted), keys).where(
-        (F.col("n_upto") > low) & (F.col("n_upto") - F.col("n") <= high)
-    )
+    hit = each_q.where((F.col("n_upto") > low) & (F.col("n_upto") - F.col("n") <= high))
     at_low = F.min(F.when((F.col("n_upto") - F.col("n") <= low) & (F.col("n_upto") > low), F.col("value")))
     at_high = F.max(F.when((F.col("n_upto") - F.col("n") <= high) & (F.col("n_upto") > high), F.col("value")))
     weight = F.max(F.col("_at") - F.floor("_at"))
@@ -80,8 +77,8 @@ def histogram(
     """
     value = F.col(column).cast("double")
     value = clip_upper(value, float(clip)) if clip is not None else value
-    # Combined by value first: the range and the bins read the small table.
-    counts = (
+    # Combined by value first, and kept: both the range and the bins read it.
+    counts = durable(
         df.select(*by, value.alias("_v"))
         .where(F.col("_v").isNotNull())
         .groupBy(*by, "_v")

@@ -167,10 +167,6 @@ def compare_runs(records: Sequence[DataFrame]) -> DataFrame:
     return functools.reduce(DataFrame.unionByName, records)
 
 
-def _totals(ranked: DataFrame) -> tuple[int, int]:
-    return tuple(ranked.agg(F.sum("pos"), F.sum("neg")).first())
-
-
 def _drop_straight(ranked: DataFrame) -> DataFrame:
     """Leave out scores whose successor adds the same counts; keep both ends."""
     following = ranked.select(
@@ -189,12 +185,11 @@ def roc_curve(pred: DataFrame, y: str = "y_true", p: str = "y_prob", drop_collin
     """
     counts = score_counts(pred, y, p).withColumn("one", F.lit(1))
     ranked = running_sums(counts, ["score"], ["pos", "neg", "one"], descending=True)
-    pos, neg = _totals(ranked)
     if drop_collinear:
         ranked = _drop_straight(ranked)
     curve = ranked.select(
-        safe_divide("neg_upto", F.lit(neg)).alias("fpr"),
-        safe_divide("pos_upto", F.lit(pos)).alias("tpr"),
+        safe_divide("neg_upto", "neg_total").alias("fpr"),
+        safe_divide("pos_upto", "pos_total").alias("tpr"),
         F.col("score").alias("threshold"),
     )
     origin = pred.sparkSession.createDataFrame([(0.0, 0.0, None)], "fpr double, tpr double, threshold double")
@@ -205,17 +200,18 @@ def pr_curve(pred: DataFrame, y: str = "y_true", p: str = "y_prob") -> DataFrame
     """(precision, recall, threshold) per distinct score, the end point (1, 0)
     and, on every row, the prevalence that a random score would reach."""
     ranked = ranked_counts(pred, y, p)
-    pos, neg = _totals(ranked)
-    prevalence = safe_divide(F.lit(pos), F.lit(pos + neg))
+    prevalence = safe_divide("pos_total", F.col("pos_total") + F.col("neg_total")).alias("prevalence")
     curve = ranked.select(
         (F.col("pos_upto") / (F.col("pos_upto") + F.col("neg_upto"))).alias("precision"),
-        safe_divide("pos_upto", F.lit(pos), default=1.0).alias("recall"),
+        safe_divide("pos_upto", "pos_total", default=1.0).alias("recall"),
         F.col("score").alias("threshold"),
+        prevalence,
     )
-    end = pred.sparkSession.createDataFrame(
-        [(1.0, 0.0, None)], "precision double, recall double, threshold double"
+    end = ranked.select(
+        F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall"), F.lit(None).cast("double").alias("threshold"),
+        prevalence,
     )
-    return curve.unionByName(end).withColumn("prevalence", prevalence)
+    return curve.unionByName(end.limit(1))
 
 
 def curves_by_model(

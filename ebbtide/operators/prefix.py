@@ -22,7 +22,8 @@ MAX_RANGES = 2000
 def running_sums(
     df: DataFrame, order: Sequence[str], counts: Sequence[str], within: Sequence[str] = (), descending: bool = False
 ) -> DataFrame:
-    """Add ``<c>_upto`` for every count: its sum over this and all earlier rows.
+    """Add ``<c>_upto`` for every count, its sum over this and all earlier rows,
+    and ``<c>_total``, its sum over all rows.
 
     ``order`` must be unique within ``within`` (combine equal values first), so
     that every range is a set of different keys and no value can be heavy. With
@@ -44,6 +45,7 @@ def running_sums(
             *within,
             "_range",
             *[(F.sum(f"_{c}").over(group) - F.col(f"_{c}")).alias(f"_{c}_before") for c in counts],
+            *[F.sum(f"_{c}").over(Window.partitionBy(*within)).alias(f"{c}_total") for c in counts],
         )
     )
     inside = Window.partitionBy(*within, "_range").orderBy(*[direction(c) for c in order])

@@ -82,11 +82,18 @@ def ablation(mart: DataFrame, params: Mapping[str, float] | None = None, rounds:
     return m.compare_runs(records)
 
 
+def explanation_sample(test: DataFrame, n: int = 2000) -> DataFrame:
+    """The users to explain. A top-n ends in one task, while attributions are
+    work per row, so the sample is spread again, some 250 rows to a task."""
+    cores = test.sparkSession.sparkContext.defaultParallelism
+    return durable(hash_sample(test, ID, n).repartition(max(1, min(cores, n // 250)), ID))
+
+
 def explanation_report(
     trees: Fitted, test: DataFrame, scored: DataFrame, y: str = "y_true", p: str = "y_prob", n: int = 2000
 ) -> dict:
     """Curves, confusion, importances and attributions of one fitted model."""
-    sample = durable(hash_sample(test, ID, n))
+    sample = explanation_sample(test, n)
     phi, base = ex.attributions(trees, sample, ID)
     phi = durable(phi)
     seen = scored.join(sample.select(ID), ID, "left_semi")
