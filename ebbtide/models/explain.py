@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
-from dataclasses import dataclass
 from math import factorial
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -17,6 +18,10 @@ from ebbtide.models.learners import Fitted
 from ebbtide.operators.distributions import exact_quantiles
 from ebbtide.session import scratch_path
 
+# Tasks get the code of this module with their function, so that workers need
+# not have the package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def vector_names(transformed: DataFrame, column: str = "features") -> list[str]:
     """Names of the slots of an assembled vector, from its metadata."""
@@ -52,61 +57,56 @@ def node_table(spark: SparkSession, fitted: Fitted) -> DataFrame:
     )
 
 
-@dataclass
-class _Paths:
-    """The leaves of one tree, each as one test per feature on its path.
+# The paths of one tree are plain arrays, (value, feature, low, high, share,
+# levels), one row per leaf and one slot per feature on its path: the interval
+# (low, high] the feature must lie in, and the share of the training weight that
+# goes this way at the splits on it. ``levels`` maps (leaf, slot) to the allowed
+# categories. Short paths are filled up with tests that always hold, which
+# changes nothing.
+_Paths = tuple
 
-    Row l, slot j of the arrays: the feature, the interval (low, high] it must
-    lie in, and the share of the training weight that goes this way at the
-    splits on that feature. ``levels`` holds the allowed sets of categories.
-    Short paths are filled up with tests that always hold, which changes nothing.
-    """
 
-    value: np.ndarray
-    feature: np.ndarray
-    low: np.ndarray
-    high: np.ndarray
-    share: np.ndarray
-    levels: dict[tuple[int, int], list[float]]
-
-    def base(self) -> float:
-        return float(self.value @ self.share.prod(axis=1))
-
-    def shapley_tables(self) -> np.ndarray:
-        """Shapley value per leaf, pattern of passed tests, and slot.
-
-        For slot j the other slots form a polynomial whose coefficients collect
-        the coalitions by size; the sizes are then weighted as usual.
-        """
-        d = self.share.shape[1]
-        passed = ((np.arange(1 << d)[:, None] >> np.arange(d)) & 1).astype(float)
-        weight = np.array([factorial(s) * factorial(d - 1 - s) / factorial(d) for s in range(d)])
-        out = np.empty((len(self.value), 1 << d, d))
-        for j in range(d):
-            poly = np.ones((len(self.value), 1 << d, 1))
-            for i in range(d):
-                if i != j:
-                    grown = np.zeros((*poly.shape[:2], poly.shape[2] + 1))
-                    grown[..., :-1] += poly * self.share[:, i, None, None]
-                    grown[..., 1:] += poly * passed[None, :, i, None]
-                    poly = grown
-            gain = passed[None, :, j] - self.share[:, j, None]
-            out[..., j] = self.value[:, None] * gain * (poly @ weight)
-        return out
-
-    def add(self, x: np.ndarray, phi: np.ndarray) -> None:
-        """Add the attributions of all rows of x to phi."""
-        tables = self.shapley_tables()
-        bits = 1 << np.arange(self.share.shape[1])
-        for leaf, features in enumerate(self.feature):
-            v = x[:, features]
-            ok = (v > self.low[leaf]) & (v <= self.high[leaf])
-            for j in range(len(features)):
-                if (leaf, j) in self.levels:
-                    ok[:, j] = np.isin(v[:, j], self.levels[leaf, j])
-            parts = tables[leaf][ok @ bits]
-            for j, f in enumerate(features):
-                phi[:, f] += parts[:, j]
+def _base(paths: _Paths) -> float:
+    return float(paths[0] @ paths[4].prod(axis=1))
+
+
+def _shapley_tables(value: np.ndarray, share: np.ndarray) -> np.ndarray:
+    """Shapley value per leaf, pattern of passed tests, and slot.
+
+    For slot j the other slots form a polynomial whose coefficients collect the
+    coalitions by size; the sizes are then weighted as usual.
+    """
+    d = share.shape[1]
+    passed = ((np.arange(1 << d)[:, None] >> np.arange(d)) & 1).astype(float)
+    weight = np.array([factorial(s) * factorial(d - 1 - s) / factorial(d) for s in range(d)])
+    out = np.empty((len(value), 1 << d, d))
+    for j in range(d):
+        poly = np.ones((len(value), 1 << d, 1))
+        for i in range(d):
+            if i != j:
+                grown = np.zeros((*poly.shape[:2], poly.shape[2] + 1))
+                grown[..., :-1] += poly * share[:, i, None, None]
+                grown[..., 1:] += poly * passed[None, :, i, None]
+                poly = grown
+        gain = passed[None, :, j] - share[:, j, None]
+        out[..., j] = value[:, None] * gain * (poly @ weight)
+    return out
+
+
+def _add_tree(paths: _Paths, x: np.ndarray, phi: np.ndarray) -> None:
+    """Add the attributions of all rows of x to phi."""
+    value, feature, low, high, share, levels = paths
+    tables = _shapley_tables(value, share)
+    bits = 1 << np.arange(share.shape[1])
+    for leaf, features in enumerate(feature):
+        v = x[:, features]
+        ok = (v > low[leaf]) & (v <= high[leaf])
+        for j in range(len(features)):
+            if (leaf, j) in levels:
+                ok[:, j] = np.isin(v[:, j], levels[leaf, j])
+        parts = tables[leaf][ok @ bits]
+        for j, f in enumerate(features):
+            phi[:, f] += parts[:, j]
 
 
 def _tree_paths(nodes: pd.DataFrame, weight: float) -> _Paths:
@@ -130,16 +130,14 @@ def _tree_paths(nodes: pd.DataFrame, weight: float) -> _Paths:
                 test = (low, high, side if allowed is None else side & allowed, part)
             todo.append((child, {**tests, node.feature: test}))
     shape = (len(leaves), max(1, max(len(t) for _, t in leaves)))
-    paths = _Paths(
-        np.array([v for v, _ in leaves]), np.zeros(shape, dtype=int),
-        np.full(shape, -np.inf), np.full(shape, np.inf), np.ones(shape), {},
-    )
+    feature, share, levels = np.zeros(shape, dtype=int), np.ones(shape), {}
+    low, high = np.full(shape, -np.inf), np.full(shape, np.inf)
     for i, (_, tests) in enumerate(leaves):
-        for j, (f, (low, high, allowed, share)) in enumerate(tests.items()):
-            paths.feature[i, j], paths.low[i, j], paths.high[i, j], paths.share[i, j] = f, low, high, share
+        for j, (f, (lo, hi, allowed, part)) in enumerate(tests.items()):
+            feature[i, j], low[i, j], high[i, j], share[i, j] = f, lo, hi, part
             if allowed is not None:
-                paths.levels[i, j] = sorted(allowed)
-    return paths
+                levels[i, j] = sorted(allowed)
+    return np.array([v for v, _ in leaves]), feature, low, high, share, levels
 
 
 def attributions(fitted: Fitted, df: DataFrame, user: str) -> tuple[DataFrame, float]:
@@ -166,14 +164,14 @@ def attributions(fitted: Fitted, df: DataFrame, user: str) -> tuple[DataFrame, f
                 x = np.vstack(batch["x"].to_numpy())
                 phi = np.zeros_like(x)
                 for tree in shared.value:
-                    tree.add(x, phi)
+                    _add_tree(tree, x, phi)
                 yield pd.DataFrame({user: batch[user], "x": list(x), "phi": list(phi)})
 
     kind = dict(df.dtypes)[user]
     explained = rows.select(user, vector_to_array("features").alias("x")).mapInPandas(
         explain, f"{user} {kind}, x array<double>, phi array<double>"
     )
-    return _long(explained, user, names), sum(tree.base() for tree in trees)
+    return _long(explained, user, names), sum(_base(tree) for tree in trees)
 
 
 def _long(explained: DataFrame, user: str, names: list[str]) -> DataFrame:

@@ -16,7 +16,7 @@ def _pair_correlations(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataF
     A constant column gives NULL instead of a division by zero."""
     names = list(dict.fromkeys(c for pair in pairs for c in pair))
     at = {c: i for i, c in enumerate(names)}
-    grid = F.array(*[F.array(F.lit(at[a]), F.lit(at[b])) for a, b in pairs])
+    grid = F.expr("array(" + ", ".join(f"array({at[a]}, {at[b]})" for a, b in pairs) + ")")
     cells = df.select(F.array(*[F.col(c).cast("double") for c in names]).alias("_v"), F.explode(grid).alias("_p"))
     a, b = F.get("_p", F.lit(0)), F.get("_p", F.lit(1))
     lookup = F.lit(names)
