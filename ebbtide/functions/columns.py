@@ -63,11 +63,13 @@ def parse_ymd(c: Column | str, strict: bool = False) -> Column:
     than parsing text; the rest, with everything malformed, goes to the parser.
     """
     c = _col(c)
-    plain = c.between(10000101, 99991231) & (c % 10000).between(101, 1231) & (c % 100).between(1, 28)
+    eight_digits = c.between(10000101, 99991231)
+    plain = eight_digits & (c % 10000).between(101, 1231) & (c % 100).between(1, 28)
     year, month = (F.call_function("div", c, F.lit(n)) for n in (10000, 100))
-    parser = F.to_date if strict else F.try_to_date
+    text = c.cast("string")
+    parsed = F.to_date(text, "yyyyMMdd") if strict else F.when(eight_digits, F.try_to_date(text, "yyyyMMdd"))
     return F.when(plain, F.make_date(year.cast("int"), (month % 100).cast("int"), (c % 100).cast("int"))).otherwise(
-        parser(c.cast("string"), "yyyyMMdd")
+        parsed
     )
 
 
