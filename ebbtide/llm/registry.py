@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from ebbtide.llm import bit_sliced, language_id, line_dedup
+from ebbtide.llm import bit_sliced, chat_windows, language_id, line_dedup, minhash_forest
 
 QUERIES = {
     f.__name__: f
     for f in (
+        minhash_forest.op2_minhash_forest,
+        chat_windows.op3_chat_windows,
         bit_sliced.op6_bit_sliced_top_k,
         language_id.op8_language_id,
         line_dedup.op9_line_dedup,
