@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ebbtide.llm import bit_sliced, chat_windows, language_id, line_dedup, minhash_forest
+from ebbtide.llm import bit_sliced, chat_windows, language_id, line_dedup, minhash_forest, ngram_filter
 
 QUERIES = {
     f.__name__: f
@@ -12,6 +12,7 @@ QUERIES = {
         bit_sliced.op6_bit_sliced_top_k,
         language_id.op8_language_id,
         line_dedup.op9_line_dedup,
+        ngram_filter.op10_ngram_filter,
     )
 }
 
