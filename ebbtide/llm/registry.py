@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from ebbtide.llm import bit_sliced, chat_windows, language_id, line_dedup, minhash_forest, ngram_filter
+from ebbtide.llm import bit_sliced, chat_windows, language_id, line_dedup, minhash_forest, ngram_filter, suffix_dedup, suffix_dedup
 
 QUERIES = {
     f.__name__: f
     for f in (
+        suffix_dedup.op1_suffix_dedup,
         minhash_forest.op2_minhash_forest,
         chat_windows.op3_chat_windows,
         bit_sliced.op6_bit_sliced_top_k,
