@@ -2,7 +2,17 @@
 
 from __future__ import annotations
 
-from ebbtide.llm import bit_sliced, chat_windows, language_id, line_dedup, minhash_forest, ngram_filter, suffix_dedup, suffix_dedup
+from ebbtide.llm import (
+    bit_sliced,
+    chat_windows,
+    decontaminate,
+    language_id,
+    line_dedup,
+    minhash_forest,
+    ngram_filter,
+    piece_dropout,
+    suffix_dedup,
+)
 
 QUERIES = {
     f.__name__: f
@@ -10,6 +20,8 @@ QUERIES = {
         suffix_dedup.op1_suffix_dedup,
         minhash_forest.op2_minhash_forest,
         chat_windows.op3_chat_windows,
+        decontaminate.op4_decontaminate,
+        piece_dropout.op5_piece_dropout,
         bit_sliced.op6_bit_sliced_top_k,
         language_id.op8_language_id,
         line_dedup.op9_line_dedup,

@@ -16,6 +16,9 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
+#: Bytes that part words when punctuation does not count: all ASCII but letters and digits.
+NOT_LETTERS = np.ones(256, bool)
+NOT_LETTERS[128:] = NOT_LETTERS[48:58] = NOT_LETTERS[65:91] = NOT_LETTERS[97:123] = False
 #: A random value for each byte, the same everywhere.
 _VALUE = mix(np.arange(1, 257, dtype=np.uint64) * _WIDE)
 _BASE, _INVERSE = 0xD6E8FEB86659FD93, pow(0xD6E8FEB86659FD93, -1, 1 << 64)
@@ -36,12 +39,12 @@ def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[room]
 
 
-def words(data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def words(data: np.ndarray, at: np.ndarray, space: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Hash, start and end byte of every word, and for each text where its words begin (n + 1)."""
     n = len(at) - 1
     if not len(data):
         return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(n + 1, np.int64)
-    solid = ~_SPACE[data]
+    solid = ~space[data]
     begins = solid.copy()
     begins[1:] &= ~solid[:-1]
     ends = solid.copy()
