@@ -499,16 +499,38 @@ def _joined(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return start[at], end[np.append(at[1:], len(start)) - 1]
 
 
-def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_bytes, n_removed, spans (start, end), kept (remaining bytes) of every document."""
+def _whole_chars(body: bytes, spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Spans without characters that they cover in part."""
+    out = []
+    for s, e in spans:
+        while s < e and body[s] & 0xC0 == 0x80:
+            s += 1
+        while s < e < len(body) and body[e] & 0xC0 == 0x80:
+            e -= 1
+        if s < e:
+            out.append((s, e))
+    return out
+
+
+def dedup(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), whole_chars: bool = False
+) -> DataFrame:
+    """doc_id, n_bytes, n_removed, spans (start, end), kept (remaining bytes) of every document.
+
+    ``keep`` names columns that come along in a struct ``rest``. With
+    ``whole_chars`` a character of which only a part repeats stays, so that what
+    is left of a text is a text.
+    """
     spark = docs.sparkSession
     common.ship(spark)
     rows = docs.select(
         F.coalesce(F.col(id_col).cast("long"), F.lit(LAST_ID)).alias("doc_id"),
         F.xxhash64(F.col(text_col)).alias("text_key"),
         F.col(text_col).alias("text"),
+        F.struct(F.lit(0).alias("_"), *(F.col(c) for c in keep)).alias("rest"),
     )
     spans = removed_spans(rows)
+    rest_type = rows.schema["rest"].dataType.simpleString()
     mask = F.lit((1 << FILTER_BITS) - 1)
     h = F.xxhash64("doc_id").bitwiseAND(mask)
     marked = spans.select(h.alias("h")).groupBy(F.shiftright("h", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(h & 63 as int))")).alias("bits")).toPandas()
@@ -519,12 +541,12 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = sent.value
         for batch in batches:
-            x = np.asarray(batch.column(3)).view(np.uint64)
+            x = np.asarray(batch.column(4)).view(np.uint64)
             hit = bits[x >> np.uint64(6)] >> (x & np.uint64(63)) & np.uint64(1)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(hit.astype(bool))], ["doc_id", "text_key", "text", "marked"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(hit.astype(bool))], ["doc_id", "text_key", "text", "rest", "marked"])
 
-    texts = rows.withColumn("h", h).mapInArrow(sift, "doc_id long, text_key long, text string, marked boolean")
-    result = "doc_id long, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, kept binary"
+    texts = rows.withColumn("h", h).mapInArrow(sift, f"doc_id long, text_key long, text string, rest {rest_type}, marked boolean")
+    result = f"doc_id long, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, kept binary, rest {rest_type}"
     body = F.coalesce(F.col("text").cast("binary"), F.lit(b""))
     whole = texts.where(~F.col("marked")).select(
         "doc_id",
@@ -532,6 +554,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
         F.lit(0).cast("long").alias("n_removed"),
         F.expr("cast(array() as array<struct<start:long,end:long>>)").alias("spans"),
         body.alias("kept"),
+        "rest",
     )
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -544,6 +567,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
             start, end = (np.asarray(batch.column(i).fill_null(-1)) for i in (3, 4))
             new = np.flatnonzero(np.concatenate(([True], (ids[1:] != ids[:-1]) | (keys[1:] != keys[:-1]) | ((start[1:] < 0) != (start[:-1] < 0)))))
             out: list[tuple] = []
+            chosen: list[int] = []
             for a, b in zip(new, np.append(new[1:], len(ids)), strict=True):
                 if (ids[a], keys[a]) != now:
                     now, found, runs = (ids[a], keys[a]), [], None
@@ -554,21 +578,27 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
                     runs = _joined(*(np.concatenate(x) for x in zip(*found, strict=True))) if found else (start[:0], end[:0])
                 for text in batch.column(2).slice(a, b - a).to_pylist():
                     body = (text or "").encode("utf-8", "surrogatepass")
-                    edges = [0, *np.stack(runs, axis=1).ravel().tolist(), len(body)]
+                    cuts = list(zip(*(r.tolist() for r in runs), strict=True))
+                    if whole_chars:
+                        cuts = _whole_chars(body, cuts)
+                    edges = [0, *(x for c in cuts for x in c), len(body)]
                     kept = b"".join(body[edges[i] : edges[i + 1]] for i in range(0, len(edges), 2))
-                    pairs = [{"start": s, "end": e} for s, e in zip(*(r.tolist() for r in runs), strict=True)]
+                    pairs = [{"start": s, "end": e} for s, e in cuts]
                     out.append((int(ids[a]), len(body), len(body) - len(kept), pairs, kept))
+                chosen.extend(range(a, b))
             if out:
                 types = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])), pa.binary())
+                rest = batch.column(5).take(pa.array(chosen, pa.int64()))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], ["doc_id", "n_bytes", "n_removed", "spans", "kept"]
+                    [*(pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)), rest],
+                    ["doc_id", "n_bytes", "n_removed", "spans", "kept", "rest"],
                 )
 
     long = F.lit(None).cast("long")
     with_spans = (
         texts.where("marked")
-        .select("doc_id", "text_key", "text", long.alias("start"), long.alias("end"))
-        .unionByName(spans.select("doc_id", "text_key", F.lit(None).cast("string").alias("text"), "start", "end"))
+        .select("doc_id", "text_key", "text", long.alias("start"), long.alias("end"), "rest")
+        .unionByName(spans.select("doc_id", "text_key", F.lit(None).cast("string").alias("text"), "start", "end", F.lit(None).cast(rest_type).alias("rest")))
         .repartition("doc_id")
         .sortWithinPartitions("doc_id", "text_key", F.col("start").asc_nulls_last())
         .mapInArrow(cut, result)
