@@ -12,6 +12,7 @@ from ebbtide.llm import (
     ngram_filter,
     piece_dropout,
     suffix_dedup,
+    token_files,
 )
 
 QUERIES = {
@@ -23,6 +24,7 @@ QUERIES = {
         decontaminate.op4_decontaminate,
         piece_dropout.op5_piece_dropout,
         bit_sliced.op6_bit_sliced_top_k,
+        token_files.op7_token_files,
         language_id.op8_language_id,
         line_dedup.op9_line_dedup,
         ngram_filter.op10_ngram_filter,
