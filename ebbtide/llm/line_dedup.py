@@ -69,7 +69,7 @@ def places(docs: DataFrame, unit: str, min_words: int, long_words: int) -> DataF
             ids, keys, texts = (batch.column(i).to_pylist() for i in range(3))
             out: list[list] = [[] for _ in range(6)]
             for i, k, t in zip(ids, keys, texts, strict=True):
-                for start, end, after in cut(t or "", unit, long_words):
+                for start, end, after in cut(t, unit, long_words) if t else ():
                     body, n = normal(t[start:end])
                     if n >= min_words:
                         row = (i, k, start, end, after, hashlib.blake2b(body, digest_size=16).digest())
