@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import os
 import tempfile
 import zipfile
@@ -18,6 +20,19 @@ BATCH_ROWS = 1000
 #: Bytes of text that one NumPy pass works on.
 PIECE_BYTES = 1 << 20
 
+
+
+def _give_back() -> None:
+    """Large arrays go back to the system when freed. Workers live through many
+    stages, and what each leaves in the allocator would add up."""
+    with contextlib.suppress(OSError, AttributeError):
+        libc = ctypes.CDLL(None)
+        libc.mallopt(-3, 1 << 20)  # smallest block that is mapped by itself
+        libc.mallopt(-1, 16 << 20)  # most free memory kept at the end of the heap
+        pa.set_memory_pool(pa.system_memory_pool())
+
+
+_give_back()
 _shipped: set[str] = set()
 
 

@@ -46,7 +46,7 @@ from ebbtide.llm import common
 
 WIDTH, SEED = 100, 16
 LEFT = WIDTH - SEED
-RUN_BYTES, STRETCH = 16 << 20, 2 << 20
+RUN_BYTES, STRETCH, TIES = 16 << 20, 1 << 19, 16_000
 HEAD = 8
 #: Layout of an entry: hash, suffix (zero-filled), its length, tail.
 TAIL = HEAD + WIDTH + 1
@@ -184,7 +184,7 @@ class _Run:
         breaks = np.append(np.flatnonzero(~same[tied]), len(tied)) if len(tied) else np.zeros(1, np.int64)
         a = 0
         while a < len(tied):
-            b = int(breaks[min(np.searchsorted(breaks, a + 50_000), len(breaks) - 1)])
+            b = int(breaks[min(np.searchsorted(breaks, a + TIES), len(breaks) - 1)])
             spot = tied[a:b]
             i = order[spot]
             m = np.zeros((len(i), (ROOM + 7) // 8 * 8), np.uint8)
