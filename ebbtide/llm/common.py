@@ -27,8 +27,8 @@ def _give_back() -> None:
     stages, and what each leaves in the allocator would add up."""
     with contextlib.suppress(OSError, AttributeError):
         libc = ctypes.CDLL(None)
-        libc.mallopt(-3, 1 << 20)  # smallest block that is mapped by itself
-        libc.mallopt(-1, 16 << 20)  # most free memory kept at the end of the heap
+        libc.mallopt(-3, 8 << 20)  # smallest block that is mapped by itself
+        libc.mallopt(-1, 64 << 20)  # most free memory kept at the end of the heap
         pa.set_memory_pool(pa.system_memory_pool())
 
 
