@@ -123,6 +123,6 @@ def category_text(c: Column | str) -> Column:
 
 
 def percent_lift(before: Column | str, after: Column | str) -> Column:
-    """Reduction from ``before`` to ``after`` in percent of ``before``."""
+    """Reduction from ``before`` to ``after`` in percent of ``before``; NULL if that is 0."""
     before, after = _col(before), _col(after)
-    return (before - after) / before * F.lit(100.0)
+    return F.try_divide(before - after, before) * F.lit(100.0)

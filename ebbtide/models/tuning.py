@@ -52,28 +52,46 @@ def best_round(curve: Sequence[float], patience: int = 50) -> tuple[int, float]:
 
 def loss_curves(
     rows: DataFrame, candidates: Sequence[Mapping[str, float]], k: int, rounds: int, bins: int,
-    label: str = TARGET, parallel: int = 2,
+    label: str = TARGET, parallel: int = 2, patience: int = 50,
 ) -> list[list[float]]:
     """Mean held-out log loss by round, one curve per candidate.
 
-    The held-out rows get weight 1, so the loss is the plain one; the learner
-    reports twice that loss.
+    A candidate is trained for ``patience`` + 1 rounds first, then for twice as
+    many, and so on to ``rounds``; it stops once its best round lies ``patience``
+    rounds back. (The learner cannot resume, so doubling costs at most as much
+    again as the last length, and a candidate past its best costs no more.) The
+    held-out rows get weight 1, so the loss is the plain one; the learner reports
+    twice that loss.
     """
+    curves: dict[int, list[float]] = {}
+    length, open_trials = min(rounds, patience + 1), list(range(len(candidates)))
+    while open_trials:
+        curves |= _curves_of(rows, candidates, open_trials, k, length, bins, label, parallel)
+        if length == rounds:
+            break
+        open_trials = [t for t in open_trials if best_round(curves[t], patience)[0] + patience > len(curves[t])]
+        length = min(rounds, 2 * length)
+    return [curves[t] for t in range(len(candidates))]
+
 
+def _curves_of(
+    rows: DataFrame, candidates: Sequence[Mapping[str, float]], trials: Sequence[int], k: int, rounds: int, bins: int,
+    label: str, parallel: int,
+) -> dict[int, list[float]]:
     def one(job: tuple[int, int]) -> list[float]:
         trial, fold = job
         model = tree_learner(candidates[trial], rounds, bins, label).fit(rows.where(F.col("fold") != fold))
         held_out = rows.where(F.col("fold") == fold).withColumn("weight", F.lit(1.0))
         return [v / 2.0 for v in model.evaluateEachIteration(held_out)]
 
-    jobs = [(t, f) for t in range(len(candidates)) for f in range(k)]
+    jobs = [(t, f) for t in trials for f in range(k)]
     session = SparkSession.active()
     with ThreadPool(min(parallel, len(jobs))) as pool:
         results = pool.map(inheritable_thread_target(session)(one), jobs)
-    curves = []
-    for t in range(len(candidates)):
+    curves = {}
+    for t in trials:
         mine = [r for (trial, _), r in zip(jobs, results) if trial == t]
-        curves.append([sum(step) / len(step) for step in zip(*mine)])
+        curves[t] = [sum(step) / len(step) for step in zip(*mine)]
     return curves
 
 
@@ -82,7 +100,7 @@ def random_search(
     features: Sequence[str],
     n_trials: int = 30,
     k: int = 5,
-    rounds: int = 100,
+    rounds: int = 1000,
     patience: int = 50,
     seed: int = 42,
     label: str = TARGET,
@@ -93,9 +111,9 @@ def random_search(
     best_round, n_trials and one row per trial."""
     rng = random.Random(seed)
     candidates = [draw(space, rng) for _ in range(n_trials)]
-    ready, rows = prepare_trees(add_folds(train, ID, k, seed), features, label, keep=["fold"])
+    ready, rows = prepare_trees(add_folds(train, ID, label, k, seed), features, label, keep=["fold"])
     try:
-        curves = loss_curves(rows, candidates, k, rounds, bins_needed(ready.stages), label, parallel)
+        curves = loss_curves(rows, candidates, k, rounds, bins_needed(ready.stages), label, parallel, patience)
     finally:
         rows.unpersist()
     trials = []

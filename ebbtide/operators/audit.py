@@ -19,7 +19,7 @@ def rule_audit(df: DataFrame, rules: Mapping[str, Column], percent: Sequence[str
     for name, broken in rules.items():
         aggs.append(F.count_if(broken).alias(name))
         if name in percent:
-            share = F.count_if(broken) * F.lit(100.0) / F.count(F.lit(1))
+            share = F.try_divide(F.count_if(broken) * F.lit(100.0), F.count(F.lit(1)))
             aggs.append(F.round(share, digits).alias(f"{name}_pct"))
     return df.agg(*aggs)
 

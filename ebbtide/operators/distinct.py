@@ -7,21 +7,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-WORD_BITS = 6  # 64 values per word
-MAX_WORDS = 8
-
-
-def _bit_words(c: str, low: int, high: int) -> list[Column]:
-    """One bit per integer of [low, high], as aggregated 64-bit words."""
-    offset = F.col(c).cast("int") - F.lit(low)
-    place = offset.bitwiseAND(F.lit((1 << WORD_BITS) - 1))
-    bit = F.call_function("shiftleft", F.lit(1).cast("long"), place)
-    return [
-        F.bit_or(F.when(F.shiftright(offset, WORD_BITS) == w, bit))
-        for w in range(((high - low) >> WORD_BITS) + 1)
-    ]
-
-
 def sums_and_distinct(
     df: DataFrame,
     key: str,
@@ -32,26 +17,12 @@ def sums_and_distinct(
 ) -> DataFrame:
     """Per key: the number of different ``distinct`` values and the given sums.
 
-    With a narrow integer ``window`` (rows outside are dropped) every value gets
-    one bit and the words are OR-ed: one shuffle, combined on the map side, and
-    still exact. Otherwise rows are combined per (key, value) first, so that a
-    key with a large share of all rows arrives as one row per value and task.
+    Rows (those of an integer ``window``, if there is one) are combined per
+    (key, value) first, so that a key with a large share of all rows arrives as
+    one row per value and task.
     """
     if window is not None:
-        low, high = window
-        df = df.where(F.col(distinct).between(low, high))
-        if (high - low) >> WORD_BITS < MAX_WORDS:
-            words = _bit_words(distinct, low, high)
-            names = [f"_word{i}" for i in range(len(words))]
-            grouped = df.groupBy(key).agg(
-                *[w.alias(n) for n, w in zip(names, words)],
-                *[F.sum(c).alias(n) for n, c in sums.items()],
-            )
-            ones = [F.bit_count(F.coalesce(F.col(n), F.lit(0).cast("long"))).cast("long") for n in names]
-            total = ones[0]
-            for more in ones[1:]:
-                total = total + more
-            return grouped.select(key, total.alias(distinct_name), *sums)
+        df = df.where(F.col(distinct).between(*window))
     per_value = df.groupBy(key, distinct).agg(*[F.sum(c).alias(n) for n, c in sums.items()])
     return per_value.groupBy(key).agg(
         F.count(distinct).alias(distinct_name), *[F.sum(n).alias(n) for n in sums]

@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 
 from ebbtide.functions.columns import clip_upper
 from ebbtide.operators.prefix import running_sums
-from ebbtide.operators.small import join_groups, settle
-from ebbtide.session import durable
+from ebbtide.operators.small import join_groups
 
 
 def _frequencies(df: DataFrame, by: Sequence[str], columns: Sequence[str]) -> DataFrame:
@@ -69,18 +68,18 @@ def histogram(
     clip: float | None = None,
     density: bool = False,
 ) -> DataFrame:
-    """Rows (by…, bin, lower, upper, n[, density]) of the non-empty bins.
+    """Rows (by…, bin, lower, upper, n[, density]), one for each bin, empty ones too.
 
     Every group has its own range from its smallest to its greatest value. Bins
     are half open, the last one is closed. A group with one value gets a range
-    of width 1 around it.
+    of width 1 around it. NULL and NaN are left out.
     """
     value = F.col(column).cast("double")
     value = clip_upper(value, float(clip)) if clip is not None else value
-    # Combined by value first, and kept: both the range and the bins read it.
-    counts = durable(
+    # Combined by value first: the range and the bins both read that one exchange.
+    counts = (
         df.select(*by, value.alias("_v"))
-        .where(F.col("_v").isNotNull())
+        .where(F.col("_v").isNotNull() & ~F.isnan("_v"))
         .groupBy(*by, "_v")
         .agg(F.count(F.lit(1)).alias("_n"))
     )
@@ -90,7 +89,7 @@ def histogram(
     flat = F.min("_v") == F.max("_v")
     low = F.when(flat, F.min("_v") - 0.5).otherwise(F.min("_v"))
     high = F.when(flat, F.max("_v") + 0.5).otherwise(F.max("_v"))
-    ranges = settle(
+    ranges = (
         source.groupBy(*keys)
         .agg(low.alias("_lo"), high.alias("_hi"), F.sum("_n").alias("_total"))
         .withColumn("_width", (F.col("_hi") - F.col("_lo")) / F.lit(float(bins)))
@@ -103,11 +102,13 @@ def histogram(
         .withColumn("_guess", F.least(((v - lo) / w).cast("int"), F.lit(bins - 1)))
         .withColumn("bin", cell)
         .groupBy(*keys, "bin")
-        .agg(F.sum("_n").alias("n"), *[F.first(c).alias(c) for c in ("_lo", "_hi", "_width", "_total")])
+        .agg(F.sum("_n").alias("n"))
     )
+    grid = ranges.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
+    full = join_groups(grid, counted, [*keys, "bin"], "left").fillna(0, subset=["n"])
     b = F.col("bin")
     upper = F.when(b == bins - 1, F.col("_hi")).otherwise((b + 1) * w + lo)
-    out = counted.select(*by, "bin", (b * w + lo).alias("lower"), upper.alias("upper"), "n", "_total")
+    out = full.select(*by, "bin", (b * w + lo).alias("lower"), upper.alias("upper"), "n", "_total")
     if density:
         out = out.withColumn("density", F.col("n") / F.col("_total") / (F.col("upper") - F.col("lower")))
     return out.drop("_total")

@@ -1,7 +1,10 @@
 """Quality of scores: losses, ranking metrics, curves, threshold sweeps, drift.
 
-Every function takes rows of a 0/1 label and a probability. Ranking metrics
-first combine equal scores, so a score shared by a third of all rows is one row.
+Every function takes rows of a 0/1 label and a probability. A row without a
+label, or whose probability is NULL or NaN, is left out of all of them alike
+(``scored``); ``left_out`` counts such rows. Ratios over no rows are NULL.
+Ranking metrics first combine equal scores, so a score shared by a third of all
+rows is one row.
 """
 
 from __future__ import annotations
@@ -31,25 +34,43 @@ def _loss(y: Column, p: Column) -> Column:
     return F.when(y == 1, -F.log(p)).otherwise(-F.log(F.lit(1.0) - p))
 
 
+def _known(p: str) -> Column:
+    return F.col(p).isNotNull() & ~F.isnan(F.col(p).cast("double"))
+
+
+def scored(pred: DataFrame, y: str = "y_true", p: str = "y_prob") -> DataFrame:
+    """The rows that count."""
+    return pred.where(F.col(y).isNotNull() & _known(p))
+
+
+def left_out(pred: DataFrame, y: str = "y_true", p: str = "y_prob") -> DataFrame:
+    """How many rows count, and how many do not for want of a label or a probability."""
+    return pred.agg(
+        F.count_if(F.col(y).isNotNull() & _known(p)).alias("n_scored"),
+        F.count_if(F.col(y).isNull()).alias("n_without_label"),
+        F.count_if(~_known(p)).alias("n_without_probability"),
+    )
+
+
 def log_loss(pred: DataFrame, y: str = "y_true", p: str = "y_prob") -> DataFrame:
-    return pred.agg(F.avg(_loss(F.col(y), F.col(p))).alias("log_loss"))
+    return scored(pred, y, p).agg(F.avg(_loss(F.col(y), F.col(p))).alias("log_loss"))
 
 
 def brier(pred: DataFrame, y: str = "y_true", p: str = "y_prob") -> DataFrame:
-    return pred.agg(F.avg((F.col(p) - F.col(y)) * (F.col(p) - F.col(y))).alias("brier"))
+    return scored(pred, y, p).agg(F.avg((F.col(p) - F.col(y)) * (F.col(p) - F.col(y))).alias("brier"))
 
 
 def alert_share(pred: DataFrame, p: str = "y_prob", over: float = 0.5) -> DataFrame:
     """Share of rows whose probability lies above a cut."""
-    return pred.agg(
+    return pred.where(_known(p)).agg(
         F.count_if(F.col(p) > over).alias("n_over"),
-        (F.count_if(F.col(p) > over) / F.count(p)).alias("share_over"),
+        F.try_divide(F.count_if(F.col(p) > over), F.count(p)).alias("share_over"),
     )
 
 
 def score_counts(pred: DataFrame, y: str = "y_true", p: str = "y_prob") -> DataFrame:
     """Positives and negatives per distinct score."""
-    return pred.groupBy(F.col(p).alias("score")).agg(
+    return scored(pred, y, p).groupBy(F.col(p).alias("score")).agg(
         F.count_if(F.col(y) == 1).alias("pos"), F.count_if(F.col(y) == 0).alias("neg")
     )
 
@@ -68,7 +89,7 @@ def _auc_terms() -> tuple[Column, Column]:
     pairs = F.sum("pos").cast("double") * F.sum("neg").cast("double")
     lost = F.sum(F.col("pos") * (F.col("neg_upto") - F.col("neg") / F.lit(2.0)))
     roc = F.when(pairs > 0, (pairs - lost) / pairs)
-    precision = F.col("pos_upto") / (F.col("pos_upto") + F.col("neg_upto"))
+    precision = F.coalesce(F.try_divide("pos_upto", F.col("pos_upto") + F.col("neg_upto")), F.lit(0.0))
     ap = F.when(F.sum("pos") > 0, F.sum(F.col("pos") * precision) / F.sum("pos"))
     return roc, ap
 
@@ -141,9 +162,10 @@ def metric_record(
     """
     ranked = ranked_counts(pred, y, p)
     roc, ap = _auc_terms()
-    loss = F.sum(
-        F.col("pos") * _loss(F.lit(1), F.col("score")) + F.col("neg") * _loss(F.lit(0), F.col("score"))
-    ) / F.sum(F.col("pos") + F.col("neg"))
+    loss = F.try_divide(
+        F.sum(F.col("pos") * _loss(F.lit(1), F.col("score")) + F.col("neg") * _loss(F.lit(0), F.col("score"))),
+        F.sum(F.col("pos") + F.col("neg")),
+    )
     ranking = ranked.agg(loss.alias("log_loss"), roc.alias("roc_auc"), ap.alias("pr_auc"))
     best = best_threshold(_with_f1(_sweep_counts(ranked.select("score", "pos", "neg"))))
     both = _side_by_side(ranking, best.select("f1", "f1_threshold"))
@@ -202,7 +224,7 @@ def pr_curve(pred: DataFrame, y: str = "y_true", p: str = "y_prob") -> DataFrame
     ranked = ranked_counts(pred, y, p)
     prevalence = safe_divide("pos_total", F.col("pos_total") + F.col("neg_total")).alias("prevalence")
     curve = ranked.select(
-        (F.col("pos_upto") / (F.col("pos_upto") + F.col("neg_upto"))).alias("precision"),
+        F.try_divide("pos_upto", F.col("pos_upto") + F.col("neg_upto")).alias("precision"),
         safe_divide("pos_upto", "pos_total", default=1.0).alias("recall"),
         F.col("score").alias("threshold"),
         prevalence,
@@ -234,7 +256,7 @@ def confusion(pred: DataFrame, y: str = "y_true", p: str = "y_prob") -> DataFram
 def reliability(pred: DataFrame, y: str = "y_true", p: str = "y_prob", bins: int = 10) -> DataFrame:
     """Mean probability against observed rate in equal-width probability bins."""
     cell = F.least(F.floor(F.col(p) * F.lit(float(bins))), F.lit(bins - 1)).cast("int")
-    return pred.groupBy(cell.alias("bin")).agg(
+    return scored(pred, y, p).groupBy(cell.alias("bin")).agg(
         F.count(F.lit(1)).alias("n"), F.avg(p).alias("mean_prob"), F.avg(y).alias("observed_rate")
     )
 
@@ -255,7 +277,7 @@ def drift_report(before: DataFrame, after: DataFrame, y: str = "y_true", p: str
 
     def long(pred: DataFrame, name: str) -> DataFrame:
         record = metric_record(pred, y, p, rounded=False)
-        rate = pred.agg(F.avg(y).alias("v")).select(F.lit("label_rate").alias("metric"), F.col("v").alias(name))
+        rate = scored(pred, y, p).agg(F.avg(y).alias("v")).select(F.lit("label_rate").alias("metric"), F.col("v").alias(name))
         return rate.unionByName(record.unpivot([], METRICS, "metric", name))
 
     # Five rows on each side.

@@ -16,8 +16,6 @@ from pyspark.sql import functions as F
 from ebbtide.operators.small import join_groups
 from ebbtide.session import durable
 
-MAX_RANGES = 2000
-
 
 def running_sums(
     df: DataFrame, order: Sequence[str], counts: Sequence[str], within: Sequence[str] = (), descending: bool = False
@@ -30,7 +28,7 @@ def running_sums(
     ``within`` the sums start anew for each combination of those columns.
     """
     spark = df.sparkSession
-    ranges = min(MAX_RANGES, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
     direction = F.desc if descending else F.asc
     laid = durable(
         df.repartitionByRange(ranges, *within, *[direction(c) for c in order]).withColumn(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ebbtide.functions.columns import ymd_month
@@ -49,10 +49,10 @@ def rollup_rates(rates: DataFrame, key: str, rate: str = "churn_rate") -> DataFr
 
 
 def value_shares(df: DataFrame, column: str, k: int | None = None, digits: int = 2) -> DataFrame:
-    """Frequency and share in percent of every value; the window sees one row
-    per value, after the counting."""
+    """Frequency and share in percent of every value; the total is one number,
+    counted by its own aggregate."""
     counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    total = F.sum("n").over(Window.partitionBy())
+    total = df.select(F.count(F.lit(1))).scalar()
     shares = counts.withColumn("pct", F.round(F.col("n") * F.lit(100.0) / total, digits))
     return shares if k is None else top_k(shares, "n", [column], k)
 

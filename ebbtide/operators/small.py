@@ -1,4 +1,4 @@
-"""Small sides of joins: looked at first, broadcast only when they are small."""
+"""Joins on grouping columns; the join plan is left to the sizes seen at run time."""
 
 from __future__ import annotations
 
@@ -8,21 +8,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_ROWS = 4096
-
-
-def settle(df: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
-    """Compute an aggregate once and mark it for broadcast if it is small.
-
-    At most ``max_rows + 1`` rows come to the driver. A larger result is handed
-    back as it was, without a hint: the join then shuffles, and adaptive
-    execution splits whichever partitions turn out heavy.
-    """
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))
-
 
 def join_groups(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
     """Equi-join on grouping columns in which NULL is a group of its own."""

@@ -6,12 +6,11 @@ so a lost executor, another cluster or a SQL engine draws the same rows.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ebbtide.operators.small import settle
-from ebbtide.session import durable
-
 HASH_BITS = 32
 SPACE = 1 << HASH_BITS
 
@@ -22,54 +21,88 @@ def key_hash(key: str, seed: int | str) -> Column:
     return F.conv(F.substring(F.md5(text), 1, HASH_BITS // 4), 16, 10).cast("long")
 
 
-def stratified_split(
-    df: DataFrame, key: str, label: str, test_share: float = 0.2, seed: int = 42, exact: bool = False
-) -> DataFrame:
-    """Add ``is_test``.
+def stratified_split(df: DataFrame, key: str, label: str, test_share: float = 0.2, seed: int = 42) -> DataFrame:
+    """Add ``is_test``, with each class's share to the row (all classes together
+    ``ceil(share * n)``): a class is cut at its k-th smallest (hash, key)."""
+    hashed = df.withColumn("_h", key_hash(key, seed))
+    sizes, cells = _cells(hashed, label)
+    ranks = {c: [n] for c, n in _quotas(sizes, test_share).items()}
+    above = _cuts_passed(hashed, key, label, cells, ranks)
+    return hashed.withColumn("is_test", (above == 0).cast("int")).drop("_h")
+
+
+def folds(df: DataFrame, key: str, label: str, k: int = 5, seed: int = 42, name: str = "fold") -> DataFrame:
+    """Add a fold number; the folds of every class differ by one row at most.
 
-    The plain form compares the hash with a cut-off: no shuffle, and shares that
-    match in expectation. The exact form gives every class its share to the row
-    (all classes together ``ceil(share * n)``), by finding the cut-off per class.
+    The hash differs from the split's, so a training set is cut as evenly as the
+    whole table.
     """
-    hashed = df.withColumn("_h", key_hash(key, seed))
-    if not exact:
-        return hashed.withColumn("is_test", (F.col("_h") < int(test_share * SPACE)).cast("int")).drop("_h")
-    return _exact_split(hashed, key, label, test_share)
+    hashed = df.withColumn("_h", key_hash(key, f"fold{seed}"))
+    sizes, cells = _cells(hashed, label)
+    ranks = {c: [n * j // k for j in range(1, k)] for c, n in sizes.items()}
+    return hashed.withColumn(name, _cuts_passed(hashed, key, label, cells, ranks)).drop("_h")
+
+
+def _cells(hashed: DataFrame, label: str) -> tuple[dict, dict]:
+    """Rows of each class, and its histogram over the top 16 bits of the hash
+    (65,536 numbers for a class at most, whatever the number of rows)."""
+    cells: dict = {}
+    for r in hashed.groupBy(label, F.shiftright("_h", HASH_BITS - 16).alias("cell")).count().collect():
+        cells.setdefault(r[label], {})[r["cell"]] = r["count"]
+    return {c: sum(v.values()) for c, v in cells.items()}, cells
 
 
-def _exact_split(hashed: DataFrame, key: str, label: str, share: float) -> DataFrame:
-    """Cut each class at its k-th smallest (hash, key).
+def _cuts_passed(hashed: DataFrame, key: str, label: str, cells: dict, ranks: dict) -> Column:
+    """How many cuts of its class lie below a row; a cut is the row of a given rank by (hash, key).
 
-    A histogram over the top bits of the hash finds the cell the cut falls in.
-    Only the rows of that cell, about one in 65,536, are ranked to find the cut
-    itself; marking the rows is then a comparison, without a shuffle.
+    The histogram tells the cell of each cut. Only rows of those cells, about one
+    in 65,536, are ranked; what comes back is a few cut points for each class,
+    and marking the rows is then a comparison, without a shuffle.
     """
-    cell = F.shiftright("_h", HASH_BITS - 16)
-    cells = durable(hashed.groupBy(label, cell.alias("_cell")).agg(F.count(F.lit(1)).alias("_n")))
-    sizes = {r[label]: r["n"] for r in cells.groupBy(label).agg(F.sum("_n").alias("n")).collect()}
-    kind = dict(hashed.dtypes)[label]
-    quotas = hashed.sparkSession.createDataFrame(list(_quotas(sizes, share).items()), f"{label} {kind}, _quota long")
-    upto = F.sum("_n").over(Window.partitionBy(label).orderBy("_cell"))  # at most 65,536 rows per class
-    cut_cells = (
-        cells.withColumn("_upto", upto)
-        .join(settle(quotas), label)
-        .where((F.col("_upto") >= F.col("_quota")) & (F.col("_upto") - F.col("_n") < F.col("_quota")))
-        .select(label, "_cell", (F.col("_quota") - F.col("_upto") + F.col("_n")).alias("_rank"))
-    )
-    rank = F.row_number().over(Window.partitionBy(label).orderBy("_h", key))
-    cuts = (
-        hashed.select(label, key, "_h", cell.alias("_cell"))
-        .join(settle(cut_cells), [label, "_cell"])
-        .withColumn("_rn", rank)
-        .where("_rn = _rank")
-        .select(label, F.struct("_h", key).alias("_cut"))
-    )
-    inside = F.coalesce(F.struct("_h", key) <= F.col("_cut"), F.lit(False))
-    return (
-        hashed.join(settle(cuts), label, "left")
-        .withColumn("is_test", inside.cast("int"))
-        .select(*[c for c in hashed.columns if c != "_h"], "is_test")
-    )
+    wanted: dict = {}
+    for c, of_class in ranks.items():
+        seen = 0
+        todo = sorted({r for r in of_class if r > 0})
+        for cell in sorted(cells[c]):
+            seen += cells[c][cell]
+            while todo and todo[0] <= seen:
+                rank = todo.pop(0)
+                wanted.setdefault((c, cell), []).append((rank - seen + cells[c][cell], rank))
+    cuts: dict = {}
+    if wanted:
+        cell = F.shiftright("_h", HASH_BITS - 16)
+        spots: dict = {}
+        for c, at in wanted:
+            spots.setdefault(c, []).append(at)
+        chosen = functools.reduce(
+            lambda a, b: a | b, [F.col(label).eqNullSafe(F.lit(c)) & cell.isin(at) for c, at in spots.items()]
+        )
+        place = F.row_number().over(Window.partitionBy(label, "_cell").orderBy("_h", key))
+        ranked = hashed.where(chosen).select(label, key, "_h", cell.alias("_cell")).withColumn("_rn", place)
+        rows = functools.reduce(
+            lambda a, b: a | b,
+            [
+                F.col(label).eqNullSafe(F.lit(c)) & (F.col("_cell") == at) & F.col("_rn").isin([n for n, _ in places])
+                for (c, at), places in wanted.items()
+            ],
+        )
+        for r in ranked.where(rows).collect():
+            rank = dict(wanted[r[label], r["_cell"]])[r["_rn"]]
+            cuts[r[label], rank] = (r["_h"], r[key])
+    here = F.struct(F.col("_h"), F.col(key).alias("_key"))
+    kind = dict(hashed.dtypes)[key]
+    out = F.lit(0)
+    for c, of_class in ranks.items():
+        passed = F.lit(0)
+        for rank in of_class:
+            if rank > 0:
+                h, k = cuts[c, rank]
+                cut = F.struct(F.lit(h).cast("long").alias("_h"), F.lit(k).cast(kind).alias("_key"))
+                passed = passed + (here > cut).cast("int")
+            else:
+                passed = passed + F.lit(1)
+        out = F.when(F.col(label).eqNullSafe(F.lit(c)), passed).otherwise(out)
+    return out
 
 
 def _quotas(sizes: dict, share: float) -> dict:
@@ -83,12 +116,6 @@ def _quotas(sizes: dict, share: float) -> dict:
     return quota
 
 
-def folds(df: DataFrame, key: str, k: int = 5, seed: int = 42, name: str = "fold") -> DataFrame:
-    """Add a fold number. Its hash differs from the split's, so the folds of a
-    training set are as even as those of the whole table, in every class."""
-    return df.withColumn(name, F.pmod(key_hash(key, f"fold{seed}"), F.lit(k)).cast("int"))
-
-
 def hash_sample(df: DataFrame, key: str, n: int = 2000, seed: int = 42) -> DataFrame:
     """n rows without replacement: the smallest hashes, by per-task top-n."""
     return df.withColumn("_h", key_hash(key, f"sample{seed}")).orderBy("_h", key).limit(n).drop("_h")

@@ -9,7 +9,7 @@ from __future__ import annotations
 from ebbtide.operators.metrics import EPS, METRICS, THRESHOLDS
 from ebbtide.plans.features import ACTIVITY, COUNTS, LAST, MART, PLAYS
 from ebbtide.plans.profile_report import MINI
-from ebbtide.registry.spark_queries import IMPUTED, SEGMENT_COLUMNS, WINDOW
+from ebbtide.registry.spark_queries import IMPUTED, SEGMENT_COLUMNS
 from ebbtide.models.prepare import BEHAVIOUR, CATEGORICAL, SUBSCRIPTION
 from ebbtide.sources.shared_tables import EARLIER, LATER, OUTCOME_DAYS, PLAY_EVENTS
 
@@ -100,7 +100,7 @@ def _txnf(positive: bool = False) -> str:
       FROM ({_RANKED}) GROUP BY msno)"""
 
 
-def _actf(window: tuple[int, int] | None = WINDOW, positive: bool = False) -> str:
+def _actf(window: tuple[int, int] | None = None, positive: bool = False) -> str:
     where = f"WHERE date >= {window[0]} AND date <= {window[1]}" if window else ""
     sources = ["num_100", "num_unq", "num_25", "num_50", "num_75", "num_985",
                "num_25 + num_50 + num_75 + num_985 + num_100"]
@@ -129,7 +129,7 @@ def _mart(as_of: str) -> str:
       LEFT JOIN txnf t ON lab.msno = t.msno LEFT JOIN actf a ON lab.msno = a.msno"""
 
 
-def _with_mart(as_of: str = LATER, window=WINDOW, positive: bool = False, **more: str) -> str:
+def _with_mart(as_of: str = LATER, window=None, positive: bool = False, **more: str) -> str:
     return _ctes(
         as_of, memf=_memf(as_of), txnf=_txnf(positive), actf=_actf(window, positive), mart=_mart(as_of), **more
     )
@@ -139,7 +139,7 @@ _HISTORY = f"""SELECT msno, count(*) AS txn_count, datediff('day', {_date('max(t
       {_date('max(membership_expire_date)')}) AS days_until_expiry FROM txn GROUP BY msno"""
 _USE = f"""SELECT msno, count(DISTINCT date) AS active_days, CAST(sum(total_secs) AS DOUBLE) AS total_secs,
       CAST(sum(num_unq) AS BIGINT) AS total_unique_songs, CAST(sum(num_25) AS BIGINT) AS total_partial_plays
-      FROM log WHERE date BETWEEN {WINDOW[0]} AND {WINDOW[1]} GROUP BY msno"""
+      FROM log GROUP BY msno"""
 _MINI = f"""SELECT lab.msno, is_churn, age, tenure_days, r.is_auto_renew AS last_auto_renew,
       r.is_cancel AS last_cancel, r.payment_plan_days AS last_plan_days, {_DISCOUNT} AS has_discount,
       h.txn_count, h.days_until_expiry, u.active_days, u.total_secs, u.total_unique_songs
@@ -193,7 +193,7 @@ def _hist(source: str, column: str, bins: int, by: str | None = None, clip: floa
         b * ((hi - lo) / CAST({bins} AS DOUBLE)) + lo AS lo_edge,
         CASE WHEN b = {bins - 1} THEN hi ELSE (b + 1) * ((hi - lo) / CAST({bins} AS DOUBLE)) + lo END AS hi_edge
         FROM rg, range({bins}) AS bb(b)),
-      bars AS (SELECT e.k, bin, lo_edge, hi_edge, total, count(*) AS n FROM v JOIN edges e
+      bars AS (SELECT e.k, bin, lo_edge, hi_edge, total, count(x) AS n FROM edges e LEFT JOIN v
         ON v.k = e.k AND x >= lo_edge AND (x < hi_edge OR bin = {bins - 1}) GROUP BY ALL)
       SELECT {named}{d}bin, round(lo_edge, 6) AS lower, round(hi_edge, 6) AS upper, n FROM bars"""
 
@@ -202,7 +202,15 @@ def _hash(seed: str, key: str = "msno") -> str:
     return f"CAST('0x' || substr(md5('{seed}:' || CAST({key} AS VARCHAR)), 1, 8) AS BIGINT)"
 
 
-_IN_TEST = f"CASE WHEN {_hash('42')} < {int(0.2 * 2**32)} THEN 1 ELSE 0 END"
+def _marked(source: str, share: float = 0.2, columns: str = "s.*") -> str:
+    """Rows of a source with ``is_test``: each class cut at its rank by hash."""
+    return f"""SELECT {columns}, CASE WHEN row_number() OVER (PARTITION BY s.is_churn ORDER BY {_hash('42', 's.msno')}, s.msno) <= q
+        THEN 1 ELSE 0 END AS is_test FROM {source} s JOIN (
+        SELECT is_churn, floor(part) + CASE WHEN row_number() OVER (ORDER BY part - floor(part) DESC, is_churn)
+          <= wanted - sum(floor(part)) OVER () THEN 1 ELSE 0 END AS q FROM (
+          SELECT is_churn, ceil(sum(count(*)) OVER () * {share}) AS wanted,
+            ceil(sum(count(*)) OVER () * {share}) * count(*) / CAST(sum(count(*)) OVER () AS DOUBLE) AS part
+          FROM {source} GROUP BY is_churn)) quota ON s.is_churn = quota.is_churn"""
 
 
 # Metrics --------------------------------------------------------------------
@@ -312,14 +320,15 @@ def _inventory() -> str:
 
 
 def _describe() -> str:
-    parts = []
-    for i, part in enumerate(_COLUMNS["orders"].split(", "), start=1):
-        name, kind = part.rstrip(")").split(" (")
-        parts.append(
-            f"SELECT {i} AS position, '{name}' AS column_name, '{kind}' AS column_type, "
-            f"count(*) FILTER ({name} IS NULL) AS null_count FROM orders"
-        )
-    return " UNION ALL ".join(parts)
+    """Names and types as the file has them; only the names of types differ between engines."""
+    nulls = " UNION ALL ".join(
+        f"SELECT '{part.split(' (')[0]}' AS column_name, count(*) FILTER ({part.split(' (')[0]} IS NULL) AS null_count FROM orders"
+        for part in _COLUMNS["orders"].split(", ")
+    )
+    return f"""SELECT CAST(position AS INTEGER) AS position, column_name, CASE column_type WHEN 'VARCHAR' THEN 'string'
+        WHEN 'INTEGER' THEN 'int' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(column_type) END AS column_type, null_count
+      FROM (SELECT row_number() OVER () AS position, * FROM (DESCRIBE SELECT * FROM orders))
+      FULL JOIN ({nulls}) USING (column_name)"""
 
 
 def _coverage() -> str:
@@ -349,19 +358,40 @@ def _subsets() -> str:
 def _one_hot() -> str:
     return " UNION ALL ".join(
         f"SELECT '{c}' AS column_name, level, count(*) AS n FROM (SELECT coalesce(CAST({c} AS VARCHAR), "
-        f"'__missing__') AS level, {_IN_TEST} AS is_test FROM mart) x WHERE is_test = 1 AND level IN (SELECT "
-        f"coalesce(CAST({c} AS VARCHAR), '__missing__') FROM mart WHERE {_IN_TEST} = 0) GROUP BY level"
+        f"'__missing__') AS level, is_test FROM marked) x WHERE is_test = 1 AND level IN (SELECT "
+        f"coalesce(CAST({c} AS VARCHAR), '__missing__') FROM marked WHERE is_test = 0) GROUP BY level"
         for c in CATEGORICAL
     )
 
 
-def _exact_split() -> str:
-    return _ctes() + f""", sizes AS (SELECT is_churn, count(*) AS n, sum(count(*)) OVER () AS total FROM lab GROUP BY 1),
-      want AS (SELECT *, ceil(total * 0.2) AS wanted, ceil(total * 0.2) * n / CAST(total AS DOUBLE) AS part FROM sizes),
-      quota AS (SELECT is_churn, floor(part) + CASE WHEN row_number() OVER (ORDER BY part - floor(part) DESC, is_churn)
-        <= wanted - sum(floor(part)) OVER () THEN 1 ELSE 0 END AS q FROM want)
-      SELECT msno, is_churn, CASE WHEN row_number() OVER (PARTITION BY is_churn ORDER BY {_hash('42')}, msno) <= q
-        THEN 1 ELSE 0 END AS is_test FROM lab JOIN quota USING (is_churn)"""
+def _gaps() -> str:
+    """Metrics of the rows with a label and a probability, after some of either went missing."""
+    rows = f"""SELECT msno, CASE WHEN msno % 5 <> 0 THEN y_true END AS y_true, CASE WHEN msno % 7 = 0 THEN NULL
+      WHEN msno % 11 = 0 THEN CAST('nan' AS DOUBLE) ELSE y_prob END AS y_prob FROM sc"""
+    fine = "SELECT * FROM gap WHERE y_true IS NOT NULL AND y_prob IS NOT NULL AND NOT isnan(y_prob)"
+    loss = f"""avg(-ln(CASE WHEN y_true = 1 THEN greatest(least(y_prob, 1 - {EPS}), {EPS})
+      ELSE 1 - greatest(least(y_prob, 1 - {EPS}), {EPS}) END))"""
+    rank = "rank() OVER (ORDER BY y_prob) + (count(*) OVER (PARTITION BY y_prob) - 1) / CAST(2 AS DOUBLE)"
+    cuts = ", ".join(f"CAST('{t!r}' AS DOUBLE)" for t in THRESHOLDS)
+    return _ctes() + f""", gap AS ({rows}), ok AS ({fine}),
+      step AS (SELECT y_prob, count(*) FILTER (y_true = 1) AS pos, sum(count(*) FILTER (y_true = 1)) OVER d AS tp,
+        sum(count(*)) OVER d AS flagged FROM ok GROUP BY y_prob WINDOW d AS (ORDER BY y_prob DESC)),
+      f AS (SELECT max(CASE WHEN t2 + fp + fn > 0 THEN t2 / CAST(t2 + fp + fn AS DOUBLE) ELSE 0 END) AS f1 FROM (
+        SELECT t, 2 * count(*) FILTER (y_true = 1 AND y_prob >= t) AS t2, count(*) FILTER (y_true = 0 AND y_prob >= t) AS fp,
+        count(*) FILTER (y_true = 1 AND y_prob < t) AS fn FROM ok, unnest([{cuts}]) AS c(t) GROUP BY t)),
+      long AS (
+        SELECT 'n_scored' AS metric, CAST(count(*) AS DOUBLE) AS v FROM ok
+        UNION ALL SELECT 'n_without_label', count(*) FROM gap WHERE y_true IS NULL
+        UNION ALL SELECT 'n_without_probability', count(*) FROM gap WHERE y_prob IS NULL OR isnan(y_prob)
+        UNION ALL SELECT 'log_loss', {loss} FROM ok
+        UNION ALL SELECT 'log_loss_by_row', {loss} FROM ok
+        UNION ALL SELECT 'roc_auc', (sum(r) FILTER (y_true = 1) - p * (p + 1) / CAST(2 AS DOUBLE)) / (p * n) FROM (
+          SELECT y_true, {rank} AS r, count(*) FILTER (y_true = 1) OVER () AS p, count(*) FILTER (y_true = 0) OVER () AS n
+          FROM ok) GROUP BY p, n
+        UNION ALL SELECT 'pr_auc', sum(pos * tp / CAST(flagged AS DOUBLE)) / sum(pos) FROM step
+        UNION ALL SELECT 'f1', f1 FROM f
+        UNION ALL SELECT 'brier', avg(pow(y_prob - y_true, 2)) FROM ok)
+      SELECT metric, round(v, 6) AS v FROM long"""
 
 
 def _drift() -> str:
@@ -476,6 +506,10 @@ def oracles() -> dict[str, str]:
         "histogram_by_class": _ctes() + _hist(paid, "txn_count", 20, "is_churn", 20),
         "histogram_expiry": _ctes() + _hist(near, "days_until_expiry", 50, "is_churn"),
         "histogram_density": _ctes() + _hist(used, "total_secs", 50, "is_churn", 500000, True),
+        "histogram_active_days": _ctes() + _hist(used, "active_days", 31, "is_churn", None, True),
+        "histogram_unique_songs": _ctes() + _hist(used, "total_unique_songs", 50, "is_churn", 3000, True),
+        "histogram_complete_plays": _ctes(actf=_actf()) + _hist(
+            "(SELECT * FROM lab JOIN actf USING (msno))", "complete_plays", 50, "is_churn", 5000, True),
         "histogram_engagement": _ctes() + _hist(depth, "engagement_depth", 50, "is_churn", 5, True),
         "quality_checks": with_mart + _declared(),
         "raw_checks": _ctes() + _check("members", "gender", "accepted_values", "mem",
@@ -487,9 +521,12 @@ def oracles() -> dict[str, str]:
         "range_check": with_mart + " UNION ALL ".join(
             _check("feature_table", c, "in_range", "mart", f"{c} < {lo} OR {c} > {hi}")
             for c, lo, hi in (("completion_rate", 0, 1), ("age", 10, 70), ("days_until_expiry", 0, 400))),
-        "stratified_split": _ctes() + f"SELECT msno, is_churn, {_IN_TEST} AS is_test FROM lab",
-        "stratified_split_exact": _exact_split(),
-        "stratified_folds": _ctes() + f"SELECT msno, is_churn, CAST({_hash('fold42')} % 5 AS INTEGER) AS fold FROM lab",
+        "stratified_split": _ctes() + _marked("lab"),
+        "stratified_split_exact": _ctes() + _marked("lab", 0.35),
+        "stratified_folds": _ctes() + f"""SELECT msno, is_churn, CAST(list_sum(list_transform([1, 2, 3, 4],
+          lambda j: CASE WHEN r > n * j // 5 THEN 1 ELSE 0 END)) AS INTEGER) AS fold FROM (
+          SELECT *, row_number() OVER (PARTITION BY is_churn ORDER BY {_hash('fold42')}, msno) AS r,
+            count(*) OVER (PARTITION BY is_churn) AS n FROM lab)""",
         "hash_sample": _ctes() + f"SELECT msno, is_churn FROM lab ORDER BY {_hash('sample42')}, msno LIMIT 500",
         "class_weights": _ctes() + """, t AS (SELECT count(*) AS n, count(*) FILTER (is_churn = 1) AS p FROM lab)
           SELECT msno, is_churn, n / (CAST(2 AS DOUBLE) * CASE WHEN is_churn = 1 THEN p ELSE n - p END) AS balanced,
@@ -497,7 +534,7 @@ def oracles() -> dict[str, str]:
         "class_balance": _ctes() + """SELECT count(*) FILTER (is_churn = 1) AS n_pos,
           count(*) FILTER (is_churn = 0) AS n_neg, avg(is_churn) AS prevalence,
           CAST(count(*) FILTER (is_churn = 0) AS DOUBLE) / count(*) FILTER (is_churn = 1) AS imbalance_ratio FROM lab""",
-        "median_impute": with_mart + f""", marked AS (SELECT *, {_IN_TEST} AS is_test FROM mart)
+        "median_impute": with_mart + f""", marked AS ({_marked('mart')})
           SELECT msno, is_test, {', '.join(f"CAST(coalesce({c}, (SELECT median({c}) FROM marked WHERE is_test = 0)) AS DOUBLE) AS {c}" for c in IMPUTED)}
           FROM marked""",
         "category_sentinel": with_mart + "SELECT msno, " + ", ".join(
@@ -506,7 +543,7 @@ def oracles() -> dict[str, str]:
         "standardize": with_mart + "SELECT msno, " + ", ".join(
             f"round(({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER (), 6) AS {c}"
             for c in ("txn_count", "total_secs", "active_days")) + " FROM mart",
-        "one_hot": with_mart + _one_hot(),
+        "one_hot": with_mart + f", marked AS ({_marked('mart')}) " + _one_hot(),
         "temporal_holdout": " UNION ALL ".join(
             f"SELECT '{d}' AS period, msno, is_churn, tenure_days, txn_count, last_cancel FROM ("
             + _with_mart(d) + "SELECT * FROM mart)" for d in (EARLIER, LATER)),
@@ -531,6 +568,7 @@ def oracles() -> dict[str, str]:
         "confusion_matrix": _with_metrics() + " UNION ALL ".join(
             f"SELECT round(threshold, 9) AS f1_threshold, {a} AS actual, {p} AS predicted, {cell} AS n FROM best"
             for a, p, cell in ((0, 0, "tn"), (0, 1, "fp"), (1, 0, "fn"), (1, 1, "tp"))),
+        "metrics_with_gaps": _gaps(),
         "brier": _ctes() + "SELECT round(avg(pow(y_prob - y_true, 2)), 6) AS brier FROM sc",
         "reliability_table": _ctes() + """SELECT CAST(least(floor(y_prob * 10), 9) AS INTEGER) AS bin, count(*) AS n,
           round(avg(y_prob), 6) AS mean_prob, round(avg(y_true), 6) AS observed_rate FROM sc GROUP BY 1""",

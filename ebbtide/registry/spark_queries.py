@@ -25,7 +25,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 TIES = ("txn_id",)
-WINDOW = st.LOG_WINDOW
 LABEL = ft.TARGET
 
 
@@ -46,7 +45,7 @@ def _tables(spark, sf_dir, as_of=st.LATER, window=None) -> dict[str, DataFrame]:
     }
 
 
-def _mart(spark, sf_dir, as_of=st.LATER, window=WINDOW, mode="nonzero") -> DataFrame:
+def _mart(spark, sf_dir, as_of=st.LATER, window=None, mode="nonzero") -> DataFrame:
     t = _tables(spark, sf_dir, as_of, window)
     return ft.churn_features(
         t["labels"], t["members"], t["transactions"], t["user_logs"], as_of, window, mode, TIES
@@ -66,13 +65,13 @@ def _paid(spark, sf_dir) -> DataFrame:
 
 
 def _active(spark, sf_dir) -> DataFrame:
-    return st.labels(spark, sf_dir).join(pr.user_activity(st.user_logs(spark, sf_dir, WINDOW), WINDOW), ft.ID)
+    return st.labels(spark, sf_dir).join(pr.user_activity(st.user_logs(spark, sf_dir)), ft.ID)
 
 
 def _mini(spark, sf_dir) -> DataFrame:
-    t = _tables(spark, sf_dir, window=WINDOW)
+    t = _tables(spark, sf_dir)
     return pr.mini_features(
-        t["labels"], t["members"], t["transactions"], t["user_logs"], st.LATER, TIES, WINDOW
+        t["labels"], t["members"], t["transactions"], t["user_logs"], st.LATER, TIES
     )
 
 
@@ -119,7 +118,7 @@ def last_with_totals_by_join(spark, sf_dir):
 
 @query
 def activity_features(spark, sf_dir):
-    return ft.activity_features(st.user_logs(spark, sf_dir, WINDOW), WINDOW)
+    return ft.activity_features(st.user_logs(spark, sf_dir))
 
 
 @query
@@ -160,7 +159,7 @@ def staged_features(spark, sf_dir):
     """Feature stages kept as Parquet before the final join."""
     t = _tables(spark, sf_dir)
     txn = files.stage(ft.transaction_features(t["transactions"], ties=TIES), "table", scratch_path(spark, "txn"))
-    act = files.stage(ft.activity_features(t["user_logs"], WINDOW), "table", scratch_path(spark, "act"))
+    act = files.stage(ft.activity_features(t["user_logs"]), "table", scratch_path(spark, "act"))
     mart = ft.assemble(t["labels"], ft.member_features(t["members"], st.LATER), txn, act)
     return mart.select("msno", "has_transaction_data", "txn_count", "days_until_expiry", "active_days")
 
@@ -208,7 +207,7 @@ def row_counts(spark, sf_dir):
 @query
 def describe_table(spark, sf_dir):
     """Columns of the orders table with type and number of NULLs."""
-    orders = st.table(spark, sf_dir, "orders")
+    orders = files.read_parquet(spark, f"{sf_dir}/orders.parquet")
     return files.describe(orders).join(audit.null_counts(orders), "column_name")
 
 
@@ -327,7 +326,7 @@ def engagement_median(spark, sf_dir):
 
 @query
 def engagement_log1p(spark, sf_dir):
-    activity = ft.activity_features(st.user_logs(spark, sf_dir, WINDOW), WINDOW)
+    activity = ft.activity_features(st.user_logs(spark, sf_dir))
     return activity.select("msno", F.round(c.log1p("engagement_depth"), 9).alias("log_engagement_depth"))
 
 
@@ -361,10 +360,8 @@ def correlation_with_target(spark, sf_dir):
     return _rounded(association.corr_with(_mini(spark, sf_dir), LABEL, pr.MINI), ["abs_r"])
 
 
-SEGMENT_COLUMNS = [
-    "days_until_expiry", "txn_count", "total_auto_renews", "total_discounts", "last_list_price",
-    "total_cancels", "tenure_days", "active_days", "total_secs",
-]
+#: Every numeric feature of the table.
+SEGMENT_COLUMNS = [n for n in ft.MART if n not in (ft.ID, LABEL, *prepare.CATEGORICAL)]
 
 
 @query
@@ -404,6 +401,25 @@ def histogram_density(spark, sf_dir):
     return _rounded(_rounded(bars, ["lower", "upper"]), ["density"], 9)
 
 
+@query
+def histogram_active_days(spark, sf_dir):
+    bars = distributions.histogram(_active(spark, sf_dir), "active_days", 31, [LABEL], density=True)
+    return _rounded(_rounded(bars, ["lower", "upper"]), ["density"], 9)
+
+
+@query
+def histogram_unique_songs(spark, sf_dir):
+    bars = distributions.histogram(_active(spark, sf_dir), "total_unique_songs", 50, [LABEL], clip=3000, density=True)
+    return _rounded(_rounded(bars, ["lower", "upper"]), ["density"], 9)
+
+
+@query
+def histogram_complete_plays(spark, sf_dir):
+    activity = st.labels(spark, sf_dir).join(ft.activity_features(st.user_logs(spark, sf_dir)), ft.ID)
+    bars = distributions.histogram(activity, "complete_plays", 50, [LABEL], clip=5000, density=True)
+    return _rounded(_rounded(bars, ["lower", "upper"]), ["density"], 9)
+
+
 @query
 def histogram_engagement(spark, sf_dir):
     depth = pr.engagement(_active(spark, sf_dir))
@@ -418,7 +434,7 @@ def declared_checks(tables: dict[str, DataFrame], as_of: str = st.LATER) -> Data
     """The 16 declared column checks over all stages of the feature table."""
     staged = ft.member_features(tables["members"], as_of)
     txn = ft.transaction_features(tables["transactions"], ties=TIES)
-    act = ft.activity_features(tables["user_logs"], WINDOW)
+    act = ft.activity_features(tables["user_logs"])
     mart = ft.assemble(tables["labels"], staged, txn, act)
     key = ft.ID
     return audit.all_checks(
@@ -497,12 +513,13 @@ def stratified_split(spark, sf_dir):
 
 @query
 def stratified_split_exact(spark, sf_dir):
-    return splits.stratified_split(st.labels(spark, sf_dir), ft.ID, LABEL, exact=True)
+    """Another share than the usual one."""
+    return splits.stratified_split(st.labels(spark, sf_dir), ft.ID, LABEL, test_share=0.35)
 
 
 @query
 def stratified_folds(spark, sf_dir):
-    return splits.folds(st.labels(spark, sf_dir), ft.ID)
+    return splits.folds(st.labels(spark, sf_dir), ft.ID, LABEL)
 
 
 @query
@@ -667,6 +684,27 @@ def brier(spark, sf_dir):
     return _rounded(metrics.brier(st.scores(spark, sf_dir)), ["brier"])
 
 
+def _gappy_scores(spark, sf_dir) -> DataFrame:
+    """Scores with a label or a probability missing, or no number, here and there."""
+    pred = st.scores(spark, sf_dir)
+    p = F.when(F.col("msno") % 7 == 0, F.lit(None)).when(F.col("msno") % 11 == 0, F.lit(float("nan"))).otherwise(F.col("y_prob"))
+    return pred.withColumn("y_prob", p).withColumn("y_true", F.when(F.col("msno") % 5 != 0, F.col("y_true")))
+
+
+@query
+def metrics_with_gaps(spark, sf_dir):
+    """What is left out, and the metrics of what is not."""
+    pred = _gappy_scores(spark, sf_dir)
+    parts = [
+        metrics.left_out(pred).unpivot([], ["n_scored", "n_without_label", "n_without_probability"], "metric", "v"),
+        metrics.metric_record(pred, rounded=False).unpivot([], metrics.METRICS, "metric", "v"),
+        metrics.log_loss(pred).select(F.lit("log_loss_by_row").alias("metric"), F.col("log_loss").alias("v")),
+        metrics.brier(pred).select(F.lit("brier").alias("metric"), F.col("brier").alias("v")),
+    ]
+    rows = [part.select("metric", F.round(F.col("v").cast("double"), 6).alias("v")) for part in parts]
+    return functools.reduce(DataFrame.unionByName, rows)
+
+
 @query
 def reliability_table(spark, sf_dir):
     return _rounded(metrics.reliability(st.scores(spark, sf_dir)), ["mean_prob", "observed_rate"])
@@ -841,9 +879,10 @@ def attribution_direction(spark, sf_dir):
 
 @query
 def row_explanation(spark, sf_dir):
-    """The sampled users with the highest and the lowest score, explained."""
+    """A sampled churner scored above 0.8 and a loyal user scored below 0.02, explained."""
     phi, _ = _phi_cached(_app(spark), sf_dir)
     _, scored = _trees_cached(_app(spark), sf_dir)
     seen = scored.join(phi.select("msno").distinct(), "msno", "left_semi")
-    ends = seen.orderBy(F.desc("y_prob"), "msno").limit(1).unionByName(seen.orderBy("y_prob", "msno").limit(1))
-    return ex.explain_row(phi, "msno", ends)
+    yes = splits.first_match(seen, (F.col("y_true") == 1) & (F.col("y_prob") > 0.8), "msno")
+    no = splits.first_match(seen, (F.col("y_true") == 0) & (F.col("y_prob") < 0.02), "msno")
+    return ex.explain_row(phi, "msno", yes.unionByName(no))

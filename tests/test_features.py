@@ -83,12 +83,12 @@ def test_activity_features(spark):
         assert ("c" in got) == (window is None)
 
 
-def test_distinct_by_bits_equals_distinct_by_grouping(spark):
+def test_distinct_in_a_window_equals_distinct_of_its_rows(spark):
     df = spark.range(4000).selectExpr("id % 7 AS k", "int(20170100 + (id * 37) % 450) AS d", "1 AS one")
     sums = {"n": F.col("one")}
-    bits = sums_and_distinct(df, "k", "d", sums, "days", (20170100, 20170500))
+    inside = sums_and_distinct(df, "k", "d", sums, "days", (20170100, 20170500))
     grouped = sums_and_distinct(df.where("d <= 20170500"), "k", "d", sums, "days")
-    assert sorted(bits.collect()) == sorted(grouped.collect())
+    assert sorted(inside.collect()) == sorted(grouped.collect())
 
 
 def test_members(spark):

@@ -14,10 +14,10 @@ def frame(spark, ys, ps):
     return spark.createDataFrame([(int(y), float(p)) for y, p in zip(ys, ps)], "y_true int, y_prob double")
 
 
-def beta_scores():
-    rng = np.random.default_rng(42)
-    y = np.r_[np.zeros(100, int), np.ones(100, int)]
-    return y, np.r_[rng.beta(2, 5, 100), rng.beta(5, 2, 100)]
+def ladder(n=60):
+    """Scores 1/n, 2/n, ...; label of step i set where i*i leaves an odd rest by 7."""
+    steps = range(1, n + 1)
+    return [i * i % 7 % 2 for i in steps], [i / n for i in steps]
 
 
 def one(df):
@@ -44,11 +44,13 @@ def test_thresholds_are_the_float_range():
 
 
 def test_record_keys_and_ranges(spark):
-    y, p = beta_scores()
-    r = one(m.metric_record(frame(spark, y, p)))
-    assert set(r) == {"log_loss", "roc_auc", "pr_auc", "f1", "f1_threshold"}
-    assert r["roc_auc"] > 0.75 and r["log_loss"] > 0 and 0.05 <= r["f1_threshold"] <= 0.95
-    assert set(one(m.metric_record(frame(spark, y, p), rounded=False))) == {"log_loss", "roc_auc", "pr_auc", "f1"}
+    y, p = ladder()
+    pred = frame(spark, y, p)
+    rounded, plain = one(m.metric_record(pred)), one(m.metric_record(pred, rounded=False))
+    assert list(plain) == m.METRICS and list(rounded) == [*m.METRICS, "f1_threshold"]
+    assert all(rounded[k] == pytest.approx(plain[k], abs=1e-5) for k in m.METRICS)
+    assert plain["roc_auc"] == pytest.approx(auc_direct(y, p)) and rounded["f1_threshold"] in np.round(m.THRESHOLDS, 2)
+    assert one(m.metric_record(pred, run="x"))["run"] == "x"
 
 
 def test_against_direct_computation_with_ties(spark):
@@ -72,19 +74,47 @@ def test_against_direct_computation_with_ties(spark):
     assert best["f1"] == max(f1s) and best["f1_threshold"] == m.THRESHOLDS[int(np.argmax(f1s))]
 
 
-@pytest.mark.parametrize("flip, expected", [(False, 1.0), (True, 0.0)])
-def test_perfect_and_inverted(spark, flip, expected):
-    y = [0, 0, 0, 1, 1, 1]
-    p = [0.01, 0.02, 0.03, 0.97, 0.98, 0.99]
-    r = one(m.metric_record(frame(spark, [1 - v for v in y] if flip else y, p)))
-    assert r["roc_auc"] == expected
-    assert (r["pr_auc"] == 1.0) is not flip
+def test_turning_scores_around_mirrors_the_area(spark):
+    y, p = ladder(41)
+    area = one(m.roc_auc(frame(spark, y, p)))["roc_auc"]
+    turned = one(m.roc_auc(frame(spark, y, [1 - s for s in p])))["roc_auc"]
+    assert area + turned == pytest.approx(1.0)
+    apart = frame(spark, [0] * 7 + [1] * 3, [i / 10 for i in range(10)])
+    assert one(m.roc_auc(apart))["roc_auc"] == one(m.average_precision(apart))["pr_auc"] == 1.0
 
 
-def test_noise_is_near_half(spark):
-    rng = np.random.default_rng(0)
-    r = one(m.metric_record(frame(spark, rng.integers(0, 2, 2000), rng.uniform(0, 1, 2000))))
-    assert abs(r["roc_auc"] - 0.5) < 0.05
+def test_any_rising_map_of_scores_keeps_the_ranking(spark):
+    y, p = ladder(50)
+    for rising in (lambda s: s**3, lambda s: 0.2 + s / 2):
+        moved = frame(spark, y, [rising(s) for s in p])
+        assert one(m.roc_auc(moved))["roc_auc"] == pytest.approx(auc_direct(y, p))
+        assert one(m.average_precision(moved))["pr_auc"] == pytest.approx(ap_direct(y, p))
+
+
+GAPS = [(1, 0.9), (0, 0.2), (1, 0.4), (None, 0.7), (1, None), (0, float("nan")), (None, None)]
+
+
+def test_rows_without_label_or_probability_are_left_out_everywhere(spark):
+    gaps = spark.createDataFrame(GAPS, "y_true int, y_prob double")
+    fine = frame(spark, *zip(*GAPS[:3]))
+    assert one(m.left_out(gaps)) == {"n_scored": 3, "n_without_label": 2, "n_without_probability": 3}
+    for metric in (m.log_loss, m.brier, m.roc_auc, m.average_precision, m.metric_record, m.reliability, m.f1_sweep,
+                   m.roc_curve, m.pr_curve, m.confusion):
+        assert sorted(metric(gaps).collect()) == sorted(metric(fine).collect()), metric.__name__
+    assert one(m.alert_share(gaps, over=0.5)) == {"n_over": 2, "share_over": 0.5}
+
+
+def test_no_rows_and_foreign_labels(spark):
+    nothing = frame(spark, [], [])
+    assert set(one(m.metric_record(nothing, rounded=False)).values()) == {None, 0.0}
+    assert one(m.alert_share(nothing)) == {"n_over": 0, "share_over": None}
+    for metric in (m.log_loss, m.brier, m.roc_auc, m.average_precision):
+        assert list(one(metric(nothing)).values()) == [None]
+    assert m.reliability(nothing).count() == m.pr_curve(nothing).count() == 0
+    odd = frame(spark, [2, 1, 0], [0.9, 0.8, 0.1])
+    assert one(m.average_precision(odd))["pr_auc"] == 1.0 and m.pr_curve(odd).count() == 4
+    same = frame(spark, [1], [1.0])
+    assert one(m.metric_lift(m.log_loss(same).selectExpr("0.0D AS log_loss"), m.log_loss(same)))["improvement_pct"] is None
 
 
 def test_all_tied_and_one_class(spark):
@@ -94,11 +124,11 @@ def test_all_tied_and_one_class(spark):
     assert one(nothing)["f1"] == 0.0 and one(nothing)["f1_threshold"] == m.THRESHOLDS[0]
 
 
-def test_loss_rises_as_scores_move_to_the_middle(spark):
-    y = [0] * 100 + [1] * 100
-    sharp = one(m.log_loss(frame(spark, y, [0.1] * 100 + [0.9] * 100)))["log_loss"]
-    blunt = one(m.log_loss(frame(spark, y, [0.3] * 100 + [0.7] * 100)))["log_loss"]
-    assert sharp < blunt
+def test_loss_is_least_at_the_observed_rate(spark):
+    y = [1] * 3 + [0] * 9
+    at = {s: one(m.log_loss(frame(spark, y, [s] * 12)))["log_loss"] for s in (0.1, 0.2, 0.25, 0.3, 0.6)}
+    assert min(at, key=at.get) == 0.25
+    assert at[0.25] == pytest.approx(-(0.25 * math.log(0.25) + 0.75 * math.log(0.75)))
 
 
 def test_loss_is_finite_at_zero_and_one(spark):

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from ebbtide.operators import audit, distributions, segments
 from ebbtide.operators.distinct import sums_and_distinct
-from ebbtide.operators.small import settle
 from ebbtide.plans import features as ft
 from ebbtide.registry.spark_queries import QUERIES
 from ebbtide.sources import files, schemas
@@ -28,14 +27,14 @@ def plain_plans(spark):
         spark.conf.set(k, v)
 
 
-def test_feature_table_shuffles_each_input_once(plain_plans, tmp_path):
+def test_feature_table_shuffles_each_input_once_and_activity_by_day_first(plain_plans, tmp_path):
     spark = plain_plans
     tables = {}
     for name, schema in schemas.CATALOG.items():
         files.write_parquet(spark.createDataFrame([], schema), f"{tmp_path}/{name}")
         tables[name] = files.read_parquet(spark, f"{tmp_path}/{name}")
     plan = physical(ft.churn_features(*tables.values(), "2017-03-01", (20170301, 20170331)))
-    assert plan.count("Exchange hashpartitioning") == 4
+    assert plan.count("Exchange hashpartitioning") == 5
     assert "Exchange SinglePartition" not in plan and "NestedLoop" not in plan and "Cartesian" not in plan
     assert "GreaterThanOrEqual(date,20170301)" in plan and "LessThanOrEqual(date,20170331)" in plan
 
@@ -46,17 +45,12 @@ def test_no_cross_joins(plain_plans, sf_dir, name):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
-def test_plain_split_needs_no_shuffle(spark):
+def test_marking_split_and_folds_needs_no_shuffle(spark):
+    """Cut points are found first; the rows themselves only compare with them."""
     from ebbtide.operators.splits import folds, stratified_split
 
     df = spark.range(100).selectExpr("id AS msno", "int(id % 2) AS y")
-    assert "Exchange" not in physical(folds(stratified_split(df, "msno", "y"), "msno"))
-
-
-def test_settle_gives_no_hint_beyond_its_bound(spark):
-    small, large = spark.range(3), spark.range(30)
-    assert settle(small, 5).count() == 3
-    assert settle(large, 5) is large
+    assert "Exchange" not in physical(folds(stratified_split(df, "msno", "y"), "msno", "y"))
 
 
 @pytest.fixture(scope="module")

@@ -6,25 +6,30 @@ from ebbtide.session import durable, scratch_path, shared_dir
 from ebbtide.sources import files, schemas
 
 
+STATIONS = [(31, "north", 2.25), (32, "", -7.5), (33, "dune, east", 0.125)]
+
+
 @pytest.fixture
-def tiny(spark, tmp_path):
-    path = tmp_path / "tiny.csv"
-    path.write_text("msno,is_churn,total_secs\na,0,1200.0\nb,1,0.0\nc,0,3600.5\nd,0,450.0\ne,1,0.0\n")
+def stations(tmp_path):
+    path = tmp_path / "stations.csv"
+    lines = [f'{n},"{site}",{height}' for n, site, height in STATIONS]
+    path.write_text("\n".join(["station,site,height", *lines, ""]))
     return str(path)
 
 
-def test_query_csv(spark, tiny):
-    everything = files.query_csv(spark, tiny, "SELECT * FROM read_csv_auto('{path}')")
-    assert everything.count() == 5 and set(everything.columns) == {"msno", "is_churn", "total_secs"}
-    total = files.query_csv(spark, tiny, "SELECT sum(is_churn) AS churners FROM {path}", "msno string, is_churn int, s double")
-    assert total.first().churners == 2
+def test_query_csv(spark, stations):
+    high = files.query_csv(spark, stations, "SELECT station FROM read_csv_auto('{path}') WHERE height > 0 ORDER BY 1")
+    assert [r.station for r in high.collect()] == [n for n, _, h in STATIONS if h > 0]
+    declared = files.query_csv(spark, stations, "SELECT max(site) AS last FROM {path}", "station long, site string, height double")
+    assert declared.first().last == "north"
 
 
-def test_count_and_describe(spark, tiny):
-    assert files.count_rows(files.read_csv(spark, tiny)).first().n == 5
-    got = {r.column_name: r.column_type for r in files.describe_csv(spark, tiny).collect()}
-    assert got == {"msno": "string", "is_churn": "int", "total_secs": "double"}
-    assert files.preview(files.read_csv(spark, tiny), 2, ("msno",)).count() == 2
+def test_count_and_describe(spark, stations):
+    read = files.read_csv(spark, stations)
+    assert files.count_rows(read).first().n == len(STATIONS)
+    got = [(r.position, r.column_name, r.column_type) for r in files.describe_csv(spark, stations).orderBy("position").collect()]
+    assert got == [(1, "station", "int"), (2, "site", "string"), (3, "height", "double")]
+    assert [r.station for r in files.preview(read, 2, ("station",)).collect()] == [31, 32]
 
 
 def test_catalog(spark, tmp_path):
