@@ -37,6 +37,8 @@ HEADLINES = [
     "metric_record",
     "roc_curve",
     "drift_report",
+    "last_with_totals_by_join",
+    "gated_build",
     "attributions",
 ]
 

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Iterator
-from math import factorial
 
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
+from pyspark.ml.feature import StringIndexerModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -70,41 +70,30 @@ def _base(paths: _Paths) -> float:
     return float(paths[0] @ paths[4].prod(axis=1))
 
 
-def _shapley_tables(value: np.ndarray, share: np.ndarray) -> np.ndarray:
-    """Shapley value per leaf, pattern of passed tests, and slot.
+def _add_tree(paths: _Paths, x: np.ndarray, phi: np.ndarray, rules: dict[int, tuple[np.ndarray, np.ndarray]]) -> None:
+    """Add the attributions of all rows of x to phi.
 
-    For slot j the other slots form a polynomial whose coefficients collect the
-    coalitions by size; the sizes are then weighted as usual.
+    The Shapley weights of coalitions by size are the integral over t in (0, 1)
+    of t^s (1 - t)^(d - 1 - s). So a slot's value is the integral of the product
+    over the other slots of share * (1 - t) + passed * t, a polynomial in t that
+    Gauss-Legendre points integrate exactly. Each leaf takes d * ceil(d / 2)
+    steps for d slots; ``rules`` keeps the points by d.
     """
-    d = share.shape[1]
-    passed = ((np.arange(1 << d)[:, None] >> np.arange(d)) & 1).astype(float)
-    weight = np.array([factorial(s) * factorial(d - 1 - s) / factorial(d) for s in range(d)])
-    out = np.empty((len(value), 1 << d, d))
-    for j in range(d):
-        poly = np.ones((len(value), 1 << d, 1))
-        for i in range(d):
-            if i != j:
-                grown = np.zeros((*poly.shape[:2], poly.shape[2] + 1))
-                grown[..., :-1] += poly * share[:, i, None, None]
-                grown[..., 1:] += poly * passed[None, :, i, None]
-                poly = grown
-        gain = passed[None, :, j] - share[:, j, None]
-        out[..., j] = value[:, None] * gain * (poly @ weight)
-    return out
-
-
-def _add_tree(paths: _Paths, x: np.ndarray, phi: np.ndarray) -> None:
-    """Add the attributions of all rows of x to phi."""
     value, feature, low, high, share, levels = paths
-    tables = _shapley_tables(value, share)
-    bits = 1 << np.arange(share.shape[1])
+    d = share.shape[1]
+    if d not in rules:
+        at, weight = np.polynomial.legendre.leggauss((d + 1) // 2)
+        rules[d] = ((at + 1) / 2, weight / 2)
+    t, weight = rules[d]
     for leaf, features in enumerate(feature):
         v = x[:, features]
         ok = (v > low[leaf]) & (v <= high[leaf])
-        for j in range(len(features)):
+        for j in range(d):
             if (leaf, j) in levels:
                 ok[:, j] = np.isin(v[:, j], levels[leaf, j])
-        parts = tables[leaf][ok @ bits]
+        factor = share[leaf][None, :, None] * (1 - t) + ok[:, :, None] * t
+        others = ((factor.prod(axis=1, keepdims=True) / factor) * weight).sum(axis=2)
+        parts = value[leaf] * (ok - share[leaf]) * others
         for j, f in enumerate(features):
             phi[:, f] += parts[:, j]
 
@@ -147,8 +136,7 @@ def attributions(fitted: Fitted, df: DataFrame, user: str) -> tuple[DataFrame, f
 
     This is the path-dependent form: a feature outside the coalition follows
     both branches in the shares of the training weight. Spark spreads the rows;
-    the paths of the model go to every task, a few numbers per leaf, and the
-    tables made from them exist for one tree at a time.
+    the paths of the model go to every task, a few numbers per leaf.
     """
     spark = df.sparkSession
     weights = list(fitted.model.stages[-1].treeWeights)
@@ -159,12 +147,13 @@ def attributions(fitted: Fitted, df: DataFrame, user: str) -> tuple[DataFrame, f
     names = vector_names(rows)
 
     def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rules: dict = {}
         for batch in batches:
             if len(batch):
                 x = np.vstack(batch["x"].to_numpy())
                 phi = np.zeros_like(x)
                 for tree in shared.value:
-                    _add_tree(tree, x, phi)
+                    _add_tree(tree, x, phi, rules)
                 yield pd.DataFrame({user: batch[user], "x": list(x), "phi": list(phi)})
 
     kind = dict(df.dtypes)[user]
@@ -180,7 +169,11 @@ def _long(explained: DataFrame, user: str, names: list[str]) -> DataFrame:
 
 
 def linear_attributions(fitted: Fitted, df: DataFrame, background: DataFrame, user: str) -> tuple[DataFrame, float]:
-    """Attributions of the logistic model on the log-odds: w · (x − mean)."""
+    """Attributions of the logistic model on the log-odds: w · (x − mean).
+
+    A category has one slot for each level; they are added up to one row of the
+    feature, which has no value.
+    """
     learner = fitted.model.stages[-1]
     means = (
         fitted.model.transform(fitted.inputs(background))
@@ -196,7 +189,16 @@ def linear_attributions(fitted: Fitted, df: DataFrame, background: DataFrame, us
         lambda i: (F.get("x", i) - F.get(F.lit([float(v) for v in means]), i)) * F.get(F.lit([float(v) for v in w]), i),
     )
     explained = rows.select(user, vector_to_array("features").alias("x")).withColumn("phi", centred)
-    return _long(explained, user, [f"slot_{i}" for i in range(size)]), float(learner.intercept + w @ means)
+    levels = [len(v) for stage in fitted.model.stages if isinstance(stage, StringIndexerModel) for v in stage.labelsArray]
+    n = len(fitted.numeric)
+    starts = [n + sum(levels[:i]) for i in range(len(levels))]
+    total = [F.aggregate(F.slice("phi", a + 1, k), F.lit(0.0), lambda s, v: s + v) for a, k in zip(starts, levels)]
+    explained = explained.select(
+        user,
+        F.concat(F.slice("x", 1, n), F.array_repeat(F.lit(None).cast("double"), len(levels))).alias("x"),
+        F.concat(F.slice("phi", 1, n), F.array(*total) if total else F.array().cast("array<double>")).alias("phi"),
+    )
+    return _long(explained, user, [*fitted.numeric, *fitted.categorical]), float(learner.intercept + w @ means)
 
 
 def global_attribution(phi: DataFrame, k: int = 20) -> DataFrame:

@@ -512,6 +512,14 @@ def oracles() -> dict[str, str]:
             "(SELECT * FROM lab JOIN actf USING (msno))", "complete_plays", 50, "is_churn", 5000, True),
         "histogram_engagement": _ctes() + _hist(depth, "engagement_depth", 50, "is_churn", 5, True),
         "quality_checks": with_mart + _declared(),
+        "gated_build": with_mart + " UNION ALL ".join(
+            f"SELECT '{stage}' AS stage, count(*) AS n FROM {source}" for stage, source in (
+                ("staged_labels", "lab"), ("staged_members", "memf"), ("transaction_features", "txnf"),
+                ("activity_features", "actf"), ("feature_table", "mart"))),
+        "model_checks": " UNION ALL ".join(f"SELECT '{c}' AS \"check\", CAST(0 AS BIGINT) AS failures" for c in (
+            "trees_score_each_test_user_once", "tree_probabilities_in_range", "baseline_probabilities_in_range",
+            "baseline_gradient_of_intercept", "attributions_add_up", "best_round_is_least_of_its_curve",
+            "isotonic_never_falls", "weights_balance_the_classes")),
         "raw_checks": _ctes() + _check("members", "gender", "accepted_values", "mem",
             "gender IS NOT NULL AND gender NOT IN ('male', 'female')") + " UNION ALL " + _unique("transactions", "txn"),
         "referential_check": _ctes() + _check("transactions", "msno", "relationship", "txn",

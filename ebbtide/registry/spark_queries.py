@@ -7,14 +7,14 @@ from collections.abc import Callable
 
 from pyspark.ml import Pipeline
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ebbtide.functions import columns as c
 from ebbtide.models import explain as ex
 from ebbtide.models import learners, prepare, tuning
 from ebbtide.operators import association, audit, distinct, distributions, latest, metrics, segments, splits
-from ebbtide.plans import experiments
+from ebbtide.plans import build, experiments
 from ebbtide.plans import features as ft
 from ebbtide.plans import profile_report as pr
 from ebbtide.session import durable, scratch_path
@@ -430,40 +430,21 @@ def histogram_engagement(spark, sf_dir):
 # Checks ---------------------------------------------------------------------
 
 
-def declared_checks(tables: dict[str, DataFrame], as_of: str = st.LATER) -> DataFrame:
-    """The 16 declared column checks over all stages of the feature table."""
-    staged = ft.member_features(tables["members"], as_of)
-    txn = ft.transaction_features(tables["transactions"], ties=TIES)
-    act = ft.activity_features(tables["user_logs"])
-    mart = ft.assemble(tables["labels"], staged, txn, act)
-    key = ft.ID
-    return audit.all_checks(
-        [
-            audit.value_checks(
-                "staged_labels", tables["labels"],
-                [audit.not_null(key), audit.not_null(LABEL), audit.accepted_values(LABEL, [0, 1])],
-            ),
-            audit.unique_check("staged_labels", tables["labels"], key),
-            audit.value_checks(
-                "staged_members", staged,
-                [audit.not_null(key), audit.accepted_values("gender", ["male", "female", "unknown"])],
-            ),
-            audit.unique_check("staged_members", staged, key),
-            audit.value_checks("staged_transactions", tables["transactions"], [audit.not_null(key)]),
-            audit.value_checks("staged_logs", tables["user_logs"], [audit.not_null(key)]),
-            audit.value_checks("transaction_features", txn, [audit.not_null(key)]),
-            audit.unique_check("transaction_features", txn, key),
-            audit.value_checks("activity_features", act, [audit.not_null(key)]),
-            audit.unique_check("activity_features", act, key),
-            audit.value_checks("feature_table", mart, [audit.not_null(key), audit.not_null(LABEL)]),
-            audit.unique_check("feature_table", mart, key),
-        ]
-    )
+@query
+def quality_checks(spark, sf_dir):
+    """The 16 declared checks, made while the stages of the feature table are written."""
+    stages = build.Stages(scratch_path(spark, "build"))
+    for _ in build.steps(_tables(spark, sf_dir), st.LATER, stages, ties=TIES):
+        pass
+    return stages.table(spark)
 
 
 @query
-def quality_checks(spark, sf_dir):
-    return declared_checks(_tables(spark, sf_dir))
+def gated_build(spark, sf_dir):
+    """Rows of every stage that passed the gate."""
+    stages = build.gated_build(_tables(spark, sf_dir), st.LATER, scratch_path(spark, "build"), ties=TIES)
+    counted = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("stage"), "n") for name, df in stages.frames.items()]
+    return functools.reduce(DataFrame.unionByName, counted)
 
 
 @query
@@ -886,3 +867,49 @@ def row_explanation(spark, sf_dir):
     yes = splits.first_match(seen, (F.col("y_true") == 1) & (F.col("y_prob") > 0.8), "msno")
     no = splits.first_match(seen, (F.col("y_true") == 0) & (F.col("y_prob") < 0.02), "msno")
     return ex.explain_row(phi, "msno", yes.unionByName(no))
+
+
+# Checks of models whose answer is known --------------------------------------
+
+
+@query
+def model_checks(spark, sf_dir):
+    """What must hold for any data: each check with the number of rows that break it."""
+    train, test = _split_cached(_app(spark), sf_dir)
+    trees, scored = _trees_cached(_app(spark), sf_dir)
+    phi, base = _phi_cached(_app(spark), sf_dir)
+    sample = experiments.explanation_sample(test)
+    baseline = learners.fit_baseline(train, prepare.feature_columns(train))
+    linear = baseline.score(train, ["msno", LABEL])
+    weighted = prepare.class_weights(linear, LABEL, "balanced")
+    margins = trees.model.transform(trees.inputs(sample)).select(
+        "msno", learners.vector_to_array("rawPrediction")[1].alias("margin")
+    )
+    sums = phi.groupBy("msno").agg((F.sum("phi") + F.lit(base)).alias("total")).join(margins, "msno", "full")
+    study = _study_cached(_app(spark), sf_dir)
+    curve = tuning.curve_frame(spark, study)
+    trials = tuning.trials_frame(spark, study)
+    earlier, later = st.scores(spark, sf_dir, st.EARLIER), st.scores(spark, sf_dir)
+    monotone = learners.recalibrate(earlier, "isotonic").apply(later)
+    falls = monotone.groupBy("y_prob").agg(F.min("y_prob_cal").alias("lo"), F.max("y_prob_cal").alias("hi"))
+    # Scores are days since the last order here, so there is a row for each day at most.
+    before = F.max("hi").over(Window.orderBy("y_prob").rowsBetween(Window.unboundedPreceding, -1))
+    ratio = prepare.class_weights(st.labels(spark, sf_dir), LABEL, "pos_ratio")
+    by_class = F.sum(F.when(F.col(LABEL) == 1, F.col("weight"))) - F.sum(F.when(F.col(LABEL) == 0, F.col("weight")))
+    outside = ~F.col("y_prob").between(0.0, 1.0) | F.col("y_prob").isNull()
+    counts = {
+        "trees_score_each_test_user_once": test.select("msno").join(scored.groupBy("msno").count(), "msno", "full").where(
+            "count is null or count <> 1"),
+        "tree_probabilities_in_range": scored.where(outside),
+        "baseline_probabilities_in_range": linear.where(outside),
+        "baseline_gradient_of_intercept": weighted.agg(
+            F.abs(F.sum(F.col("weight") * (F.col("y_prob") - F.col(LABEL)))).alias("g"), F.sum("weight").alias("n")
+        ).where("g > 1e-3 * n"),
+        "attributions_add_up": sums.where("total is null or margin is null or abs(total - margin) > 1e-6"),
+        "best_round_is_least_of_its_curve": trials.join(curve.groupBy("trial").agg(F.min("log_loss").alias("least")), "trial").where(
+            "abs(log_loss - least) > 1e-12"),
+        "isotonic_never_falls": falls.withColumn("before", before).where("lo < before - 1e-12 or hi > lo + 1e-12"),
+        "weights_balance_the_classes": ratio.agg(by_class.alias("d"), F.sum("weight").alias("n")).where("abs(d) > 1e-9 * n"),
+    }
+    rows = [df.agg(F.count(F.lit(1)).alias("failures")).select(F.lit(name).alias("check"), "failures") for name, df in counts.items()]
+    return functools.reduce(DataFrame.unionByName, rows)

@@ -1,11 +1,14 @@
 """The feature table on hand-made rows and its invariants on the shared tables."""
 
+import os
+
 import pytest
 
 from ebbtide.operators.distinct import sums_and_distinct
 from ebbtide.operators.latest import latest_and_totals, latest_rows
 from ebbtide.plans import features as ft
-from ebbtide.registry.spark_queries import _tables, declared_checks
+from ebbtide.plans.build import gated_build
+from ebbtide.registry.spark_queries import QUERIES, TIES, _tables
 from ebbtide.operators.audit import ChecksFailed, gate, not_null, value_checks
 from ebbtide.sources import shared_tables as st
 from pyspark.sql import functions as F
@@ -140,9 +143,23 @@ def test_features_do_not_look_ahead(spark, sf_dir, tmp_path):
 
 
 def test_checks_and_gate(spark, sf_dir):
-    checks = declared_checks(_tables(spark, sf_dir))
+    checks = QUERIES["quality_checks"](spark, sf_dir)
     assert checks.count() == 16
     gate(checks)
     broken = value_checks("m", spark.createDataFrame([(None,), (1,)], "x int"), [not_null("x")])
     with pytest.raises(ChecksFailed, match="m.x not_null: 1"):
         gate(broken)
+
+
+def test_gate_stops_what_depends_on_a_failed_stage(spark, sf_dir, tmp_path):
+    t = _tables(spark, sf_dir)
+    done = gated_build(t, st.LATER, f"{tmp_path}/fine", ties=TIES)
+    assert list(done.frames)[-1] == "feature_table" and len(done.checks) == 16
+    assert done.frames["feature_table"].count() == t["labels"].count()
+    twice = {**t, "members": t["members"].unionByName(t["members"].limit(1))}
+    with pytest.raises(ChecksFailed, match="staged_members.msno unique: 1"):
+        gated_build(twice, st.LATER, f"{tmp_path}/broken", ties=TIES)
+    assert sorted(os.listdir(f"{tmp_path}/broken")) == ["staged_labels", "staged_members"]
+    nobody = {**t, "transactions": t["transactions"].withColumn("msno", F.when(F.col("msno") % 2 == 0, F.col("msno")))}
+    with pytest.raises(ChecksFailed, match="staged_transactions.msno not_null"):
+        gated_build(nobody, st.LATER, f"{tmp_path}/nulls", ties=TIES)
