@@ -1,19 +1,22 @@
 """Language-model scores from a log-frequency Bloom filter of quantised n-gram counts.
 
-Pass one counts words and word pairs of the training documents. A task counts
-what it has read with NumPy and sends, for each part of the hash space, one
-compressed block of (hash, count); a part is then summed by one task. Counts are
-quantised to levels of a logarithm (base ``BASE``), and an n-gram of level q puts
-the keys (n-gram, 1) to (n-gram, q) into a Bloom filter. Each part of the hash
-space fills a segment of its own; the segments together are the filter, of
-``BITS_PER_KEY`` bits for a key and ``MAX_BITS`` bits (32 MB) at most, which is
-what is broadcast. Beyond that size the filter gets denser, it leaves nothing
-out. Pairs enter from a count of ``MIN_PAIR`` on; words all enter.
-
-Pass two reads every document: a count is what level the probes (n-gram, 1),
-(n-gram, 2), ... reach before one misses. p(w | v) is Dirichlet-smoothed,
-(c(vw) + MU p(w)) / (c(v) + MU), over p(w) = (c(w) + 0.1) / (N + 0.1 (V + 1)).
-The first word follows the end mark, and the end mark is a token.
+Documents are packed in groups. For each part of the hash space a group sends one
+compressed block of its distinct words and word pairs with their counts in its
+training documents, so an n-gram moves once a group however often it stands
+there. One task sums a part. Counts are quantised to levels of a logarithm (base
+``BASE``), and an n-gram of level q puts the keys (n-gram, 1) to (n-gram, q) into
+the part's segment of a Bloom filter, ``BITS_PER_KEY`` bits for each of its keys,
+however many there are: the filter grows with the input, is never in one place,
+and its rate of errors stays. Pairs enter from a count of ``MIN_PAIR`` on; words
+all enter.
+
+The same task then probes its segment for each block: a count is what level the
+probes (n-gram, 1), (n-gram, 2), ... reach before one misses. The levels go back
+to the group, whose documents are scored. A task holds the blocks of its part
+compressed, and the sums of a part; more parts make both smaller.
+p(w | v) is Dirichlet-smoothed, (c(vw) + MU p(w)) / (c(v) + MU), over
+p(w) = (c(w) + 0.1) / (N + 0.1 (V + 1)). The first word follows the end mark, and
+the end mark is a token.
 
 The base score is exact. The ``COMMON`` most frequent words are looked up in a
 broadcast table of that size; other words go, once for each document, through an
@@ -32,19 +35,20 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ebbtide.llm import common, words
 
-BASE, BITS_PER_KEY, MAX_BITS, MIN_PAIR = 1.5, 10, 1 << 28, 2
+BASE, BITS_PER_KEY, MIN_PAIR = 1.5, 10, 2
 MU, ADD = 2.0, 0.1
 COMMON = 1 << 17
-GROUP_TOKENS = 2_000_000
-WORD, PAIR = 0, 1
+GROUP_BYTES = 8 << 20
+WORD, PAIR, DOCS = 0, 1, 2
 END = common.mix(np.array([0xE0D], np.uint64))[0]
 
-BLOCK = "kind int, part int, block binary"
+BLOCK = "kind int, part int, grp long, block binary"
 
 
 def _tokens(batch: pa.RecordBatch, column: int) -> tuple[np.ndarray, np.ndarray]:
@@ -97,74 +101,116 @@ def _summed(blocks: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np
     return h[at], np.add.reduceat(c, at) if len(at) else c
 
 
-def counted(docs: DataFrame, parts: int) -> DataFrame:
-    """kind, part, n, distinct, keys, block: the summed counts of each part of the hash space."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: tuple[list, list] = ([], [])
-        size = 0
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            for kind in (WORD, PAIR):
-                if not held[kind]:
-                    continue
-                h, c = np.unique(np.concatenate(held[kind]), return_counts=True)
-                held[kind].clear()
-                at = np.searchsorted(_part(h, parts), np.arange(parts + 1))
-                some = np.flatnonzero(np.diff(at))
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.full(len(some), kind), pa.int32()),
-                        pa.array(some, pa.int32()),
-                        pa.array([_pack(h[at[p] : at[p + 1]], c[at[p] : at[p + 1]]) for p in some], pa.binary()),
-                    ],
-                    ["kind", "part", "block"],
-                )
+def packed(rows: DataFrame) -> DataFrame:
+    """grp, docs: the documents (key, doc_id, text, held_out) in groups of about GROUP_BYTES, one row each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        size, group = 0, TaskContext.get().partitionId() << 32
+
+        def flush() -> pa.RecordBatch:
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, held[0].schema) as out:
+                for batch in held:
+                    out.write_batch(batch)
+            held.clear()
+            body = zstandard.ZstdCompressor(level=1).compress(sink.getvalue())
+            return pa.RecordBatch.from_arrays([pa.array([group], pa.int64()), pa.array([body], pa.binary())], ["grp", "docs"])
 
         for batch in common.pieces(batches, "text"):
-            tokens, begin = _tokens(batch, 0)
-            held[WORD].append(tokens)
-            held[PAIR].append(_pairs(tokens, begin))
-            size += len(tokens)
-            if size >= GROUP_TOKENS:
-                yield from flush()
-                size = 0
-        yield from flush()
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held.append(batch)
+            size += len(common.as_bytes(batch.column(2))[0])
+            if size >= GROUP_BYTES:
+                yield flush()
+                size, group = 0, group + 1
+        if held:
+            yield flush()
+
+    return rows.mapInArrow(run, "grp long, docs binary")
+
+
+def _docs(body: bytes) -> pa.RecordBatch:
+    table = pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(body)).read_all()
+    return table.combine_chunks().to_batches()[0]
+
+
+def asked(groups: DataFrame, parts: int) -> DataFrame:
+    """kind, part, grp, block: the distinct n-grams of each group, and how often its training documents hold them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for group, body in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                docs = _docs(body)
+                tokens, begin = _tokens(docs, 2)
+                learn = np.repeat(~docs.column(3).to_numpy(zero_copy_only=False), np.diff(begin))
+                for kind, grams in ((WORD, tokens), (PAIR, _pairs(tokens, begin))):
+                    h, at = np.unique(grams, return_inverse=True)
+                    c = np.bincount(at[learn], minlength=len(h))
+                    at = np.searchsorted(_part(h, parts), np.arange(parts + 1))
+                    some = np.flatnonzero(np.diff(at))
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(np.full(len(some), kind), pa.int32()),
+                            pa.array(some, pa.int32()),
+                            pa.array(np.full(len(some), group), pa.int64()),
+                            pa.array([_pack(h[at[p] : at[p + 1]], c[at[p] : at[p + 1]]) for p in some], pa.binary()),
+                        ],
+                        ["kind", "part", "grp", "block"],
+                    )
+
+    return groups.mapInArrow(run, BLOCK)
+
+
+def answered(blocks: DataFrame, parts: int) -> DataFrame:
+    """For each part its sums (grp is null; the block holds words only) and the levels of what each group asked."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now: tuple[int, int] | None = None
+        asks: list[tuple[int, bytes]] = []
         held: list[tuple[np.ndarray, np.ndarray]] = []
 
+        def row(groups: list, n: int | None, distinct: int | None, bits: int | None, bodies: list[bytes]) -> pa.RecordBatch:
+            size = len(groups)
+            return pa.RecordBatch.from_arrays(
+                [
+                    *(pa.array([x] * size, pa.int32()) for x in now),
+                    pa.array(groups, pa.int64()),
+                    *(pa.array([x] * size, pa.int64()) for x in (n, distinct, bits)),
+                    pa.array(bodies, pa.binary()),
+                ],
+                ["kind", "part", "grp", "n", "distinct", "bits", "block"],
+            )
+
         def close() -> Iterator[pa.RecordBatch]:
             if now is None:
                 return
             h, c = _summed(held)
+            held.clear()
+            h, c = h[c > 0], c[c > 0]
             n, distinct = int(c.sum()), len(h)
+            body = _pack(h, c) if now[0] == WORD else b""
             if now[0] == PAIR:
                 h, c = h[c >= MIN_PAIR], c[c >= MIN_PAIR]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([now[0]], pa.int32()),
-                    pa.array([now[1]], pa.int32()),
-                    *(pa.array([x], pa.int64()) for x in (n, distinct, int(levels(c).sum()))),
-                    pa.array([_pack(h, c)], pa.binary()),
-                ],
-                ["kind", "part", "n", "distinct", "keys", "block"],
-            )
+            segment = Filter.of(now[0], h, c)
+            yield row([None], n, distinct, segment.rooms[now[0]], [body])
+            for a in range(0, len(asks), 256):
+                some = asks[a : a + 256]
+                got = [segment.level(now[0], _unpack(block)[0]).astype(np.uint8).tobytes() for _, block in some]
+                yield row([g for g, _ in some], None, None, None, [zstandard.ZstdCompressor(level=1).compress(x) for x in got])
 
         for batch in batches:
-            for kind, part, block in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for kind, part, group, block in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if (kind, part) != now:
                     yield from close()
-                    now, held = (kind, part), []
+                    now, asks, held = (kind, part), [], []
+                asks.append((group, block))
                 held.append(_unpack(block))
                 if len(held) > 64:
                     held = [_summed(held)]
         yield from close()
 
-    blocks = docs.select("text").mapInArrow(count, BLOCK)
     blocks = blocks.repartition(parts, "kind", "part").sortWithinPartitions("kind", "part")
-    return blocks.mapInArrow(add, "kind int, part int, n long, distinct long, keys long, block binary")
+    return blocks.mapInArrow(run, "kind int, part int, grp long, n long, distinct long, bits long, block binary")
 
 
 def levels(c: np.ndarray) -> np.ndarray:
@@ -196,8 +242,14 @@ class Filter:
                 out[spot] = True
         return np.packbits(out, bitorder="little").tobytes()
 
-    def count(self, kind: int, h: np.ndarray) -> np.ndarray:
-        """The count that the level reached stands for (the geometric middle), 0 if the first probe misses."""
+    @classmethod
+    def of(cls, kind: int, h: np.ndarray, c: np.ndarray) -> Filter:
+        """The segment of one part, BITS_PER_KEY bits for each of its keys."""
+        room = -(-int(levels(c).sum()) * BITS_PER_KEY // 64) * 64
+        return cls(1, (room, 0) if kind == WORD else (0, room), {(kind, 0): cls.segment(h, c, room)})
+
+    def level(self, kind: int, h: np.ndarray) -> np.ndarray:
+        """The level that the probes reach before one misses."""
         room, bits = self.rooms[kind], self.bits[kind]
         base = (_part(h, self.parts) * room).astype(np.uint64)
         level = np.zeros(len(h), np.int64)
@@ -211,27 +263,16 @@ class Filter:
             live = live[hit]
             level[live] = step
             step += 1
-        return np.where(level > 0, np.maximum(1.0, BASE ** (level - 0.5) - 0.5 * (level <= 2)), 0.0)
-
+        return level
 
-def build(sums: DataFrame, parts: int) -> Filter:
-    """Fill the segments on the workers; what comes to the driver is the filter itself, MAX_BITS bits at most."""
-    keys = {r["kind"]: r["k"] for r in sums.groupBy("kind").agg(F.sum("keys").alias("k")).collect()}
-    wanted = [keys.get(kind, 0) * BITS_PER_KEY for kind in (WORD, PAIR)]
-    shrink = min(1.0, MAX_BITS / max(1, sum(wanted)))
-    rooms = tuple(max(64, int(w * shrink) // parts // 64 * 64) if w else 0 for w in wanted)
+    def count(self, kind: int, h: np.ndarray) -> np.ndarray:
+        return middle(self.level(kind, h))
 
-    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for kind, part, block in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                h, c = _unpack(block)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([kind], pa.int32()), pa.array([part], pa.int32()), pa.array([Filter.segment(h, c, rooms[kind])], pa.binary())],
-                    ["kind", "part", "block"],
-                )
 
-    rows = sums.select("kind", "part", "block").mapInArrow(fill, BLOCK).collect()
-    return Filter(parts, rooms, {(r["kind"], r["part"]): bytes(r["block"]) for r in rows})
+def middle(level: np.ndarray) -> np.ndarray:
+    """The count that a level stands for (the geometric middle), 0 where the first probe misses."""
+    level = level.astype(np.int64)
+    return np.where(level > 0, np.maximum(1.0, BASE ** (level - 0.5) - 0.5 * (level <= 2)), 0.0)
 
 
 def _common_words(sums: DataFrame, parts: int) -> tuple[np.ndarray, np.ndarray]:
@@ -277,23 +318,34 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     spark = docs.sparkSession
     common.ship(spark)
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    key = F.xxhash64("doc_id", "text")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), held_out.alias("held_out"))
-    sums = common.stage(counted(rows.where(~F.col("held_out")), parts), "ngrams")
+    groups = common.stage(packed(rows.select(key.alias("key"), "doc_id", "text", "held_out")), "groups")
+    answers = common.stage(answered(asked(groups, parts), parts), "ngrams")
+    sums = answers.where(F.col("grp").isNull())
     total = sums.where(F.col("kind") == WORD).agg(F.sum("n"), F.sum("distinct")).first()
     n_train, n_words = total[0] or 0, total[1] or 0
-    often, often_c = _common_words(sums, parts)
-    sent = spark.sparkContext.broadcast((build(sums, parts), often, often_c))
+    sent = spark.sparkContext.broadcast(_common_words(sums, parts))
     bottom = n_train + ADD * (n_words + 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, often, often_c = sent.value
-        for batch in common.pieces(batches, "text"):
+        often, often_c = sent.value
+        levels_of: tuple[list[bytes], list[bytes]] = ([], [])
+        for kind, body in ((k.as_py(), b.as_py()) for batch in batches for k, b in zip(*batch.columns, strict=True)):
+            if kind != DOCS:
+                levels_of[kind].append(zstandard.ZstdDecompressor().decompress(body))
+                continue
+            # The parts follow each other as the hashes do, and the documents come behind the answers.
+            c1, c2 = (middle(np.frombuffer(b"".join(x), np.uint8)) for x in levels_of)
+            levels_of[WORD].clear(), levels_of[PAIR].clear()
+            batch = _docs(body)
             tokens, begin = _tokens(batch, 2)
             n, size = batch.num_rows, np.diff(begin)
             kinds, at = np.unique(tokens, return_inverse=True)
-            c1 = model.count(WORD, kinds)
             pair, pair_at = np.unique(_pairs(tokens, begin), return_inverse=True)
-            c2 = model.count(PAIR, pair)[pair_at]
+            if (len(kinds), len(pair)) != (len(c1), len(c2)):
+                raise ValueError("answers are missing")
+            c2 = c2[pair_at]
             context = np.empty(len(tokens))
             context[1:] = c1[at][:-1]
             context[begin[:-1]] = c1[np.searchsorted(kinds, END)]
@@ -325,10 +377,12 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
                 [c.split()[0] for c in SCORED.split(", ")],
             )
 
-    key = F.xxhash64("doc_id", "text")
-    scored = common.stage(rows.select(key.alias("key"), "doc_id", "text", "held_out").mapInArrow(run, SCORED), "scored")
-    asked = scored.dropDuplicates(["key"]).select("key", F.explode(F.arrays_zip("rare", "times")).alias("x"))
-    found = asked.select("key", F.col("x.rare").alias("h"), F.col("x.times").alias("m")).join(_exact_counts(sums), "h", "left")
+    told = answers.where(F.col("grp").isNotNull()).select("grp", "kind", "part", "block")
+    told = told.union(groups.select("grp", F.lit(DOCS), F.lit(0), "docs"))
+    told = told.repartition(parts, "grp").sortWithinPartitions("grp", "kind", "part").select("kind", "block")
+    scored = common.stage(told.mapInArrow(run, SCORED), "scored")
+    rare = scored.dropDuplicates(["key"]).select("key", F.explode(F.arrays_zip("rare", "times")).alias("x"))
+    found = rare.select("key", F.col("x.rare").alias("h"), F.col("x.times").alias("m")).join(_exact_counts(sums), "h", "left")
     c = F.coalesce("c", F.lit(0))
     rest = found.groupBy("key").agg(
         F.sum(F.col("m") * F.log10(c + F.lit(ADD))).alias("more"), F.sum(F.when(c > 0, F.col("m")).otherwise(0)).alias("more_known")

@@ -72,3 +72,18 @@ def test_levels_and_probes():
     assert np.mean(f.count(nf.WORD, common.mix(h + np.uint64(10**6))) == 0) > 0.93
     packed = nf._unpack(nf._pack(np.sort(h), c))
     assert (packed[0] == np.sort(h)).all() and (packed[1] == c).all()
+
+
+def test_the_filter_grows_with_its_keys(spark):
+    # 27.6 million keys, more than 2**28 bits hold at BITS_PER_KEY.
+    h = np.sort(common.mix(np.arange(400_000, dtype=np.uint64)))
+    f = nf.Filter.of(nf.PAIR, h, np.full(len(h), 2**40))
+    assert f.rooms[nf.PAIR] >= nf.BITS_PER_KEY * len(h) * nf.levels(np.array([2**40]))[0] > 1 << 28
+    assert np.mean(f.level(nf.PAIR, common.mix(h + np.uint64(3))) == 0) > 0.93
+    rows = [(k, i, " ".join(f"w{j % 97}" for j in range(i, 2 * i)), i % 5 == 0) for k, i in enumerate(range(1, 200))]
+    df = spark.createDataFrame(rows, "key long, doc_id long, text string, held_out boolean")
+    got = nf.answered(nf.asked(nf.packed(df), 3), 3).where("grp is null").collect()
+    want = Counter(w for _, _, t, held in rows if not held for w in tokens(t))
+    assert sum(r["n"] for r in got if r["kind"] == nf.WORD) == sum(want.values())
+    keys = int(nf.levels(np.array(list(want.values()))).sum()) * nf.BITS_PER_KEY
+    assert keys <= sum(r["bits"] for r in got if r["kind"] == nf.WORD) <= keys + 3 * 64
