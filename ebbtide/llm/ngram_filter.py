@@ -7,8 +7,7 @@ there. One task sums a part. Counts are quantised to levels of a logarithm (base
 ``BASE``), and an n-gram of level q puts the keys (n-gram, 1) to (n-gram, q) into
 the part's segment of a Bloom filter, ``BITS_PER_KEY`` bits for each of its keys,
 however many there are: the filter grows with the input, is never in one place,
-and its rate of errors stays. Pairs enter from a count of ``MIN_PAIR`` on; words
-all enter.
+and its rate of errors stays. All words and pairs enter, also those seen once.
 
 The same task then probes its segment for each block: a count is what level the
 probes (n-gram, 1), (n-gram, 2), ... reach before one misses. The levels go back
@@ -41,7 +40,7 @@ from pyspark.sql import functions as F
 
 from ebbtide.llm import common, words
 
-BASE, BITS_PER_KEY, MIN_PAIR = 1.5, 10, 2
+BASE, BITS_PER_KEY = 1.5, 10
 MU, ADD = 2.0, 0.1
 COMMON = 1 << 17
 GROUP_BYTES = 8 << 20
@@ -189,8 +188,6 @@ def answered(blocks: DataFrame, parts: int) -> DataFrame:
             h, c = h[c > 0], c[c > 0]
             n, distinct = int(c.sum()), len(h)
             body = _pack(h, c) if now[0] == WORD else b""
-            if now[0] == PAIR:
-                h, c = h[c >= MIN_PAIR], c[c >= MIN_PAIR]
             segment = Filter.of(now[0], h, c)
             yield row([None], n, distinct, segment.rooms[now[0]], [body])
             for a in range(0, len(asks), 256):

@@ -87,3 +87,26 @@ def test_the_filter_grows_with_its_keys(spark):
     assert sum(r["n"] for r in got if r["kind"] == nf.WORD) == sum(want.values())
     keys = int(nf.levels(np.array(list(want.values()))).sum()) * nf.BITS_PER_KEY
     assert keys <= sum(r["bits"] for r in got if r["kind"] == nf.WORD) <= keys + 3 * 64
+
+
+def test_pairs_seen_once_count(spark):
+    draw = np.random.default_rng(5)
+    rows = [(i, " ".join(f"w{k}" for k in draw.integers(0, 300, 200))) for i in range(40)]
+    one, two = Counter(), Counter()
+    for i, t in rows:
+        if i % 10:
+            w = tokens(t)
+            one.update(w)
+            two.update(zip([None, *w], w))
+    assert np.mean([c == 1 for c in two.values()]) > 0.9
+    about = lambda c: float(nf.middle(nf.levels(np.array([c])))[0]) if c else 0.0
+    n, v = sum(one.values()), len(one)
+    got = nf.score(spark.createDataFrame(rows, "doc_id long, text string"), F.col("doc_id") % 10 == 0).collect()
+    for r in got:
+        w = tokens(rows[r["doc_id"]][1])
+        want = 0.0
+        for a, b in zip([None, *w], w):
+            p = (about(one[b]) + nf.ADD) / (n + nf.ADD * (v + 1))
+            want += math.log10((min(about(two[a, b]), about(one[a])) + nf.MU * p) / (about(one[a]) + nf.MU))
+        # A probe in thirty hits where it should miss.
+        assert r["score"] == pytest.approx(want, rel=0.06)
