@@ -9,17 +9,19 @@ word edits (insertions, deletions, replacements).
    looked at. By the q-gram lemma a window within reach of an item shares at
    least half of the item's word pairs; the sorted places of the items' pairs give
    the windows that do, and lose none. Of a run of such windows those at every
-   eighth of their width and those with most shared pairs go on.
+   eighth of their width and those with most shared pairs go to the walks.
 2. CGK embedding: for each of ``REPEATS`` random walks, position i of a string
    moves on by a random bit of (step, word); in the words met on the way a few
    edits change few places. Places come from the first ``STEPS`` times the length,
    where walks are still inside the string. A repetition keys a window by ``SAMPLES`` random places of its walk (bit
    sampling); windows that agree with an item in any repetition are candidates.
-   With 40% of the places changed a repetition agrees with 0.22, all 32 miss with
-   4e-4; a leak also has several windows around it.
+   Walks miss some leaks, more of them the longer the item and the more its edits
+   throw a walk out of step. So the filter of 1 is also asked item by item: where
+   an item's own pairs stand close enough together and are enough of them for a
+   leak, that place is a candidate too. This loses none.
 3. Candidates that hold enough of the item's own pairs are verified by the exact
    edit distance of the item to the best stretch of the window and a margin
-   around it.
+   around it, and then to what is left on both sides of a find.
 
 The benchmark is read in blocks of ``ITEM_BLOCK`` words, each broadcast in its
 turn, so what is sent is bounded; documents are not shuffled at all.
@@ -47,6 +49,7 @@ RATE, MIN_WORDS, BIN = 0.25, 5, 1.25
 REPEATS, SAMPLES, STEPS = 32, 3, 1.6
 ITEM_BLOCK = 2_000_000
 HELD = 20_000
+PLACES = 4_000_000
 
 MATCH = "doc_id long, item_id long, start_word long, end_word long, distance long, item_words long"
 _C = np.uint64(0x9E3779B97F4A7C15)
@@ -118,6 +121,9 @@ class Items:
         self.items = [(i, h[a:b].copy()) for i, a, b in zip(ids, first[:-1], first[1:], strict=True) if b - a >= MIN_WORDS]
         self.own_pairs = [frozenset(_pairs(item).tolist()) for _, item in self.items]
         self.least = [max(1, len(p) - 2 * int(rate * len(item))) for p, (_, item) in zip(self.own_pairs, self.items, strict=True)]
+        # Most words that a leak of the item has.
+        self.reach = np.array([len(item) + int(rate * len(item)) for _, item in self.items], np.int64)
+        self.need = np.array(self.least, np.int64)
         bins: dict[int, list[int]] = {}
         for k, (_, item) in enumerate(self.items):
             bins.setdefault(int(np.log(len(item)) / np.log(BIN)), []).append(k)
@@ -125,7 +131,11 @@ class Items:
         for members in bins.values():
             width = max(len(self.items[k][1]) for k in members)
             least = min(self.least[k] for k in members)
-            pairs = np.unique(np.concatenate([_pairs(self.items[k][1]) for k in members]))
+            own = [np.unique(_pairs(self.items[k][1])) for k in members]
+            pairs, which = np.unique(np.concatenate(own), return_inverse=True)
+            order = np.argsort(which, kind="stable")
+            holders = np.repeat(members, [len(x) for x in own])[order]
+            begin = np.searchsorted(which[order], np.arange(len(pairs) + 1))
             rows = np.zeros((len(members), width), np.uint64)
             for r, k in enumerate(members):
                 rows[r, : len(self.items[k][1])] = self.items[k][1]
@@ -133,7 +143,7 @@ class Items:
             for key in keys(rows).T:
                 order = np.argsort(key, kind="stable")
                 tables.append((key[order], np.array(members)[order]))
-            self.bins.append((width, least, pairs, tables))
+            self.bins.append((width, least, pairs, tables, begin, holders))
         self.pairs = np.unique(np.concatenate([b[2] for b in self.bins])) if self.bins else np.zeros(0, np.uint64)
         # A bit for each hash value, so that most pairs of a text are turned away by one look.
         self.sieve = np.zeros(1 << 22, bool)
@@ -151,6 +161,24 @@ class Items:
         both = np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
         return both >> 32, both & 0xFFFFFFFF
 
+    def places(self, hit: np.ndarray, pair: np.ndarray, doc: np.ndarray, which: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(word, item) wherever enough pairs of one item begin within its reach; pair is the number of the pair at each hit."""
+        begin, holders = self.bins[which][4:]
+        parts = 1 + int((begin[pair + 1] - begin[pair]).sum()) // PLACES
+        for part in range(parts):
+            mine = holders % parts == part
+            at = np.concatenate(([0], np.cumsum(mine)))[begin]
+            n = at[pair + 1] - at[pair]
+            row = np.repeat(np.arange(len(hit)), n)
+            item = holders[mine][np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n) + at[pair][row]]
+            order = np.argsort(item, kind="stable")
+            item, place = item[order], hit[row[order]]
+            i = np.arange(len(item))
+            j = i + self.need[item] - 1
+            i, j = i[j < len(item)], j[j < len(item)]
+            ok = (item[i] == item[j]) & (doc[place[i]] == doc[place[j]]) & (place[j] - place[i] <= self.reach[item[i]] - 2)
+            yield place[i[ok]], item[i[ok]]
+
 
 def _pairs(h: np.ndarray) -> np.ndarray:
     return common.mix(h[:-1] * _C + h[1:])
@@ -162,6 +190,7 @@ class _Search:
     def __init__(self, items: Items):
         self.items = items
         self.held: list[list[tuple]] = [[] for _ in items.bins]
+        self.seeds: list[tuple] = []
         self.count = 0
 
     def add(self, ids: list, h: np.ndarray, first: np.ndarray) -> None:
@@ -175,9 +204,10 @@ class _Search:
         if not len(spots):
             return
         pair = pair[spots]
-        for which, (width, least, pairs, _) in enumerate(it.bins):
+        for which, (width, least, pairs, *_) in enumerate(it.bins):
             where = np.minimum(np.searchsorted(pairs, pair), len(pairs) - 1)
-            hit = spots[pairs[where] == pair]
+            same = pairs[where] == pair
+            hit, where = spots[same], where[same]
             if len(hit) < least:
                 continue
             # Windows that begin between (the least-th hit back) - reach and a hit hold enough of
@@ -193,7 +223,8 @@ class _Search:
             np.add.at(mark, b, -1)
             starts = np.flatnonzero(np.cumsum(mark)[:-1] > 0)
             starts = self._spread(starts, hit, width)
-            used = np.unique(doc[starts])
+            seeds = list(it.places(hit, where, doc, which))
+            used = np.unique(doc[np.concatenate((starts, *(place for place, _ in seeds)))])
             texts = {d: (ids[d], h[first[d] : first[d + 1]].copy()) for d in used.tolist()}
             place = starts[:, None] + np.arange(width)
             inside = place < first[doc[starts] + 1][:, None]
@@ -201,6 +232,10 @@ class _Search:
             rows = [(texts[d], s) for d, s in zip(doc[starts].tolist(), (starts - first[doc[starts]]).tolist(), strict=True)]
             self.held[which].append((strings, rows))
             self.count += len(rows)
+            for place, item in seeds:
+                inner = (place - first[doc[place]]).tolist()
+                self.seeds += [(texts[d], s, k) for d, s, k in zip(doc[place].tolist(), inner, item.tolist(), strict=True)]
+                self.count += len(place)
 
     @staticmethod
     def _spread(starts: np.ndarray, hit: np.ndarray, width: int) -> np.ndarray:
@@ -224,6 +259,8 @@ class _Search:
                 for r, k in zip(*(x.tolist() for x in self.items.candidates(strings, which)), strict=True):
                     (doc, text), s = part[r]
                     close.setdefault((id(text), k), [doc, text, []])[2].append(s)
+        for (doc, text), s, k in self.seeds:
+            close.setdefault((id(text), k), [doc, text, []])[2].append(s)
         out: list[tuple] = []
         for (_, k), (doc, text, starts) in close.items():
             item_id, item = self.items.items[k]
@@ -237,16 +274,26 @@ class _Search:
                 low = max(0, starts[a] - margin)
                 stretch = text[low : starts[i - 1] + len(item) + 2 * margin]
                 a = i
-                # Within reach of the item only with enough of its pairs: most candidates end here.
-                if len(self.items.own_pairs[k].intersection(_pairs(stretch).tolist())) < self.items.least[k]:
-                    continue
-                distance, s, e = fitted(item, stretch)
-                if distance <= self.items.rate * len(item):
+                for distance, s, e in self._finds(k, stretch):
                     out.append((doc, item_id, low + s, low + e, distance, len(item)))
         self.held = [[] for _ in self.items.bins]
+        self.seeds = []
         self.count = 0
         return out
 
+    def _finds(self, k: int, stretch: np.ndarray) -> Iterator[tuple[int, int, int]]:
+        """The closest place of an item in a stretch, and those beside it."""
+        item, todo = self.items.items[k][1], [(0, len(stretch))]
+        while todo:
+            a, b = todo.pop()
+            # Within reach of the item only with enough of its pairs: most candidates end here.
+            if len(self.items.own_pairs[k].intersection(_pairs(stretch[a:b]).tolist())) < self.items.least[k]:
+                continue
+            distance, s, e = fitted(item, stretch[a:b])
+            if distance <= self.items.rate * len(item):
+                yield distance, a + s, a + e
+                todo += [(a, a + s), (a + e, b)]
+
 
 def matches(
     docs: DataFrame,

@@ -113,3 +113,29 @@ def test_words_without_punctuation():
     h, start, end, first = words.words(data, np.array([0, len(data)]), words.NOT_LETTERS)
     assert [data[a:b].tobytes().decode() for a, b in zip(start, end)] == ["Ab", "c", "dé", "«x»", "9"]
     assert pa.array([1]).null_count == 0 and len(h) == 5
+
+
+def test_no_leak_at_the_full_rate_is_missed(spark):
+    draw = random.Random(8)
+    word = lambda: "".join(draw.choice("abcdefgh") for _ in range(5))
+    items = [(k, [word() for _ in range(n)]) for k, n in enumerate((40, 60, 80, 120, 160, 200) * 6)]
+    docs, want = [], {}
+    for k, x in items:
+        for share in (0.15, 0.2, 0.25):
+            leak = list(x)
+            for at in sorted(draw.sample(range(len(x)), int(share * len(x))), reverse=True):
+                kind = draw.randrange(3)
+                if kind == 0:
+                    leak[at] = word()
+                elif kind == 1:
+                    leak.insert(at, word())
+                else:
+                    del leak[at]
+            # A whole copy beside it is the stronger place.
+            beside = x if share == 0.2 else [word() for _ in range(30)]
+            docs.append((len(docs), [word() for _ in range(30)] + beside + leak + [word() for _ in range(30)]))
+            want[len(docs) - 1, k] = 2 if share == 0.2 else 1
+    d = spark.createDataFrame([(i, " ".join(w)) for i, w in docs], "doc_id long, text string")
+    b = spark.createDataFrame([(k, " ".join(x)) for k, x in items], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]): r["count"] for r in dc.matches(d, b).groupBy("doc_id", "item_id").count().collect()}
+    assert got == want
