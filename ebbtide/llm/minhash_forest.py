@@ -13,14 +13,21 @@ than ``CROWD`` documents) it is cut deeper, by one minimum at a time up to eight
    full shingle sets; confirmed links make the first components.
 3. In each region that still holds several components, every document outside
    the largest one is a candidate of every document of another component.
-   These are verified too, and the links of both rounds give the components.
+   These are verified too.
+4. A crowded region that is still of several components after that goes through
+   an exact join, since documents that meet in it at depth three may be parted
+   deeper: shingles are ordered by how many of its documents hold them, two sets
+   at the threshold share one among their rarest quarter, and its place in both
+   tells how much they can have in common (prefix and positional filter). The
+   links of all rounds give the components.
 
 So a group of thousands of copies is linked by its neighbours in round one and
-never paired out, and no link between components is left untried in a region.
+never paired out, and no link between components is left untried in a region,
+however many documents it holds.
 A 2-bit sketch of the whole signature (96 minima) leaves out candidates that
 agree in fewer than ``ALIKE`` of 96, 4.7 standard deviations below what the
 threshold gives. Two documents at the threshold meet in some order at depth three
-but for (1 - 0.75**3)**32 = 2.6e-8, at depth five 1.7e-4, at depth eight 3.4e-2.
+but for (1 - 0.75**3)**32 = 2.6e-8. The join of step 4 uses no sketch.
 
 Candidates are verified in cells: the documents that candidates connect, cut
 into blocks of ``CELL`` by a hash, each pair of blocks with its texts in one task.
@@ -42,7 +49,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ebbtide.llm import common, components, words
@@ -184,7 +191,16 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield _listed(u, v, u, v)
 
 
-def _regions(rows: list[np.ndarray], depth: int = 3) -> Iterator[list[np.ndarray]]:
+def _crowded(rows: list[np.ndarray], crowd: int) -> Iterator[pa.RecordBatch]:
+    """The documents of regions that are cut, as lists without partners; comp is the region."""
+    at = np.flatnonzero(np.concatenate(([True], rows[0][1:] != rows[0][:-1])))
+    for a, b in zip(at, np.append(at[1:], len(rows[0])), strict=True):
+        if b - a > crowd and (rows[3][a:b] != rows[3][a]).any():
+            none = pa.ListArray.from_arrays(pa.array(np.zeros(b - a + 1, np.int32)), pa.array([], pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array(rows[2][a:b]), none, pa.array(rows[0][a:b]), none], ["u", "partners", "comp", "comps"])
+
+
+def _regions(rows: list[np.ndarray], crowd: int, depth: int = 3) -> Iterator[list[np.ndarray]]:
     """Regions of two components or more, crowded ones cut deeper."""
     if depth == 3:
         key = rows[0]
@@ -195,17 +211,18 @@ def _regions(rows: list[np.ndarray], depth: int = 3) -> Iterator[list[np.ndarray
         if b - a < 2 or (rows[3][a:b] == rows[3][a]).all():
             continue
         part = [c[a:b] for c in rows]
-        if b - a > CROWD and depth < DEPTH:
-            yield from _regions(part, depth + 1)
+        if b - a > crowd and depth < DEPTH:
+            yield from _regions(part, crowd, depth + 1)
         else:
             yield part
 
 
-def _across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Candidates between different components of a region."""
+def _across(batches: Iterator[pa.RecordBatch], crowd: int) -> Iterator[pa.RecordBatch]:
+    """Candidates between different components of a region, and who is in a crowded one."""
     for chunk in _streamed(batches):
+        yield from _crowded(chunk, crowd)
         found: list[tuple] = []
-        for rows in _regions(chunk):
+        for rows in _regions(chunk, crowd):
             doc, comp, n, sketch = rows[2], rows[3], rows[4], _sketch(rows)
             names, count = np.unique(comp, return_counts=True)
             minor = np.flatnonzero(comp != names[count.argmax()])
@@ -379,6 +396,65 @@ def _spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def _shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each shingle of each text."""
+    for piece in common.pieces(batches, "text"):
+        data, at = common.as_bytes(piece.column(3))
+        h, _, _, first = words.words(data, at)
+        s, begin = words.shingles(h, first, WIDTH)
+        size = np.diff(begin)
+        row = np.repeat(np.arange(len(size)), size)
+        doc, text, comp = (np.asarray(piece.column(i)) for i in range(3))
+        for a in range(0, len(s), 50_000):
+            i = row[a : a + 50_000]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(x) for x in (s[a : a + 50_000].view(np.int64), doc[i], text[i], comp[i], size[i].astype(np.int64))],
+                ["shingle", "doc_id", "tie", "comp", "n"],
+            )
+
+
+def _prefix_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs of different components that share a shingle of their prefixes and can reach the threshold."""
+    for rows in _streamed(batches):
+        at = np.flatnonzero(np.concatenate(([True], rows[0][1:] != rows[0][:-1])))
+        for a, b in zip(at, np.append(at[1:], len(rows[0])), strict=True):
+            _, doc, comp, n, place = (c[a:b] for c in rows)
+            if b - a < 2 or (comp == comp[0]).all():
+                continue
+            names, count = np.unique(comp, return_counts=True)
+            inside = comp != names[count.argmax()]
+            minor = np.flatnonzero(inside)
+            for k in range(0, len(minor), 256):
+                m = minor[k : k + 256]
+                most = np.minimum((n - place)[m, None], (n - place)[None]) + 1
+                ok = (comp[m, None] != comp[None]) & ((100 + PERCENT) * most >= PERCENT * (n[m, None] + n[None]))
+                ok &= _close(n[m, None], n[None]) & (~inside[None] | (doc[m, None] > doc[None]))
+                i, j = np.nonzero(ok)
+                if len(i):
+                    i = m[i]
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in (doc[i], doc[j], comp[i], comp[j])], ["u", "v", "comp", "comp_v"])
+
+
+def _exact(docs: DataFrame, crowd: DataFrame, roots: DataFrame) -> DataFrame:
+    """Candidates between the components of crowded regions, by a prefix join of the full sets."""
+    comp = F.coalesce("root", "doc_id")
+    crowd = crowd.join(roots.withColumnRenamed("node", "doc_id"), "doc_id", "left").select("region", "doc_id", comp.alias("comp"))
+    mixed = crowd.groupBy("region").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a < b").select("region")
+    some = crowd.join(mixed, "region").select("doc_id", "comp").distinct()
+    texts = docs.join(some, "doc_id").select("doc_id", F.xxhash64("text").alias("tie"), "comp", "text").dropDuplicates(["doc_id", "tie"])
+    rows = common.stage(texts.mapInArrow(_shingled, "shingle long, doc_id long, tie long, comp long, n long"), "shingles")
+    held = rows.groupBy("shingle").agg(F.count("*").alias("df"))
+    order = Window.partitionBy("doc_id", "tie").orderBy("df", "shingle")
+    ranked = rows.join(held, "shingle").withColumn("place", F.row_number().over(order).cast("long"))
+    # Of a set of n, n - ceil(n * threshold) + 1.
+    prefix = F.col("n") - F.ceil(F.col("n") * PERCENT / 100) + 1
+    ranked = ranked.where((F.col("place") <= prefix) & (F.col("df") > 1)).select("shingle", "doc_id", "comp", "n", "place")
+    pairs = ranked.repartition("shingle").sortWithinPartitions("shingle", "doc_id").mapInArrow(
+        _prefix_pairs, "u long, v long, comp long, comp_v long"
+    )
+    return pairs.distinct().select("u", F.array("v").alias("partners"), "comp", F.array("comp_v").alias("comps"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every document."""
     common.ship(docs.sparkSession)
@@ -404,10 +480,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     first = common.stage(verified(docs, near), "links")
     roots = components.components(first)
     known = leaders.join(roots.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-    wide = orders(F.coalesce("root", "doc_id"), known).mapInArrow(_across, LISTS)
-    second = common.stage(verified(docs, wide), "links")
+    most = CROWD
+    wide = orders(F.coalesce("root", "doc_id"), known).mapInArrow(lambda batches: _across(batches, most), LISTS)
+    wide = common.stage(wide, "wide")
+    second = common.stage(verified(docs, wide.where(F.size("partners") > 0)), "links")
+    links = first.unionByName(second)
+    crowd = wide.where(F.size("partners") == 0).select(F.col("comp").alias("region"), F.col("u").alias("doc_id"))
+    if not crowd.isEmpty():
+        links = links.unionByName(common.stage(verified(docs, _exact(docs, crowd, components.components(links))), "links"))
     copies = keyed.where(~blank).join(leader, ["k1", "k2"]).where(F.col("doc_id") != F.col("leader"))
-    links = first.unionByName(second).unionByName(copies.select(F.col("doc_id").alias("u"), F.col("leader").alias("v")))
+    links = links.unionByName(copies.select(F.col("doc_id").alias("u"), F.col("leader").alias("v")))
     roots = components.components(links)
     rows = keyed.groupBy("doc_id").agg(F.max("n_shingles").alias("n_shingles"))
     out = rows.join(roots.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn("component_id", F.coalesce("root", "doc_id"))
