@@ -3,7 +3,8 @@
 Ids come from the installed tokenizer library; a document ends with id 0. A text
 is cut at single spaces (which always begin a token), and what stands between is
 encoded once and kept by each worker, as is what the library makes of a word;
-where white space stands beside a space, the library encodes the whole text.
+where white space stands beside a space, or the text holds the string of an added
+token, the library encodes the whole text.
 
 A file is one segment of whole documents:
 
@@ -67,8 +68,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         other = [b for b in range(256) if b not in PLAIN_BYTES]
         self.names = {b: b for b in PLAIN_BYTES} | {b: 256 + k for k, b in enumerate(other)}
         self.parts = regex.compile(PATTERN).findall
@@ -92,10 +93,15 @@ class Encoder:
             return False
         return b"".join(map(self._ids, self.parts(lead + chunk)))
 
+    def _whole(self, text: str) -> bytes:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u2").tobytes()
+
     def encode(self, text: str) -> bytes:
         """Ids of a text, 16 bits each."""
         if not text:
             return b""
+        if any(x in text for x in self.added):
+            return self._whole(text)
         head, *rest = text.split(" ")
         kept = self.after_space
         out = list(map(kept.get, rest))
@@ -107,7 +113,7 @@ class Encoder:
                     out[i] = kept[rest[i]] = self._chunk(rest[i], " ")
         first = self._chunk(head, "") if head else b""
         if first is False or False in out:
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u2").tobytes()
+            return self._whole(text)
         return first + b"".join(out)
 
 

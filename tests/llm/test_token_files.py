@@ -65,3 +65,12 @@ def test_nulls_ties_small_segments_and_no_rows(spark, monkeypatch, tmp_path):
         start += len(ids)
     tf.write(df.limit(0), str(tmp_path / "e"))
     assert tf.read(spark, str(tmp_path / "e")).count() == 0
+
+
+def test_added_tokens_are_what_the_library_makes_of_them():
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(tf.TOKENIZER)
+    encoder = tf.Encoder(tf.TOKENIZER)
+    for text in ("ab <|endoftext|> cd", "<|endoftext|>", "a<|endoftext|>b", "x <|endoftext |> y"):
+        assert np.frombuffer(encoder.encode(text), "<u2").tolist() == library.encode(text, add_special_tokens=False).ids
