@@ -8,6 +8,7 @@ from ebbtide.llm import (
     decontaminate,
     language_id,
     line_dedup,
+    merkle_manifest,
     minhash_forest,
     ngram_filter,
     piece_dropout,
@@ -28,10 +29,12 @@ QUERIES = {
         language_id.op8_language_id,
         line_dedup.op9_line_dedup,
         ngram_filter.op10_ngram_filter,
+        merkle_manifest.op11_merkle_manifest,
     )
 }
 
 ORACLES = {
     "op6_bit_sliced_top_k": bit_sliced.ORACLE_SQL,
     "op9_line_dedup": line_dedup.ORACLE_SQL,
+    "op11_merkle_manifest": merkle_manifest.ORACLE_SQL,
 }
