@@ -6,7 +6,9 @@ from ebbtide.llm import (
     bit_sliced,
     chat_windows,
     decontaminate,
+    imatch,
     language_id,
+    lexical_search,
     line_dedup,
     merkle_manifest,
     minhash_forest,
@@ -30,6 +32,8 @@ QUERIES = {
         line_dedup.op9_line_dedup,
         ngram_filter.op10_ngram_filter,
         merkle_manifest.op11_merkle_manifest,
+        imatch.op12_imatch,
+        lexical_search.op13_lexical_search,
     )
 }
 
@@ -37,4 +41,6 @@ ORACLES = {
     "op6_bit_sliced_top_k": bit_sliced.ORACLE_SQL,
     "op9_line_dedup": line_dedup.ORACLE_SQL,
     "op11_merkle_manifest": merkle_manifest.ORACLE_SQL,
+    "op12_imatch": imatch.ORACLE_SQL,
+    "op13_lexical_search": lexical_search.ORACLE_SQL,
 }
