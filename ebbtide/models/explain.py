@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ebbtide.models.learners import Fitted
+from ebbtide.models.prepare import unshaped
 from ebbtide.operators.distributions import exact_quantiles
 from ebbtide.session import scratch_path
 
@@ -27,12 +28,12 @@ def vector_names(transformed: DataFrame, column: str = "features") -> list[str]:
     """Names of the slots of an assembled vector, from its metadata."""
     groups = transformed.schema[column].metadata["ml_attr"]["attrs"].values()
     slots = sorted((a for g in groups for a in g), key=lambda a: a["idx"])
-    return [a["name"].removesuffix("_index") for a in slots]
+    return [unshaped(a["name"]) for a in slots]
 
 
 def gain_importance(fitted: Fitted, sample: DataFrame, k: int = 25) -> DataFrame:
     """The k features with the greatest total gain."""
-    names = vector_names(fitted.model.transform(fitted.inputs(sample.limit(0))))
+    names = vector_names(fitted.model.transform(sample.limit(0)))
     gains = fitted.model.stages[-1].featureImportances.toArray()
     rows = [(n, float(g)) for n, g in zip(names, gains)]
     return (
@@ -143,7 +144,7 @@ def attributions(fitted: Fitted, df: DataFrame, user: str) -> tuple[DataFrame, f
     nodes = node_table(spark, fitted).toPandas()
     trees = [_tree_paths(part, weights[tree]) for tree, part in nodes.groupby("tree")]
     shared = spark.sparkContext.broadcast(trees)
-    rows = fitted.model.transform(fitted.inputs(df))
+    rows = fitted.model.transform(df)
     names = vector_names(rows)
 
     def explain(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -176,13 +177,13 @@ def linear_attributions(fitted: Fitted, df: DataFrame, background: DataFrame, us
     """
     learner = fitted.model.stages[-1]
     means = (
-        fitted.model.transform(fitted.inputs(background))
+        fitted.model.transform(background)
         .agg(Summarizer.mean(F.col("features")).alias("m"))
         .first()
         .m.toArray()
     )
     w = learner.coefficients.toArray()
-    rows = fitted.model.transform(fitted.inputs(df))
+    rows = fitted.model.transform(df)
     size = len(w)
     centred = F.transform(
         F.sequence(F.lit(0), F.lit(size - 1)),

@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.classification import GBTClassifier, LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression
@@ -14,26 +14,41 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ebbtide.models import prepare as prep
-from ebbtide.operators.metrics import EPS
+from ebbtide.operators.metrics import EPS, class_balance, scored
 from ebbtide.plans.features import TARGET
 
 SEED = 42
 
 
 class Fitted:
-    """A pipeline model together with the columns it takes."""
+    """A pipeline model that takes raw features; saved, it needs nothing but its path."""
 
-    def __init__(self, model: PipelineModel, numeric: Sequence[str], categorical: Sequence[str], kind: str):
-        self.model, self.numeric, self.categorical, self.kind = model, list(numeric), list(categorical), kind
+    def __init__(self, model: PipelineModel):
+        self.model = model
 
-    def inputs(self, df: DataFrame) -> DataFrame:
-        shape = prep.linear_input if self.kind == "linear" else prep.tree_input
-        return shape(df, self.numeric, self.categorical)
+    @classmethod
+    def load(cls, path: str) -> Fitted:
+        return cls(PipelineModel.load(path))
+
+    def save(self, path: str) -> None:
+        self.model.write().overwrite().save(path)
+
+    @property
+    def kind(self) -> str:
+        return "linear" if isinstance(self.model.stages[-1], LogisticRegressionModel) else "tree"
+
+    @property
+    def categorical(self) -> list[str]:
+        return [prep.unshaped(c) for s in self.model.stages if isinstance(s, StringIndexerModel) for c in s.getInputCols()]
+
+    @property
+    def numeric(self) -> list[str]:
+        inputs = [c for s in self.model.stages if isinstance(s, VectorAssembler) for c in s.getInputCols()]
+        return [prep.unshaped(c) for c in inputs if c.endswith(prep.SHAPED)]
 
     def score(self, df: DataFrame, keep: Sequence[str], name: str = "y_prob") -> DataFrame:
         """The kept columns and the probability of the positive class."""
-        scored = self.model.transform(self.inputs(df))
-        return scored.select(*keep, vector_to_array("probability")[1].alias(name))
+        return self.model.transform(df).select(*keep, vector_to_array("probability")[1].alias(name))
 
 
 def fit_baseline(train: DataFrame, features: Sequence[str], label: str = TARGET) -> Fitted:
@@ -43,15 +58,13 @@ def fit_baseline(train: DataFrame, features: Sequence[str], label: str = TARGET)
     penalty of 1/n is the usual unit penalty on the summed loss.
     """
     numeric, categorical = prep.split_kinds(features)
-    weighted = prep.class_weights(train, label, "balanced")
-    n = max(weighted.count(), 1)
+    balance = class_balance(train, label).first()
+    weighted = prep.class_weights(train, label, "balanced", balance=balance)
     learner = LogisticRegression(
         featuresCol="features", labelCol=label, weightCol="weight", maxIter=1000,
-        regParam=1.0 / n, elasticNetParam=0.0, standardization=False,
+        regParam=1.0 / max(balance.n_pos + balance.n_neg, 1), elasticNetParam=0.0, standardization=False,
     )
-    stages = [*prep.linear_stages(numeric, categorical), learner]
-    model = Pipeline(stages=stages).fit(prep.linear_input(weighted, numeric, categorical))
-    return Fitted(model, numeric, categorical, "linear")
+    return Fitted(Pipeline(stages=[*prep.linear_stages(train, numeric, categorical), learner]).fit(weighted))
 
 
 DEFAULT_TREES = {
@@ -77,6 +90,10 @@ def bins_needed(stages: Sequence) -> int:
     return max([32, *[n + 1 for n in levels]])
 
 
+#: Rows of a task while trees grow: a round is several jobs, and small tasks cost more than they save.
+TASK_ROWS = 20_000
+
+
 def prepare_trees(
     train: DataFrame, features: Sequence[str], label: str = TARGET, keep: Sequence[str] = ()
 ) -> tuple[PipelineModel, DataFrame]:
@@ -86,10 +103,13 @@ def prepare_trees(
     caller unpersists it.
     """
     numeric, categorical = prep.split_kinds(features)
-    shaped = prep.tree_input(prep.class_weights(train, label, "pos_ratio"), numeric, categorical)
-    ready = Pipeline(stages=prep.tree_stages(numeric, categorical)).fit(shaped)
-    rows = ready.transform(shaped).select(*keep, F.col(label).cast("double").alias(label), "weight", "features")
-    return ready, rows.persist(StorageLevel.MEMORY_AND_DISK)
+    balance = class_balance(train, label).first()
+    weighted = prep.class_weights(train, label, "pos_ratio", balance=balance)
+    sides = prep.missing_sides(weighted, numeric, label)
+    ready = Pipeline(stages=prep.tree_stages(numeric, categorical, sides)).fit(weighted)
+    rows = ready.transform(weighted).select(*keep, F.col(label).cast("double").alias(label), "weight", "features")
+    tasks = -(-(balance.n_pos + balance.n_neg) // TASK_ROWS)
+    return ready, rows.coalesce(max(1, tasks)).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def fit_trees(
@@ -105,13 +125,13 @@ def fit_trees(
         model = tree_learner(params or {}, rounds, bins_needed(ready.stages), label).fit(rows)
     finally:
         rows.unpersist()
-    numeric, categorical = prep.split_kinds(features)
-    return Fitted(PipelineModel([*ready.stages, model]), numeric, categorical, "tree")
+    return Fitted(PipelineModel([*ready.stages, model]))
 
 
 def _logit(p: Column) -> Column:
-    p = F.greatest(F.lit(EPS), F.least(F.lit(1.0 - EPS), p))
-    return F.log(p / (F.lit(1.0) - p))
+    """Log-odds; NULL and NaN have none (``greatest`` and ``least`` would skip them)."""
+    inside = F.greatest(F.lit(EPS), F.least(F.lit(1.0 - EPS), p))
+    return F.when(p.isNotNull() & ~F.isnan(p), F.log(inside / (F.lit(1.0) - inside)))
 
 
 class Recalibrated:
@@ -121,14 +141,16 @@ class Recalibrated:
         self.model, self.method = model, method
 
     def apply(self, pred: DataFrame, p: str = "y_prob", name: str = "y_prob_cal") -> DataFrame:
-        out = self.model.transform(pred.withColumn("_logit", _logit(F.col(p))))
+        """The rows with a new probability; NULL where there was none."""
+        known = pred.withColumns({"_logit": F.coalesce(_logit(F.col(p)), F.lit(0.0)), "_known": _logit(F.col(p)).isNotNull()})
+        out = self.model.transform(known)
         value = vector_to_array("_probability")[1] if self.method == "platt" else F.col("_calibrated")
-        return out.select(*pred.columns, value.alias(name))
+        return out.select(*pred.columns, F.when(F.col("_known"), value).alias(name))
 
 
 def recalibrate(pred: DataFrame, method: str, y: str = "y_true", p: str = "y_prob") -> Recalibrated:
     """``platt`` fits a logistic curve on the log-odds, ``isotonic`` a monotone step function."""
-    rows = pred.withColumn("_logit", _logit(F.col(p)))
+    rows = scored(pred, y, p).withColumn("_logit", _logit(F.col(p)))
     vector = VectorAssembler(inputCols=["_logit"], outputCol="_x")
     if method == "platt":
         curve = LogisticRegression(

@@ -5,7 +5,7 @@ from __future__ import annotations
 import functools
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbtide.models import explain as ex
@@ -16,6 +16,7 @@ from ebbtide.operators import metrics as m
 from ebbtide.operators.splits import first_match, hash_sample, stratified_split
 from ebbtide.plans.features import ID, TARGET
 from ebbtide.session import durable
+from ebbtide.sources.artifacts import Artifacts, write_artifacts
 
 
 def split_mart(mart: DataFrame, test_share: float = 0.2, seed: int = 42) -> tuple[DataFrame, DataFrame]:
@@ -31,13 +32,14 @@ def predictions(test: DataFrame, models: Mapping[str, Fitted]) -> DataFrame:
 
 
 def random_split_experiment(
-    mart: DataFrame, n_trials: int = 30, k: int = 5, rounds: int = 1000, patience: int = 50, seed: int = 42
+    mart: DataFrame, n_trials: int = 30, k: int = 5, rounds: int = 1000, patience: int = 50, seed: int = 42,
+    study: Mapping | None = None, **search,
 ) -> dict:
-    """Baseline and tuned trees on one stratified split."""
+    """Baseline and tuned trees on one stratified split; ``study`` takes the place of a new search."""
     train, test = split_mart(mart, seed=seed)
     features = feature_columns(mart)
     baseline = fit_baseline(train, features)
-    study = tuning.random_search(train, features, n_trials, k, rounds, patience, seed)
+    study = study or tuning.random_search(train, features, n_trials, k, rounds, patience, seed, **search)
     trees = fit_trees(train, features, study["best_params"], study["best_round"])
     scored = durable(predictions(test, {"y_prob_lr": baseline, "y_prob_trees": trees}))
     records = {
@@ -54,6 +56,27 @@ def random_split_experiment(
     }
 
 
+STUDY_VALUES = ("best_params", "best_value", "best_round", "best_trial", "n_trials", "folds", "patience", "seed")
+
+
+def save_experiment(outcome: Mapping, path: str) -> dict:
+    """Everything of a random-split experiment as one folder of artifacts: both
+    models, predictions and features of the test users, the comparison, the lift,
+    and the study with its trials and rungs. Returns the manifest."""
+    spark = outcome["predictions"].sparkSession
+    study = outcome["study"]
+    tables = {
+        "predictions": outcome["predictions"],
+        "features": outcome["test"],
+        "comparison": outcome["comparison"],
+        "lift": outcome["lift"],
+        "trials": tuning.trials_frame(spark, study),
+        "rungs": tuning.rungs_frame(spark, study),
+        "curves": tuning.curve_frame(spark, study),
+    }
+    return write_artifacts(spark, path, tables, outcome["models"], {"study": {k: study[k] for k in STUDY_VALUES}})
+
+
 def temporal_experiment(
     earlier: DataFrame, later: DataFrame, params: Mapping[str, float] | None = None, rounds: int = 20
 ) -> dict:
@@ -94,6 +117,12 @@ def explanation_sample(test: DataFrame, n: int = 2000) -> DataFrame:
     return durable(hash_sample(test, ID, n).repartition(max(1, min(cores, n // 250)), ID))
 
 
+def report_from_disk(spark: SparkSession, path: str, model: str = "trees", n: int = 2000) -> dict:
+    """The explanation report of a saved experiment; its folder is all that it takes."""
+    kept = Artifacts(spark, path)
+    return explanation_report(kept.model(model), kept.table("features"), kept.table("predictions"), p=f"y_prob_{model}", n=n)
+
+
 def explanation_report(
     trees: Fitted, test: DataFrame, scored: DataFrame, y: str = "y_true", p: str = "y_prob", n: int = 2000
 ) -> dict:
@@ -109,6 +138,7 @@ def explanation_report(
         "pr_curve": m.pr_curve(scored, y, p),
         "confusion": m.confusion(scored, y, p),
         "gain_importance": ex.gain_importance(trees, test),
+        "sample": sample,
         "attributions": phi,
         "base_value": base,
         "global_attribution": ex.global_attribution(phi),

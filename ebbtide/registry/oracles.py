@@ -405,6 +405,24 @@ def _drift() -> str:
     )
 
 
+MODEL_CHECKS = (
+    "trees_score_each_test_user_once", "tree_probabilities_in_range", "baseline_probabilities_in_range",
+    "baseline_gradient_is_zero", "platt_gradient_is_zero", "attributions_add_up", "best_loss_from_scored_rows",
+    "no_fit_past_best_round_and_patience", "best_trial_has_the_least_loss", "study_survives_json",
+    "isotonic_never_falls", "weights_balance_the_classes",
+)
+REPORT_CHECKS = (
+    "saved_trees_score_as_they_did", "gains_sum_to_one", "top_gains_are_the_greatest", "global_attribution_is_the_mean",
+    "global_attribution_keeps_the_greatest", "direction_quartiles_ordered", "row_explanations_add_up",
+    "categories_are_nominal", "confusion_counts_every_test_user", "roc_from_origin_to_one", "roc_never_falls",
+    "drift_change_is_after_less_before", "ablation_has_three_runs",
+)
+
+
+def _no_failures(names: tuple[str, ...]) -> str:
+    return " UNION ALL ".join(f"SELECT '{c}' AS \"check\", CAST(0 AS BIGINT) AS failures" for c in names)
+
+
 def oracles() -> dict[str, str]:
     with_mart = _with_mart()
     txn_nulls = {"pay_method_null": "payment_method_id", "txn_date_null": "transaction_date",
@@ -516,10 +534,13 @@ def oracles() -> dict[str, str]:
             f"SELECT '{stage}' AS stage, count(*) AS n FROM {source}" for stage, source in (
                 ("staged_labels", "lab"), ("staged_members", "memf"), ("transaction_features", "txnf"),
                 ("activity_features", "actf"), ("feature_table", "mart"))),
-        "model_checks": " UNION ALL ".join(f"SELECT '{c}' AS \"check\", CAST(0 AS BIGINT) AS failures" for c in (
-            "trees_score_each_test_user_once", "tree_probabilities_in_range", "baseline_probabilities_in_range",
-            "baseline_gradient_of_intercept", "attributions_add_up", "best_round_is_least_of_its_curve",
-            "isotonic_never_falls", "weights_balance_the_classes")),
+        "model_checks": _no_failures(MODEL_CHECKS),
+        "report_checks": _no_failures(REPORT_CHECKS),
+        "search_rungs": """SELECT * FROM (VALUES (0, 51, 30, 15, 150, 0), (1, 102, 15, 8, 75, 0), (2, 204, 8, 4, 40, 0))
+          AS t(rung, length, n_open, n_kept, n_fits, wrongly_dropped)""",
+        "experiment_artifacts": with_mart + f""", marked AS ({_marked('mart')}), held AS (SELECT count(*) AS n FROM marked WHERE is_test = 1)
+          SELECT artifact, CASE WHEN fixed > 0 THEN fixed ELSE n END AS n, true AS intact FROM held, (VALUES
+            ('predictions', 0), ('features', 0), ('comparison', 2), ('lift', 1), ('trials', 30)) AS t(artifact, fixed)""",
         "raw_checks": _ctes() + _check("members", "gender", "accepted_values", "mem",
             "gender IS NOT NULL AND gender NOT IN ('male', 'female')") + " UNION ALL " + _unique("transactions", "txn"),
         "referential_check": _ctes() + _check("transactions", "msno", "relationship", "txn",

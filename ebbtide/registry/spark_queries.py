@@ -6,6 +6,7 @@ import functools
 from collections.abc import Callable
 
 from pyspark.ml import Pipeline
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -17,6 +18,7 @@ from ebbtide.operators import association, audit, distinct, distributions, lates
 from ebbtide.plans import build, experiments
 from ebbtide.plans import features as ft
 from ebbtide.plans import profile_report as pr
+from ebbtide.registry.workbench import Workbench, forget, workbench
 from ebbtide.session import durable, scratch_path
 from ebbtide.sources import files, schemas
 from ebbtide.sources import shared_tables as st
@@ -548,13 +550,14 @@ def one_hot(spark, sf_dir):
     """Rows per encoded level, read back from the one-hot vectors; levels are
     fitted on the training part and counted on the test part."""
     marked = durable(splits.stratified_split(_mart(spark, sf_dir), ft.ID, LABEL))
-    rows = prepare.linear_input(marked, [], prepare.CATEGORICAL)
-    model = Pipeline(stages=prepare.one_hot_stages(prepare.CATEGORICAL)).fit(rows.where("is_test = 0"))
-    encoded = model.transform(rows.where("is_test = 1"))
-    levels = model.stages[0].labelsArray
+    shaping = prepare.shaping({c: prepare.category_sql(c) for c in prepare.CATEGORICAL})
+    stages = [shaping, *prepare.one_hot_stages([prepare.shaped(c) for c in prepare.CATEGORICAL])]
+    model = Pipeline(stages=stages).fit(marked.where("is_test = 0"))
+    encoded = model.transform(marked.where("is_test = 1"))
+    levels = model.stages[1].labelsArray
     parts = []
     for name, known in zip(prepare.CATEGORICAL, levels):
-        totals = encoded.agg(Summarizer.sum(F.col(f"{name}_onehot")).alias("v"))
+        totals = encoded.agg(Summarizer.sum(F.col(f"{prepare.shaped(name)}_onehot")).alias("v"))
         pairs = totals.select(
             F.posexplode(learners.vector_to_array("v")).alias("i", "n"),
         )
@@ -724,93 +727,87 @@ def predictions_with_features(spark, sf_dir):
 
 # Models ---------------------------------------------------------------------
 
-ROUNDS = 8
 
-
-@functools.lru_cache(maxsize=4)
-def _split_cached(app_id: str, sf_dir: str):
-    spark = SparkSession.active()
-    return experiments.split_mart(_mart(spark, sf_dir))
-
-
-@functools.lru_cache(maxsize=4)
-def _trees_cached(app_id: str, sf_dir: str):
-    train, test = _split_cached(app_id, sf_dir)
-    model = learners.fit_trees(train, prepare.feature_columns(train), {"maxDepth": 4}, ROUNDS)
-    scored = durable(model.score(test, ["msno", F.col(LABEL).alias("y_true")]))
-    return model, scored
-
-
-@functools.lru_cache(maxsize=4)
-def _phi_cached(app_id: str, sf_dir: str):
-    model, _ = _trees_cached(app_id, sf_dir)
-    _, test = _split_cached(app_id, sf_dir)
-    phi, base = ex.attributions(model, experiments.explanation_sample(test), "msno")
-    return durable(phi), base
+def _bench(spark, sf_dir) -> Workbench:
+    return workbench(spark, sf_dir, _mart)
 
 
 def forget_models() -> None:
     """Drop the fits that several queries share, for timing them."""
-    for kept in (_split_cached, _trees_cached, _phi_cached, _study_cached):
-        kept.cache_clear()
-
-
-def _app(spark: SparkSession) -> str:
-    return spark.sparkContext.applicationId
+    forget()
 
 
 @query
 def baseline_fit(spark, sf_dir):
-    train, test = _split_cached(_app(spark), sf_dir)
-    model = learners.fit_baseline(train, prepare.feature_columns(train))
-    path = scratch_path(spark, "baseline")
-    files.save_model(model.model, path)
-    again = learners.Fitted(files.load_model(path), model.numeric, model.categorical, "linear")
-    return again.score(test, ["msno", F.col(LABEL).alias("y_true")])
+    """Test scores of the baseline as it was saved; its folder is all that scoring takes."""
+    kept = _bench(spark, sf_dir).kept
+    return kept.model("baseline").score(kept.table("features"), ["msno", F.col(LABEL).alias("y_true")])
 
 
 @query
 def baseline_record(spark, sf_dir):
-    return metrics.metric_record(durable(baseline_fit(spark, sf_dir)), run="baseline")
+    return _bench(spark, sf_dir).kept.table("comparison").where("run = 'baseline'")
 
 
 @query
 def gbt_fit(spark, sf_dir):
-    return _trees_cached(_app(spark), sf_dir)[1]
-
-
-def _study(spark, sf_dir):
-    train, _ = _split_cached(_app(spark), sf_dir)
-    space = {**tuning.SPACE, "maxDepth": ("int", 2, 4)}
-    return tuning.random_search(
-        train, prepare.feature_columns(train), n_trials=2, k=2, rounds=6, space=space, parallel=4
-    )
-
-
-@functools.lru_cache(maxsize=4)
-def _study_cached(app_id: str, sf_dir: str):
-    return _study(SparkSession.active(), sf_dir)
+    """Test scores of the trees with the study's best parameters and round."""
+    return _bench(spark, sf_dir).kept.table("predictions").select("msno", "y_true", F.col("y_prob_trees").alias("y_prob"))
 
 
 @query
 def gbt_search(spark, sf_dir):
-    """Trials of a small search; the outcome also goes through its JSON form."""
-    study = _study_cached(_app(spark), sf_dir)
+    """All trials of the full search; the outcome also goes through its JSON form."""
+    study = _bench(spark, sf_dir).study
     path = scratch_path(spark, "study")
     files.write_study(spark, study, path)
     kept = files.read_study(spark, path)
-    return tuning.trials_frame(spark, study).withColumn("is_best", F.col("log_loss") == kept["best_value"])
+    return tuning.trials_frame(spark, study).withColumn("is_best", F.col("finalist") & (F.col("log_loss") == kept["best_value"]))
 
 
 @query
 def best_round(spark, sf_dir):
-    return tuning.curve_frame(spark, _study_cached(_app(spark), sf_dir))
+    return tuning.curve_frame(spark, _bench(spark, sf_dir).study)
+
+
+def _by_rung(spark, study) -> DataFrame:
+    """Mean loss over the folds of each trial and rung."""
+    rungs = tuning.rungs_frame(spark, study)
+    return rungs.groupBy("rung", "length", "trial", "kept").agg(F.avg("loss").alias("loss"), F.count(F.lit(1)).alias("folds"))
+
+
+@query
+def search_rungs(spark, sf_dir):
+    """Rungs that dropped candidates: how many were open and stayed, and how many
+    went although they had the lower loss."""
+    means = _by_rung(spark, _bench(spark, sf_dir).study)
+    worst = F.max(F.when(F.col("kept"), F.col("loss"))).over(Window.partitionBy("rung"))
+    counted = means.withColumn("worst", worst).groupBy("rung", "length").agg(
+        F.count(F.lit(1)).alias("n_open"),
+        F.count_if("kept").alias("n_kept"),
+        F.sum("folds").alias("n_fits"),
+        F.count_if(~F.col("kept") & (F.col("loss") < F.col("worst"))).alias("wrongly_dropped"),
+    )
+    return counted.where("n_kept < n_open")
+
+
+@query
+def experiment_artifacts(spark, sf_dir):
+    """The tables of the experiment's folder, read again, as the manifest names them."""
+    kept = _bench(spark, sf_dir).kept
+    broken = kept.broken()
+    fixed = ("predictions", "features", "comparison", "lift", "trials")
+    parts = [
+        kept.table(name).agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("artifact"), "n", F.lit(name not in broken).alias("intact"))
+        for name in fixed
+    ]
+    return functools.reduce(DataFrame.unionByName, parts)
 
 
 @query
 def temporal_experiment(spark, sf_dir):
     """Trees with the stored best parameters, fitted on the earlier period."""
-    study = _study_cached(_app(spark), sf_dir)
+    study = _bench(spark, sf_dir).kept.value("study")
     outcome = experiments.temporal_experiment(
         _mart(spark, sf_dir, st.EARLIER), _mart(spark, sf_dir), study["best_params"], study["best_round"]
     )
@@ -819,7 +816,9 @@ def temporal_experiment(spark, sf_dir):
 
 @query
 def ablation(spark, sf_dir):
-    return experiments.ablation(_mart(spark, sf_dir), {"maxDepth": 3}, 4)
+    """The trees of the study, fitted anew on each feature list."""
+    study = _bench(spark, sf_dir).kept.value("study")
+    return experiments.ablation(_mart(spark, sf_dir), study["best_params"], study["best_round"])
 
 
 @query
@@ -832,84 +831,165 @@ def recalibration(spark, sf_dir):
 
 @query
 def gain_importance(spark, sf_dir):
-    model, _ = _trees_cached(_app(spark), sf_dir)
-    return ex.gain_importance(model, _split_cached(_app(spark), sf_dir)[1])
+    bench = _bench(spark, sf_dir)
+    return ex.gain_importance(bench.trees, bench.test)
 
 
 @query
 def attributions(spark, sf_dir):
-    return _phi_cached(_app(spark), sf_dir)[0]
+    return _bench(spark, sf_dir).attributions[0]
 
 
 @query
 def linear_attributions(spark, sf_dir):
-    train, test = _split_cached(_app(spark), sf_dir)
-    model = learners.fit_baseline(train, prepare.feature_columns(train))
-    return ex.linear_attributions(model, experiments.explanation_sample(test), train, "msno")[0]
+    bench = _bench(spark, sf_dir)
+    return ex.linear_attributions(bench.baseline, bench.sample, bench.train, "msno")[0]
 
 
 @query
 def global_attribution(spark, sf_dir):
-    return ex.global_attribution(_phi_cached(_app(spark), sf_dir)[0])
+    return ex.global_attribution(_bench(spark, sf_dir).attributions[0])
 
 
 @query
 def attribution_direction(spark, sf_dir):
-    return ex.attribution_direction(_phi_cached(_app(spark), sf_dir)[0])
+    return ex.attribution_direction(_bench(spark, sf_dir).attributions[0])
 
 
-@query
-def row_explanation(spark, sf_dir):
-    """A sampled churner scored above 0.8 and a loyal user scored below 0.02, explained."""
-    phi, _ = _phi_cached(_app(spark), sf_dir)
-    _, scored = _trees_cached(_app(spark), sf_dir)
-    seen = scored.join(phi.select("msno").distinct(), "msno", "left_semi")
+def _confident(bench: Workbench) -> DataFrame:
+    """A sampled churner scored above 0.8 and a loyal user scored below 0.02."""
+    scored = bench.kept.table("predictions").select("msno", "y_true", F.col("y_prob_trees").alias("y_prob"))
+    seen = scored.join(bench.sample.select("msno"), "msno", "left_semi")
     yes = splits.first_match(seen, (F.col("y_true") == 1) & (F.col("y_prob") > 0.8), "msno")
     no = splits.first_match(seen, (F.col("y_true") == 0) & (F.col("y_prob") < 0.02), "msno")
-    return ex.explain_row(phi, "msno", yes.unionByName(no))
+    return yes.unionByName(no)
+
+
+@query
+def row_explanation(spark, sf_dir):
+    bench = _bench(spark, sf_dir)
+    return ex.explain_row(bench.attributions[0], "msno", _confident(bench))
 
 
 # Checks of models whose answer is known --------------------------------------
 
 
+def _failures(counts: dict[str, DataFrame]) -> DataFrame:
+    """Each check with the number of rows that break it."""
+    rows = [df.agg(F.count(F.lit(1)).alias("failures")).select(F.lit(name).alias("check"), "failures") for name, df in counts.items()]
+    return functools.reduce(DataFrame.unionByName, rows)
+
+
+def _gradient(rows: DataFrame, x: str, y: str, p: str, weight: str) -> dict[int, float]:
+    """Slope of the weighted mean log loss in each coefficient, from scored rows.
+
+    The residual p - y is positive for all rows of class 0 and negative for all of
+    class 1, so two weighted vector sums make it up.
+    """
+    sums = rows.withColumn("_r", F.col(weight) * F.abs(F.col(p) - F.col(y))).groupBy(y).agg(
+        Summarizer.sum(F.col(x), F.col("_r")).alias("s"), F.sum(weight).alias("w"), F.sum("_r").alias("r")
+    )
+    out: dict[int, float] = {}
+    total = 0.0
+    for row in sums.collect():
+        sign = 1.0 if row[y] == 0 else -1.0
+        total += row.w
+        for j, v in enumerate([*row.s.toArray().tolist(), row.r]):
+            out[j] = out.get(j, 0.0) + sign * v
+    return {j: v / total for j, v in out.items()}
+
+
+def _steep(spark, slopes: dict[int, float], most: float) -> DataFrame:
+    return spark.createDataFrame([(j, float(v)) for j, v in slopes.items()], "slot int, slope double").where(F.abs("slope") > most)
+
+
 @query
 def model_checks(spark, sf_dir):
-    """What must hold for any data: each check with the number of rows that break it."""
-    train, test = _split_cached(_app(spark), sf_dir)
-    trees, scored = _trees_cached(_app(spark), sf_dir)
-    phi, base = _phi_cached(_app(spark), sf_dir)
-    sample = experiments.explanation_sample(test)
-    baseline = learners.fit_baseline(train, prepare.feature_columns(train))
-    linear = baseline.score(train, ["msno", LABEL])
-    weighted = prepare.class_weights(linear, LABEL, "balanced")
-    margins = trees.model.transform(trees.inputs(sample)).select(
-        "msno", learners.vector_to_array("rawPrediction")[1].alias("margin")
+    """What must hold for fitted models and searches, whatever the data."""
+    bench = _bench(spark, sf_dir)
+    study, train, test = bench.study, bench.train, bench.test
+    scored = gbt_fit(spark, sf_dir)
+    phi, base = bench.attributions
+    linear = bench.baseline.model.transform(prepare.class_weights(train, LABEL, "balanced")).withColumn(
+        "y_prob", learners.vector_to_array("probability")[1]
     )
+    learner = bench.baseline.model.stages[-1]
+    n = train.count()
+    slopes = _gradient(linear, "features", LABEL, "y_prob", "weight")
+    slopes |= {j: slopes[j] + float(c) / n for j, c in enumerate(learner.coefficients.toArray())}
+    margins = bench.trees.model.transform(bench.sample).select("msno", learners.vector_to_array("rawPrediction")[1].alias("margin"))
     sums = phi.groupBy("msno").agg((F.sum("phi") + F.lit(base)).alias("total")).join(margins, "msno", "full")
-    study = _study_cached(_app(spark), sf_dir)
-    curve = tuning.curve_frame(spark, study)
-    trials = tuning.trials_frame(spark, study)
     earlier, later = st.scores(spark, sf_dir, st.EARLIER), st.scores(spark, sf_dir)
     monotone = learners.recalibrate(earlier, "isotonic").apply(later)
     falls = monotone.groupBy("y_prob").agg(F.min("y_prob_cal").alias("lo"), F.max("y_prob_cal").alias("hi"))
     # Scores are days since the last order here, so there is a row for each day at most.
     before = F.max("hi").over(Window.orderBy("y_prob").rowsBetween(Window.unboundedPreceding, -1))
+    platt = learners.recalibrate(earlier, "platt").apply(earlier)
+    odds = platt.where("y_prob > 0 AND y_prob < 1").count() == platt.count()
+    platt = platt.withColumns({"one": F.lit(1.0), "x": array_to_vector(F.array(F.log(F.col("y_prob") / (1 - F.col("y_prob")))))}) if odds else None
     ratio = prepare.class_weights(st.labels(spark, sf_dir), LABEL, "pos_ratio")
     by_class = F.sum(F.when(F.col(LABEL) == 1, F.col("weight"))) - F.sum(F.when(F.col(LABEL) == 0, F.col("weight")))
     outside = ~F.col("y_prob").between(0.0, 1.0) | F.col("y_prob").isNull()
+    losses = tuning.fold_losses(train, prepare.feature_columns(train), study).agg(F.avg("log_loss").alias("v"))
+    trained = spark.createDataFrame(
+        [(t["trial"], max(f[2] for f in study["fits"] if f[0] == t["trial"]), min(1000, t["best_round"] + study["patience"])) for t in study["trials"] if t["finalist"]],
+        "trial int, trained int, allowed int",
+    )
+    path = scratch_path(spark, "study")
+    files.write_study(spark, study, path)
+    again = files.read_study(spark, path)
     counts = {
         "trees_score_each_test_user_once": test.select("msno").join(scored.groupBy("msno").count(), "msno", "full").where(
             "count is null or count <> 1"),
         "tree_probabilities_in_range": scored.where(outside),
         "baseline_probabilities_in_range": linear.where(outside),
-        "baseline_gradient_of_intercept": weighted.agg(
-            F.abs(F.sum(F.col("weight") * (F.col("y_prob") - F.col(LABEL)))).alias("g"), F.sum("weight").alias("n")
-        ).where("g > 1e-3 * n"),
+        "baseline_gradient_is_zero": _steep(spark, slopes, 1e-3),
+        "platt_gradient_is_zero": _steep(spark, _gradient(platt, "x", "y_true", "y_prob_cal", "one"), 1e-3) if odds else spark.range(1),
         "attributions_add_up": sums.where("total is null or margin is null or abs(total - margin) > 1e-6"),
-        "best_round_is_least_of_its_curve": trials.join(curve.groupBy("trial").agg(F.min("log_loss").alias("least")), "trial").where(
-            "abs(log_loss - least) > 1e-12"),
+        "best_loss_from_scored_rows": losses.where(F.abs(F.col("v") - study["best_value"]) > 1e-9),
+        "no_fit_past_best_round_and_patience": trained.where("trained > allowed"),
+        "best_trial_has_the_least_loss": tuning.trials_frame(spark, study).where(F.col("finalist") & (F.col("log_loss") < study["best_value"])),
+        "study_survives_json": spark.range(1).where(F.lit(any(again[k] != study[k] for k in ("best_params", "best_value", "best_round", "n_trials")))),
         "isotonic_never_falls": falls.withColumn("before", before).where("lo < before - 1e-12 or hi > lo + 1e-12"),
         "weights_balance_the_classes": ratio.agg(by_class.alias("d"), F.sum("weight").alias("n")).where("abs(d) > 1e-9 * n"),
     }
-    rows = [df.agg(F.count(F.lit(1)).alias("failures")).select(F.lit(name).alias("check"), "failures") for name, df in counts.items()]
-    return functools.reduce(DataFrame.unionByName, rows)
+    return _failures(counts)
+
+
+@query
+def report_checks(spark, sf_dir):
+    """What must hold for the explanation report, made from the experiment's folder alone."""
+    bench = _bench(spark, sf_dir)
+    report = experiments.report_from_disk(spark, bench.folder)
+    phi, scored = report["attributions"], gbt_fit(spark, sf_dir)
+    features = bench.kept.table("features")
+    alike = bench.trees.score(features, ["msno"], "again").join(scored, "msno", "full")
+    gains = ex.gain_importance(bench.trees, features, k=10**6)
+    mean_abs = phi.groupBy("feature").agg((F.sum(F.abs("phi")) / F.count(F.lit(1))).alias("want"))
+    top = report["global_attribution"].join(mean_abs, "feature", "full")
+    least = report["global_attribution"].agg(F.min("mean_abs_phi").alias("least"))
+    rows = bench.trees.model.transform(features.limit(0))
+    nominal = rows.schema["features"].metadata["ml_attr"]["attrs"].get("nominal", [])
+    levels = {prepare.unshaped(a["name"]): len(a["vals"]) for a in nominal}
+    known = {c: bench.train.select(F.expr(prepare.category_sql(c))).distinct().count() for c in bench.trees.categorical}
+    who = report["positive"].unionByName(report["negative"])
+    lines = who.groupBy("msno").agg(F.sum("phi").alias("lines"), F.count(F.lit(1)).alias("k")).join(phi.groupBy("msno").agg(F.sum("phi").alias("whole")), "msno")
+    curve = report["roc_curve"]
+    counts = {
+        "saved_trees_score_as_they_did": alike.where("again is null or y_prob is null or abs(again - y_prob) > 1e-12"),
+        "gains_sum_to_one": gains.agg(F.sum("gain").alias("s")).where("abs(s - 1) > 1e-9"),
+        "top_gains_are_the_greatest": report["gain_importance"].join(gains.withColumnRenamed("gain", "want"), "feature", "right").where(
+            F.col("gain").isNull() & (F.col("want") > F.lit(report["gain_importance"].agg(F.min("gain")).first()[0] or 0.0))),
+        "global_attribution_is_the_mean": top.where("mean_abs_phi is not null and abs(mean_abs_phi - want) > 1e-12"),
+        "global_attribution_keeps_the_greatest": mean_abs.join(report["global_attribution"], "feature", "left_anti").join(F.broadcast(least)).where("want > least"),
+        "direction_quartiles_ordered": report["direction"].where(
+            "not (phi_min <= phi_q1 and phi_q1 <= phi_median and phi_median <= phi_q3 and phi_q3 <= phi_max) or abs(value_corr) > 1 + 1e-9"),
+        "row_explanations_add_up": lines.where("abs(lines - whole) > 1e-9 or k > 12"),
+        "categories_are_nominal": spark.createDataFrame([(c, levels.get(c, 0), n) for c, n in known.items()], "c string, levels int, known int").where("levels <> known + 1"),
+        "confusion_counts_every_test_user": report["confusion"].agg(F.sum("n").alias("n")).where(F.col("n") != features.count()),
+        "roc_from_origin_to_one": curve.agg(F.min(F.col("fpr") + F.col("tpr")).alias("lo"), F.max(F.col("fpr") + F.col("tpr")).alias("hi")).where("lo <> 0 or hi <> 2"),
+        "roc_never_falls": curve.withColumn("next", F.lead("tpr").over(Window.orderBy("fpr", "tpr"))).where("next < tpr"),
+        "drift_change_is_after_less_before": temporal_experiment(spark, sf_dir).where("abs(change - (after - before)) > 1e-12"),
+        "ablation_has_three_runs": ablation(spark, sf_dir).agg(F.countDistinct("run").alias("n"), F.max("n_features").alias("most")).where("n <> 3 or most <> 34"),
+    }
+    return _failures(counts)

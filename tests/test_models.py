@@ -76,8 +76,9 @@ def test_baseline_finds_the_signal_and_survives_saving(rows, tmp_path):
     model = learners.fit_baseline(rows, FEATURES)
     scored = model.score(rows, ["msno", F.col("is_churn").alias("y_true")])
     assert metrics.roc_auc(scored).first().roc_auc > 0.7
-    files.save_model(model.model, f"{tmp_path}/m")
-    again = learners.Fitted(files.load_model(f"{tmp_path}/m"), model.numeric, model.categorical, "linear")
+    model.save(f"{tmp_path}/m")
+    again = learners.Fitted.load(f"{tmp_path}/m")
+    assert (again.kind, again.numeric, again.categorical) == ("linear", FEATURES[2:], FEATURES[:2])
     assert sorted(again.score(rows, ["msno"]).collect()) == sorted(scored.drop("y_true").collect())
 
 
@@ -85,7 +86,7 @@ def test_tree_attributions_add_up(rows, trees):
     sample = rows.limit(80)
     phi, base = ex.attributions(trees, sample, "msno")
     sums = {r.msno: r.s + base for r in phi.groupBy("msno").agg(F.sum("phi").alias("s")).collect()}
-    margins = trees.model.transform(trees.inputs(sample)).select("msno", vector_to_array("rawPrediction")[1].alias("m"))
+    margins = trees.model.transform(sample).select("msno", vector_to_array("rawPrediction")[1].alias("m"))
     for r in margins.collect():
         assert sums[r.msno] == pytest.approx(r.m, abs=1e-9)
 
@@ -101,7 +102,7 @@ def test_tree_attributions_are_shapley_values(rows, trees):
     got = {}
     for r in phi.collect():
         got.setdefault(r.msno, []).append((r.feature, r.value, r.phi))
-    names = ex.vector_names(trees.model.transform(trees.inputs(rows)))
+    names = ex.vector_names(trees.model.transform(rows))
 
     def game(x, known, tree, i=0):
         n = tree[i]
@@ -132,7 +133,7 @@ def test_linear_attributions_add_up(rows):
     model = learners.fit_baseline(rows, FEATURES)
     phi, base = ex.linear_attributions(model, rows.limit(20), rows, "msno")
     sums = {r.msno: r.s + base for r in phi.groupBy("msno").agg(F.sum("phi").alias("s")).collect()}
-    raw = model.model.transform(model.inputs(rows.limit(20))).select("msno", vector_to_array("rawPrediction")[1].alias("m"))
+    raw = model.model.transform(rows.limit(20)).select("msno", vector_to_array("rawPrediction")[1].alias("m"))
     for r in raw.collect():
         assert sums[r.msno] == pytest.approx(r.m, abs=1e-9)
 
@@ -176,6 +177,68 @@ def test_search_reports_plain_log_loss(rows):
     assert last == pytest.approx(metrics.log_loss(scored).first().log_loss)
 
 
+KNOWN = [
+    {"maxDepth": 1, "stepSize": 0.002},
+    {"maxDepth": 1, "stepSize": 0.01},
+    {"maxDepth": 1, "stepSize": 0.003},
+    {"maxDepth": 3, "stepSize": 0.15, "subsamplingRate": 1.0, "featureFraction": 1.0},
+    {"maxDepth": 1, "stepSize": 0.001},
+    {"maxDepth": 1, "stepSize": 0.004},
+]
+
+
+def test_halving_keeps_the_known_best_candidate(rows):
+    """One candidate learns, the others hardly move within the rounds allowed."""
+    study = tuning.random_search(rows, FEATURES, k=2, rounds=12, patience=2, finalists=1, candidates=KNOWN)
+    assert study["best_trial"] == 3 and study["best_params"] == KNOWN[3]
+    by_rung = {}
+    for r in study["rungs"]:
+        by_rung.setdefault((r["rung"], r["length"]), {})[r["trial"]] = r["kept"]
+    # Three rounds, then six, then all twelve; the better half goes on.
+    assert [(k, len(v), sum(v.values())) for k, v in sorted(by_rung.items())] == [((0, 3), 6, 3), ((1, 6), 3, 2), ((2, 12), 2, 1)]
+    assert [t["trial"] for t in study["trials"] if t["finalist"]] == [3]
+
+
+def test_no_fit_trains_past_best_round_and_patience(rows):
+    study = tuning.random_search(rows, FEATURES, k=2, rounds=200, patience=6, finalists=2, candidates=[
+        {"maxDepth": 3, "stepSize": 0.3}, {"maxDepth": 2, "stepSize": 0.3}, {"maxDepth": 5, "stepSize": 0.3}])
+    for t in (t for t in study["trials"] if t["finalist"]):
+        trained = max(n for trial, _, n in study["fits"] if trial == t["trial"])
+        assert len(t["curve"]) <= trained <= t["best_round"] + 6 < 200
+        assert t["best_round"] == t["curve"].index(min(t["curve"])) + 1
+    # The loss of the winner, from scored rows of each fold.
+    losses = [r.log_loss for r in tuning.fold_losses(rows, FEATURES, study).collect()]
+    assert sum(losses) / 2 == pytest.approx(study["best_value"], abs=1e-9)
+
+
+def test_missing_numbers_go_to_the_side_that_parts_the_label(spark):
+    """Gaps with the label of the small values, and gaps with that of the great ones."""
+    rng = random.Random(4)
+    out = []
+    for i in range(2000):
+        x = rng.random() * 100
+        y = int(x > 60)
+        out.append((i, y if rng.random() < 0.95 else 1 - y, x if rng.random() > 0.3 or y else None, x if rng.random() > 0.3 or not y else None, 1.0, i % 5))
+    df = spark.createDataFrame(out, "msno long, is_churn int, low double, high double, weight double, whole int")
+    sides = prepare.missing_sides(df, ["low", "high", "whole"])
+    assert sides == {"low": prepare.BELOW, "high": prepare.ABOVE, "whole": prepare.BELOW}
+    model = learners.fit_trees(df, ["low", "high"], {"maxDepth": 1, "minInstancesPerNode": 1, "subsamplingRate": 1.0, "featureFraction": 1.0}, 1)
+    assert model.numeric == ["low", "high"]
+    gaps = model.model.transform(spark.createDataFrame([(None, None, 0), (float("nan"), float("nan"), 0)], "low double, high double, is_churn int"))
+    assert [list(r.v) for r in gaps.select(vector_to_array("features").alias("v")).collect()] == [[prepare.BELOW, prepare.ABOVE]] * 2
+    assert prepare.missing_sides(df, []) == {}
+    empty = df.withColumn("low", F.lit(None).cast("double"))
+    assert prepare.missing_sides(empty, ["low"]) == {"low": prepare.BELOW}
+
+
+def test_recalibration_leaves_missing_scores_missing(spark, rows, trees):
+    scored = trees.score(rows, ["msno", F.col("is_churn").alias("y_true")])
+    gappy = scored.withColumn("y_prob", F.when(F.col("msno") == 3, None).when(F.col("msno") == 4, float("nan")).otherwise(F.col("y_prob")))
+    for method in ("platt", "isotonic"):
+        out = {r.msno: r.y_prob_cal for r in learners.recalibrate(gappy, method).apply(gappy).collect()}
+        assert out[3] is None and out[4] is None and 0 <= out[5] <= 1
+
+
 def test_recalibration_moves_the_mean(rows, trees):
     scored = trees.score(rows, ["msno", F.col("is_churn").alias("y_true")]).persist()
     for method in ("platt", "isotonic"):
