@@ -73,10 +73,14 @@ DEFAULT_TREES = {
 }
 
 
+#: Rounds between two checkpoints of the running margins; each is a write to the shared folder.
+CHECKPOINT_ROUNDS = 50
+
+
 def tree_learner(params: Mapping[str, float], rounds: int, bins: int, label: str = TARGET) -> GBTClassifier:
     p = {**DEFAULT_TREES, **params}
     return GBTClassifier(
-        featuresCol="features", labelCol=label, weightCol="weight", seed=SEED, maxIter=int(rounds), maxBins=bins,
+        featuresCol="features", labelCol=label, weightCol="weight", seed=SEED, maxIter=int(rounds), maxBins=bins, checkpointInterval=CHECKPOINT_ROUNDS,
         maxDepth=int(p["maxDepth"]), stepSize=float(p["stepSize"]),
         minInstancesPerNode=int(p["minInstancesPerNode"]), subsamplingRate=float(p["subsamplingRate"]),
         featureSubsetStrategy=str(float(p["featureFraction"])) if p["featureFraction"] < 1.0 else "all",

@@ -54,7 +54,7 @@ def best_round(curve: Sequence[float], patience: int = 50) -> tuple[int, float]:
 
 
 #: Candidates that are followed to the end of their patience.
-FINALISTS = 4
+FINALISTS = 2
 
 
 class Trials:

@@ -13,15 +13,20 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def rule_audit(df: DataFrame, rules: Mapping[str, Column], percent: Sequence[str] = (), digits: int = 1) -> DataFrame:
-    """Rows breaking each rule, all counted in one pass, with shares on request."""
+def rule_counts(rules: Mapping[str, Column], percent: Sequence[str] = (), digits: int = 1) -> list[Column]:
+    """Aggregates: all rows, rows breaking each rule, shares on request."""
     aggs = [F.count(F.lit(1)).alias("total_rows")]
     for name, broken in rules.items():
         aggs.append(F.count_if(broken).alias(name))
         if name in percent:
             share = F.try_divide(F.count_if(broken) * F.lit(100.0), F.count(F.lit(1)))
             aggs.append(F.round(share, digits).alias(f"{name}_pct"))
-    return df.agg(*aggs)
+    return aggs
+
+
+def rule_audit(df: DataFrame, rules: Mapping[str, Column], percent: Sequence[str] = (), digits: int = 1) -> DataFrame:
+    """Rows breaking each rule, all counted in one pass, with shares on request."""
+    return df.agg(*rule_counts(rules, percent, digits))
 
 
 def null_counts(df: DataFrame) -> DataFrame:

@@ -405,6 +405,32 @@ def _drift() -> str:
     )
 
 
+# Parts of the profiling report and the query that says the same by itself.
+_PARTS = {
+    "label_balance": "label_balance", "members_quality": "members_quality", "transactions_quality": "transactions_quality",
+    "logs_quality": "logs_quality", "age_histogram": "histogram_age", "raw_age_histogram": "histogram_raw_age",
+    "rate_by_gender": "segment_rate_gender", "rate_by_city": "segment_rate_city_topk", "rate_by_channel": "segment_rate_channel",
+    "cohorts": "cohort_churn_rate", "transaction_summary": "txn_summary", "rate_by_status": "rate_by_renew_cancel",
+    "rate_by_renewal": "renew_rollup_mean", "plan_lengths": "plan_frequency_topk", "plan_shares": "plan_shares",
+    "rate_by_price_type": "discount_rate", "rate_by_payment_method": "payment_method_topk",
+    "payment_medians": "txn_temporal_medians", "payment_histogram": "histogram_by_class", "expiry_histogram": "histogram_expiry",
+    "log_range": "log_date_range", "activity_medians": "activity_medians", "seconds_histogram": "histogram_density",
+    "songs_histogram": "histogram_unique_songs", "plays_histogram": "histogram_complete_plays",
+    "engagement_medians": "engagement_median", "engagement_histogram": "histogram_engagement",
+    "missingness_audit": "missingness_audit", "null_counts": "null_counts", "correlations": "correlation_matrix",
+    "correlations_with_label": "correlation_with_target",
+}
+
+
+def _profile_parts(twins: dict[str, str]) -> str:
+    """Rows of each part of the report; columns of the four inputs are 2, 6, 10 and 9."""
+    rows = [f"SELECT '{part}' AS part, count(*) AS n FROM ({twins[name]})" for part, name in _PARTS.items()]
+    days = _ctes() + "SELECT 50 * count(DISTINCT is_churn) FROM lab WHERE msno IN (SELECT msno FROM log)"
+    rows.append(f"SELECT 'active_days_histogram', ({days})")
+    rows += ["SELECT 'inventory', 4", "SELECT 'source_nulls', 27"]
+    return " UNION ALL ".join(rows)
+
+
 MODEL_CHECKS = (
     "trees_score_each_test_user_once", "tree_probabilities_in_range", "baseline_probabilities_in_range",
     "baseline_gradient_is_zero", "platt_gradient_is_zero", "attributions_add_up", "best_loss_from_scored_rows",
@@ -435,7 +461,7 @@ def oracles() -> dict[str, str]:
     paid = f"(SELECT * FROM lab JOIN ({_HISTORY}) USING (msno))"
     used = f"(SELECT * FROM lab JOIN ({_USE}) USING (msno))"
     depth = f"(SELECT is_churn, total_unique_songs / nullif(CAST(total_partial_plays AS DOUBLE), 0) AS engagement_depth FROM {used})"
-    return {
+    twins = {
         "member_features": _ctes() + _memf(LATER),
         "transaction_features": _ctes() + _txnf(),
         "transaction_features_positive": _ctes() + _txnf(True),
@@ -536,7 +562,7 @@ def oracles() -> dict[str, str]:
                 ("activity_features", "actf"), ("feature_table", "mart"))),
         "model_checks": _no_failures(MODEL_CHECKS),
         "report_checks": _no_failures(REPORT_CHECKS),
-        "search_rungs": """SELECT * FROM (VALUES (0, 51, 30, 15, 150, 0), (1, 102, 15, 8, 75, 0), (2, 204, 8, 4, 40, 0))
+        "search_rungs": """SELECT * FROM (VALUES (0, 51, 30, 15, 150, 0), (1, 102, 15, 8, 75, 0), (2, 204, 8, 4, 40, 0), (3, 408, 4, 2, 20, 0))
           AS t(rung, length, n_open, n_kept, n_fits, wrongly_dropped)""",
         "experiment_artifacts": with_mart + f""", marked AS ({_marked('mart')}), held AS (SELECT count(*) AS n FROM marked WHERE is_test = 1)
           SELECT artifact, CASE WHEN fixed > 0 THEN fixed ELSE n END AS n, true AS intact FROM held, (VALUES
@@ -611,3 +637,5 @@ def oracles() -> dict[str, str]:
         "predictions_with_features": with_mart + """SELECT sc.msno, y_true, y_prob, txn_count, gender
           FROM sc JOIN mart ON sc.msno = mart.msno""",
     }
+    twins["profile_in_one_pass"] = _profile_parts(twins)
+    return twins

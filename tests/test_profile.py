@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from ebbtide.operators import association, audit, distributions, segments
 from ebbtide.plans import profile_report as pr
 from ebbtide.registry.spark_queries import _tables
+from ebbtide.sources import files
 from ebbtide.sources import shared_tables as st
+from ebbtide.sources.schemas import CATALOG
 
 
 def test_segment_rate_support_and_top(spark):
@@ -123,8 +125,80 @@ def test_checks_count_failures(spark):
     assert got == {"not_null": 1, "accepted_values": 1, "in_range": 1, "unique": 1, "relationship": 2}
 
 
-def test_report_has_all_parts(spark, sf_dir):
-    report = pr.profile_report(_tables(spark, sf_dir), st.LATER, ["txn_id"])
-    assert len(report) == 22
-    for name in ("label_balance", "rate_by_renewal", "engagement_medians", "correlations_with_label"):
-        assert report[name]().count() > 0
+def counted(spark, df):
+    """The same rows, and a number that grows with every row read from them."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    return df.mapInArrow(count, df.schema), seen
+
+
+def rounded(df):
+    out = [{k: round(v, 6) if isinstance(v, float) else v for k, v in r.asDict().items()} for r in df.collect()]
+    return sorted(out, key=lambda r: str(sorted(r.items(), key=str)))
+
+
+def test_report_reads_each_source_once_and_agrees_with_each_part_alone(spark, sf_dir, tmp_path):
+    tables = _tables(spark, sf_dir)
+    watched = {name: counted(spark, df) for name, df in tables.items()}
+    report = pr.profile_report({n: w[0] for n, w in watched.items()}, st.LATER, ["txn_id"], f"{tmp_path}/p",
+                               min_sizes={"city": 3, "channel": 10, "payment_method": 5, "cohort": 0}, cohorts_after=19900101)
+    got = {name: rounded(part()) for name, part in report.items()}
+    assert {n: w[1].value for n, w in watched.items()} == {n: df.count() for n, df in tables.items()}
+    assert len(got) == 34 and all(got.values())
+
+    labels, members, txns, logs = (tables[n] for n in ("labels", "members", "transactions", "user_logs"))
+    labelled, last = pr.label_members(labels, members), pr.label_last_transaction(labels, txns, ["txn_id"])
+    active, paid = labels.join(pr.user_activity(logs), "msno"), labels.join(pr.payment_history(txns), "msno")
+    mini = pr.mini_features(labels, members, txns, logs, st.LATER, ["txn_id"])
+    status = segments.segment_rate(last, ["is_auto_renew", "is_cancel"], "is_churn")
+    near = paid.where("days_until_expiry > -100 AND days_until_expiry < 400")
+    hist, med = distributions.histogram, distributions.group_median
+    alone = {
+        "inventory": files.inventory(tables),
+        "label_balance": segments.value_shares(labels, "is_churn"),
+        "members_quality": pr.members_quality(members),
+        "transactions_quality": pr.transactions_quality(txns),
+        "logs_quality": pr.logs_quality(logs),
+        "age_histogram": hist(pr.member_features(members, st.LATER), "age", 60),
+        "raw_age_histogram": hist(members, "bd", 100),
+        "rate_by_gender": pr.rate_by_gender(labelled),
+        "rate_by_city": segments.segment_rate(labelled, ["city"], "is_churn", 3, 15),
+        "rate_by_channel": segments.segment_rate(labelled, ["registered_via"], "is_churn", 10),
+        "cohorts": segments.cohort_rate(labelled, "registration_init_time", "is_churn", 19900101, 0),
+        "transaction_summary": pr.transaction_summary(txns),
+        "rate_by_status": status,
+        "rate_by_renewal": segments.rollup_rates(status, "is_auto_renew"),
+        "plan_lengths": segments.value_counts(txns, "payment_plan_days", 10),
+        "plan_shares": segments.value_shares(txns, "payment_plan_days"),
+        "rate_by_price_type": pr.rate_by_price_type(last),
+        "rate_by_payment_method": segments.segment_rate(last, ["payment_method_id"], "is_churn", 5, 12),
+        "payment_medians": med(paid, ["is_churn"], ["txn_count", "days_until_expiry"]),
+        "payment_histogram": hist(paid, "txn_count", 20, ["is_churn"], 20),
+        "expiry_histogram": hist(near, "days_until_expiry", 50, ["is_churn"]),
+        "log_range": pr.log_range(logs),
+        "activity_medians": med(active, ["is_churn"], ["active_days", "total_secs", "total_unique_songs"]),
+        "seconds_histogram": hist(active, "total_secs", 50, ["is_churn"], 500_000, True),
+        "engagement_medians": med(pr.engagement(active), ["is_churn"], ["engagement_depth"]),
+        "engagement_histogram": hist(pr.engagement(active), "engagement_depth", 50, ["is_churn"], 5, True),
+        "missingness_audit": audit.coverage_audit(labels, {n: tables[n] for n in ("members", "transactions", "user_logs")}, "msno", "is_churn"),
+        "null_counts": audit.null_counts(mini.select(*pr.MINI)),
+        "correlations": association.corr_matrix(mini, pr.MINI),
+        "correlations_with_label": association.corr_with(mini, "is_churn", pr.MINI),
+    }
+    for name, df in alone.items():
+        assert got[name] == rounded(df), name
+    nulls = {(r["table_name"], r["column_name"]): r["null_count"] for r in got["source_nulls"]}
+    assert nulls["members", "gender"] == members.where("gender IS NULL").count()
+
+
+def test_report_of_empty_sources(spark, tmp_path):
+    empty = {name: spark.createDataFrame([], schema) for name, schema in CATALOG.items()}
+    report = pr.profile_report(empty, st.LATER, [], f"{tmp_path}/p")
+    assert {r.row_count for r in report["inventory"]().collect()} == {0}
+    assert report["log_range"]().first().asDict() == {"min_date": None, "max_date": None, "total_rows": 0, "unique_users": 0}
+    assert all(part().count() >= 0 for part in report.values())
