@@ -88,9 +88,8 @@ def in_range(column: str, low, high) -> tuple[str, str, Column]:
 CHECK_COLUMNS = ["model", "column_name", "test", "failures"]
 
 
-def value_checks(model: str, df: DataFrame, checks: Sequence[tuple[str, str, Column]]) -> DataFrame:
-    """Evaluate all single-value checks of one table in one aggregation."""
-    counted = df.agg(*[agg.alias(f"c{i}") for i, (_, _, agg) in enumerate(checks)])
+def _check_rows(model: str, checks: Sequence[tuple[str, str]], counted: DataFrame) -> DataFrame:
+    """Counts c0, c1, … of one row as check rows."""
     rows = F.array(
         *[
             F.struct(
@@ -99,12 +98,29 @@ def value_checks(model: str, df: DataFrame, checks: Sequence[tuple[str, str, Col
                 F.lit(test).alias("test"),
                 F.col(f"c{i}").alias("failures"),
             )
-            for i, (column, test, _) in enumerate(checks)
+            for i, (column, test) in enumerate(checks)
         ]
     )
     return counted.select(F.inline(rows))
 
 
+def value_checks(model: str, df: DataFrame, checks: Sequence[tuple[str, str, Column]]) -> DataFrame:
+    """Evaluate all single-value checks of one table in one aggregation."""
+    counted = df.agg(*[agg.alias(f"c{i}") for i, (_, _, agg) in enumerate(checks)])
+    return _check_rows(model, [c[:2] for c in checks], counted)
+
+
+def keyed_checks(model: str, df: DataFrame, key: str, checks: Sequence[tuple[str, str, Column]]) -> DataFrame:
+    """Single-value checks and uniqueness of the key in one aggregation: rows are
+    counted for each key, then the counts are summed up."""
+    named = {f"c{i}": agg for i, (_, _, agg) in enumerate(checks)}
+    by_key = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"), *[agg.alias(c) for c, agg in named.items()])
+    repeated = F.count_if(F.col(key).isNotNull() & (F.col("_n") > 1)).alias(f"c{len(named)}")
+    none = F.lit(0).cast("long")
+    counted = by_key.agg(*[F.coalesce(F.sum(c), none).alias(c) for c in named], repeated)
+    return _check_rows(model, [*[c[:2] for c in checks], (key, "unique")], counted)
+
+
 def unique_check(model: str, df: DataFrame, column: str) -> DataFrame:
     """Number of values that occur more than once; NULL is not a value."""
     repeated = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -134,8 +150,13 @@ class ChecksFailed(RuntimeError):
     pass
 
 
+def refuse(checks: Sequence[tuple[str, str, str, int]]) -> None:
+    """Raise when any of the collected check rows has failures."""
+    failed = [c for c in checks if c[3] > 0]
+    if failed:
+        raise ChecksFailed("; ".join(f"{model}.{column} {test}: {n}" for model, column, test, n in failed))
+
+
 def gate(checks: DataFrame) -> None:
     """Raise when any check has failures; call it before the next stage is written."""
-    failed = checks.where("failures > 0").collect()  # one row per declared check
-    if failed:
-        raise ChecksFailed("; ".join(f"{r.model}.{r.column_name} {r.test}: {r.failures}" for r in failed))
+    refuse([tuple(r) for r in checks.select(*CHECK_COLUMNS).where("failures > 0").collect()])  # one row per declared check

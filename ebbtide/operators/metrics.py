@@ -77,7 +77,7 @@ def score_counts(pred: DataFrame, y: str = "y_true", p: str = "y_prob") -> DataF
 
 def ranked_counts(pred: DataFrame, y: str = "y_true", p: str = "y_prob") -> DataFrame:
     """Score counts with running counts from the highest score down."""
-    return running_sums(score_counts(pred, y, p), ["score"], ["pos", "neg"], descending=True)
+    return running_sums(score_counts(pred, y, p), "score", ["pos", "neg"], descending=True)
 
 
 def _auc_terms() -> tuple[Column, Column]:
@@ -189,15 +189,6 @@ def compare_runs(records: Sequence[DataFrame]) -> DataFrame:
     return functools.reduce(DataFrame.unionByName, records)
 
 
-def _drop_straight(ranked: DataFrame) -> DataFrame:
-    """Leave out scores whose successor adds the same counts; keep both ends."""
-    following = ranked.select(
-        (F.col("one_upto") - 1).alias("one_upto"), F.col("pos").alias("_pos"), F.col("neg").alias("_neg")
-    )
-    bends = F.col("_pos").isNull() | (F.col("_pos") != F.col("pos")) | (F.col("_neg") != F.col("neg"))
-    return ranked.join(following, "one_upto", "left").where((F.col("one_upto") == 1) | bends)
-
-
 def roc_curve(pred: DataFrame, y: str = "y_true", p: str = "y_prob", drop_collinear: bool = True) -> DataFrame:
     """(fpr, tpr, threshold) per distinct score plus the origin (threshold NULL).
 
@@ -205,10 +196,11 @@ def roc_curve(pred: DataFrame, y: str = "y_true", p: str = "y_prob", drop_collin
     those whose next step adds exactly as many positives and negatives as the
     step that led to them.
     """
-    counts = score_counts(pred, y, p).withColumn("one", F.lit(1))
-    ranked = running_sums(counts, ["score"], ["pos", "neg", "one"], descending=True)
+    ranked = running_sums(score_counts(pred, y, p), "score", ["pos", "neg"], descending=True, following=drop_collinear)
     if drop_collinear:
-        ranked = _drop_straight(ranked)
+        first = (F.col("pos_upto") == F.col("pos")) & (F.col("neg_upto") == F.col("neg"))
+        bends = F.col("pos_next").isNull() | (F.col("pos_next") != F.col("pos")) | (F.col("neg_next") != F.col("neg"))
+        ranked = ranked.where(first | bends)
     curve = ranked.select(
         safe_divide("neg_upto", "neg_total").alias("fpr"),
         safe_divide("pos_upto", "pos_total").alias("tpr"),

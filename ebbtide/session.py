@@ -51,3 +51,12 @@ def durable(df: DataFrame) -> DataFrame:
     read the same rows even when executors have gone."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def staged(df: DataFrame, label: str) -> DataFrame:
+    """The same rows from a new Parquet table in the shared folder: computed once,
+    read by columns, and there when executors have gone."""
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

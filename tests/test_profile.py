@@ -202,3 +202,63 @@ def test_report_of_empty_sources(spark, tmp_path):
     assert {r.row_count for r in report["inventory"]().collect()} == {0}
     assert report["log_range"]().first().asDict() == {"min_date": None, "max_date": None, "total_rows": 0, "unique_users": 0}
     assert all(part().count() >= 0 for part in report.values())
+
+
+@pytest.mark.parametrize("resolved", [0, 20, 1 << 16])
+def test_radix_quantiles_follow_numpy(spark, monkeypatch, resolved):
+    """Any signs, sizes and repeats; by passes of 16 bits and by value at once."""
+    monkeypatch.setattr(distributions, "RESOLVED", resolved)
+    rng = random.Random(resolved)
+    odd = [0.0, -0.0, 5e-324, -5e-324, 2.2e-308, 1.7e308, -1.7e308, 1.0, 1.0 + 2**-52, 0.1, 1e-9]
+    rows = [("a", rng.choice(odd)) for _ in range(60)] + [("b", rng.gauss(0, 1)) for _ in range(501)] + [(None, 7.0)] * 3
+    rows += [("c", 1.0 + i * 2**-52) for i in range(40)] + [("d", None)] + [("a", None)] * 5
+    df = spark.createDataFrame(rows, "k string, x double").withColumn("n", F.lit(3).cast("int"))
+    qs = (0.0, 0.1, 0.5, 0.99, 1.0)
+    got = {(r.k, r.metric, r.q): r.value for r in distributions.exact_quantiles(df, ["x", "n"], qs, ["k"]).collect()}
+    for k in ("a", "b", "c", None):
+        xs = sorted(x for g, x in rows if g == k and x is not None)
+        for q in qs:
+            at = q * (len(xs) - 1)
+            lo, hi = xs[int(np.floor(at))], xs[int(np.ceil(at))]
+            w = at - np.floor(at)
+            assert got[k, "x", q] == lo * (1 - w) + hi * w
+            assert got[k, "n", q] == pytest.approx(3.0)
+    assert ("d", "x", 0.5) not in got and got["d", "n", 0.5] == 3.0
+    monkeypatch.setattr(distributions, "FOLLOWED", 1)
+    again = {(r.k, r.metric, r.q): r.value for r in distributions.exact_quantiles(df, ["x", "n"], qs, ["k"]).collect()}
+    assert again == got
+    assert distributions.exact_quantiles(df.limit(0), ["x"], qs).count() == 0
+
+
+def test_order_key_sorts_as_the_numbers(spark):
+    from ebbtide.operators.prefix import with_order_key
+
+    rng = random.Random(1)
+    xs = [0.0, 5e-324, 1e-310, 2.2250738585072014e-308, 1.7976931348623157e308, float("inf"), float("nan"), 1.0, 2.0, 0.5, 3.0]
+    xs += [rng.uniform(-1, 1) * 2.0 ** rng.randint(-1070, 1020) for _ in range(3000)] + [float(2.0**i) for i in range(-1074, 1024, 7)]
+    xs += [-x for x in xs if x == x]
+    rows = with_order_key(spark.createDataFrame([(x,) for x in xs], "x double"), "x").collect()
+    rows.sort(key=lambda r: r["_key"])
+    inside = [r.x for r in rows if r.x == r.x]
+    assert inside == sorted(inside) and rows[-1].x != rows[-1].x
+    assert len({r["_key"] for r in rows}) == len({x for x in inside}) + 1
+
+
+def test_correlation_over_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(association, "ROWS", 7)
+    monkeypatch.setattr(association, "MERGED", 2)
+    rng = np.random.default_rng(3)
+    x = rng.normal(1e6, 1, (300, 4))
+    x[:, 1] += x[:, 0]
+    x[rng.random((300, 4)) < 0.2] = np.nan
+    rows = [(*[None if np.isnan(v) else float(v) for v in r], 5, None) for r in x]
+    df = spark.createDataFrame(rows, "a double, b double, c double, d double, e int, f double").repartition(9)
+    got = {(r.column_a, r.column_b): (r.n, r.r) for r in association.corr_matrix(df, list("abcdef")).collect()}
+    for i in range(4):
+        for j in range(i, 4):
+            both = ~np.isnan(x[:, i]) & ~np.isnan(x[:, j])
+            want = np.corrcoef(x[both, i], x[both, j])[0, 1]
+            n, r = got["abcd"[i], "abcd"[j]]
+            assert n == both.sum() and r == pytest.approx(want, abs=1e-9)
+    assert got["a", "e"][1] is None and ("a", "f") not in got and got["e", "e"] == (300, None)
+    assert association.corr_matrix(df.limit(0), ["a", "b"]).count() == 0
