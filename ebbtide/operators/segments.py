@@ -49,10 +49,10 @@ def rollup_rates(rates: DataFrame, key: str, rate: str = "churn_rate") -> DataFr
 
 
 def value_shares(df: DataFrame, column: str, k: int | None = None, digits: int = 2) -> DataFrame:
-    """Frequency and share in percent of every value; the total is one number,
-    counted by its own aggregate."""
+    """Frequency and share in percent of every value; the total is the sum of the
+    frequencies, from the same exchange."""
     counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    total = df.select(F.count(F.lit(1))).scalar()
+    total = counts.select(F.sum("n")).scalar()
     shares = counts.withColumn("pct", F.round(F.col("n") * F.lit(100.0) / total, digits))
     return shares if k is None else top_k(shares, "n", [column], k)
 

@@ -1,6 +1,7 @@
 """The feature table built stage by stage; each stage is checked before anything that depends on it is written.
 
-A stage is written once as Parquet. All its checks, uniqueness too, are one
+A stage is written once as Parquet, in buckets by user: neither its checks nor the
+joins of the feature table move its rows again. All its checks, uniqueness too, are one
 aggregation over what was written, one row per user: combined by user first, then
 summed. Of the two sources that are combined on the way (payments, activity) only
 the key column is read again for its own check. Stages that don't need each other
@@ -36,7 +37,7 @@ class Stages:
         self.checks += [tuple(r) for r in audit.value_checks(name, df, checks).select(*audit.CHECK_COLUMNS).collect()]
 
     def write(self, name: str, df: DataFrame, checks: Checks) -> None:
-        kept = self.frames[name] = files.stage(df, "table", f"{self.root}/{name}")
+        kept = self.frames[name] = files.stage(df, "bucketed", f"{self.root}/{name}", ft.ID)
         self.checks += [tuple(r) for r in audit.keyed_checks(name, kept, ft.ID, checks).select(*audit.CHECK_COLUMNS).collect()]
 
     def side_by_side(self, *jobs: Callable[[], None]) -> None:

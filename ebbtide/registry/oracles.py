@@ -11,6 +11,7 @@ from ebbtide.plans.features import ACTIVITY, COUNTS, LAST, MART, PLAYS
 from ebbtide.plans.profile_report import MINI
 from ebbtide.registry.spark_queries import IMPUTED, SEGMENT_COLUMNS
 from ebbtide.models.prepare import BEHAVIOUR, CATEGORICAL, SUBSCRIPTION
+from ebbtide.sources.schemas import CATALOG
 from ebbtide.sources.shared_tables import EARLIER, LATER, OUTCOME_DAYS, PLAY_EVENTS
 
 # Inputs as common table expressions -----------------------------------------
@@ -299,36 +300,44 @@ def _declared() -> str:
     return " UNION ALL ".join(parts)
 
 
-_COLUMNS = {
-    "customer": "c_custkey (bigint), c_name (string), c_nationkey (int), c_acctbal (double), c_mktsegment (string)",
-    "orders": "o_orderkey (bigint), o_custkey (bigint), o_orderstatus (string), o_totalprice (double), "
-    "o_orderdate (timestamp_ntz), o_orderpriority (string)",
-    "lineitem": "l_orderkey (bigint), l_partkey (bigint), l_suppkey (bigint), l_linenumber (int), "
-    "l_quantity (double), l_extendedprice (double), l_discount (double), l_tax (double), l_returnflag (string), "
-    "l_linestatus (string), l_shipdate (timestamp_ntz)",
-    "events": "event_id (bigint), ts (timestamp_ntz), user_id (bigint), event_type (string), value (double), "
-    "props (string)",
-}
+# Only the names of types differ between engines.
+_TYPE = """CASE column_type WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int' WHEN 'TIMESTAMP' THEN 'timestamp_ntz'
+      ELSE lower(column_type) END"""
+
+
+def _described(table: str) -> str:
+    """Position, name and type of the columns as the file has them."""
+    return f"""SELECT CAST(row_number() OVER () AS INTEGER) AS position, column_name, {_TYPE} AS column_type
+      FROM (DESCRIBE SELECT * FROM {table})"""
 
 
 def _inventory() -> str:
     return " UNION ALL ".join(
-        f"SELECT '{t}' AS table_name, count(*) AS row_count, {cols.count('(')} AS column_count, "
-        f"'{cols}' AS schema_text FROM {t}"
-        for t, cols in _COLUMNS.items()
+        f"""SELECT '{t}' AS table_name, (SELECT count(*) FROM {t}) AS row_count, count(*) AS column_count,
+          string_agg(column_name || ' (' || column_type || ')', ', ' ORDER BY position) AS schema_text FROM ({_described(t)})"""
+        for t in ("customer", "orders", "lineitem", "events")
     )
 
 
 def _describe() -> str:
-    """Names and types as the file has them; only the names of types differ between engines."""
+    columns = ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
     nulls = " UNION ALL ".join(
-        f"SELECT '{part.split(' (')[0]}' AS column_name, count(*) FILTER ({part.split(' (')[0]} IS NULL) AS null_count FROM orders"
-        for part in _COLUMNS["orders"].split(", ")
+        f"SELECT '{c}' AS column_name, count(*) FILTER ({c} IS NULL) AS null_count FROM orders" for c in columns
     )
-    return f"""SELECT CAST(position AS INTEGER) AS position, column_name, CASE column_type WHEN 'VARCHAR' THEN 'string'
-        WHEN 'INTEGER' THEN 'int' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE lower(column_type) END AS column_type, null_count
-      FROM (SELECT row_number() OVER () AS position, * FROM (DESCRIBE SELECT * FROM orders))
-      FULL JOIN ({nulls}) USING (column_name)"""
+    return f"SELECT position, column_name, column_type, null_count FROM ({_described('orders')}) FULL JOIN ({nulls}) USING (column_name)"
+
+
+def _catalog() -> str:
+    """Values in each declared column of the four inputs."""
+    rows = []
+    for table, source in (("labels", "lab"), ("members", "mem"), ("transactions", "txn"), ("user_logs", "log")):
+        for position, field in enumerate(CATALOG[table].fields, start=1):
+            comment = field.metadata["comment"]
+            rows.append(
+                f"SELECT '{table}' AS table_name, {position} AS position, '{field.name}' AS column_name, '{comment}' AS comment, "
+                f"(SELECT count({field.name}) FROM {source}) AS n_filled"
+            )
+    return _ctes() + " UNION ALL ".join(rows)
 
 
 def _coverage() -> str:
@@ -485,6 +494,7 @@ def oracles() -> dict[str, str]:
         "sql_over_file": _ctes() + "SELECT is_churn, count(*) AS n FROM lab GROUP BY is_churn",
         "parquet_round_trip": _ctes() + "SELECT * FROM txn",
         "table_inventory": _inventory(),
+        "source_catalog": _catalog(),
         "row_counts": "SELECT count(*) AS n FROM lineitem",
         "describe_table": _describe(),
         "row_preview": _ctes() + "SELECT * FROM lab ORDER BY msno LIMIT 5",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import uuid
 from collections.abc import Mapping
 
 from pyspark import StorageLevel
@@ -83,12 +84,14 @@ def preview(df: DataFrame, n: int = 5, order_by: tuple[str, ...] = ()) -> DataFr
     return (df.orderBy(*order_by) if order_by else df).limit(n)
 
 
-def stage(df: DataFrame, mode: str, target: str | None = None) -> DataFrame:
+def stage(df: DataFrame, mode: str, target: str | None = None, key: str | None = None) -> DataFrame:
     """Fix how an intermediate result is kept.
 
     ``view`` registers the lazy plan under the name ``target``; ``memory``
     persists it with spill to disk; ``table`` writes Parquet to ``target`` and
-    reads it back, which also survives lost executors.
+    reads it back, which also survives lost executors; ``bucketed`` also lays it
+    out by ``key``, in as many buckets as there are shuffle partitions, so that
+    later joins and aggregations by that key need no exchange.
     """
     if mode == "view":
         df.createOrReplaceTempView(target)
@@ -98,6 +101,13 @@ def stage(df: DataFrame, mode: str, target: str | None = None) -> DataFrame:
     if mode == "table":
         write_parquet(df, target)
         return df.sparkSession.read.parquet(target)
+    if mode == "bucketed":
+        spark = df.sparkSession
+        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        name = f"stage_{uuid.uuid4().hex}"
+        laid = df.repartition(buckets, key).write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key)
+        laid.option("path", target).saveAsTable(name)
+        return spark.table(name)
     raise ValueError(f"unknown staging mode {mode!r}")
 
 

@@ -5,7 +5,11 @@ Reading with a declared schema saves the pass that type inference costs.
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
@@ -87,3 +91,16 @@ def describe_catalog(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(
         rows, "table_name string, position int, column_name string, column_type string, comment string"
     )
+
+
+def catalog_against(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """The declared columns with the values that a set of tables holds in each;
+    NULL where a table has no such column. One scan of each table."""
+
+    def one(name: str, schema: T.StructType) -> DataFrame:
+        there = [f.name for f in schema if f.name in tables[name].columns]
+        counts = tables[name].agg(*[F.count(c).alias(c) for c in there]).unpivot([], there, "column_name", "n_filled")
+        declared = describe_catalog(tables[name].sparkSession).where(F.col("table_name") == name)
+        return declared.join(counts, "column_name", "left").select("table_name", "position", "column_name", "comment", "n_filled")
+
+    return functools.reduce(DataFrame.unionByName, (one(n, s) for n, s in CATALOG.items()))

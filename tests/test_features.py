@@ -8,6 +8,7 @@ from ebbtide.operators.distinct import sums_and_distinct
 from ebbtide.operators.latest import latest_and_totals, latest_rows
 from ebbtide.plans import features as ft
 from ebbtide.plans.build import gated_build
+from ebbtide.plans.features import assemble
 from ebbtide.registry.spark_queries import QUERIES, TIES, _tables
 from ebbtide.operators.audit import ChecksFailed, gate, not_null, value_checks
 from ebbtide.sources import shared_tables as st
@@ -156,6 +157,16 @@ def test_gate_stops_what_depends_on_a_failed_stage(spark, sf_dir, tmp_path):
     done = gated_build(t, st.LATER, f"{tmp_path}/fine", ties=TIES)
     assert list(done.frames)[-1] == "feature_table" and len(done.checks) == 16
     assert done.frames["feature_table"].count() == t["labels"].count()
+    stages = [done.frames[n] for n in ("staged_labels", "staged_members", "transaction_features", "activity_features")]
+    kept = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    try:
+        for k, v in zip(kept, ("-1", "false")):
+            spark.conf.set(k, v)
+        plan = assemble(*stages)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in kept.items():
+            spark.conf.set(k, v)
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
     twice = {**t, "members": t["members"].unionByName(t["members"].limit(1))}
     with pytest.raises(ChecksFailed, match="staged_members.msno unique: 1"):
         gated_build(twice, st.LATER, f"{tmp_path}/broken", ties=TIES)
