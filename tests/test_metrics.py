@@ -174,16 +174,21 @@ def test_confusion_reliability_share(spark):
     assert one(m.brier(pred))["brier"] == pytest.approx((0.01 + 0.01 + 0 + 0.9025) / 4)
 
 
-def test_running_sums_with_groups_and_nulls(spark):
-    rows = [(g, float(v), v % 3) for g in ("a", "b", None) for v in range(50)]
-    df = spark.createDataFrame(rows, "g string, v double, n int")
-    got = {(r.g, r.v): r.n_upto for r in running_sums(df, ["v"], ["n"], within=["g"]).collect()}
+@pytest.mark.parametrize("descending", [False, True])
+def test_running_sums_with_groups_and_nulls(spark, descending):
+    rows = [(g, float(v) / 7 - 3, v % 3, "kept") for g in ("a", "b", None) for v in range(50)]
+    df = spark.createDataFrame(rows, "g string, v double, n int, other string")
+    out = running_sums(df, "v", ["n"], within=["g"], descending=descending, following=True)
+    assert out.columns == ["g", "v", "n", "other", "n_upto", "n_total", "n_next"]
+    got = {(r.g, r.v): r for r in out.collect()}
     assert len(got) == 150
     for g in ("a", "b", None):
         total = 0
-        for v in range(50):
-            total += v % 3
-            assert got[(g, float(v))] == total
+        mine = sorted(((v, n) for k, v, n, _ in rows if k == g), reverse=descending)
+        for i, (v, n) in enumerate(mine):
+            total += n
+            r = got[g, v]
+            assert (r.n_upto, r.n_total, r.n_next) == (total, sum(x for _, x in mine), mine[i + 1][1] if i < 49 else None)
 
 
 def test_skewed_scores_stay_exact(spark):
