@@ -32,6 +32,13 @@ def _give_back() -> None:
         pa.set_memory_pool(pa.system_memory_pool())
 
 
+def trim() -> None:
+    """Return what the allocator holds free; for the end of a task's work, since its
+    worker lives on beside those of later stages."""
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 _give_back()
 _shipped: set[str] = set()
 

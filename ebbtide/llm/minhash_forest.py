@@ -98,6 +98,7 @@ def _profiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ],
             ["doc_id", "k1", "k2", "n_shingles", "minima"],
         )
+    common.trim()
 
 
 def _orders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -411,6 +412,7 @@ def _shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 [pa.array(x) for x in (s[a : a + 50_000].view(np.int64), doc[i], text[i], comp[i], size[i].astype(np.int64))],
                 ["shingle", "doc_id", "tie", "comp", "n"],
             )
+    common.trim()
 
 
 def _prefix_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

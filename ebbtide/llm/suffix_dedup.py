@@ -453,6 +453,7 @@ def removed_spans(docs: DataFrame, parts: int | None = None) -> DataFrame:
             if run.size >= RUN_BYTES:
                 yield from run.flush()
         yield from run.flush()
+        common.trim()
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, blocks = None, []
@@ -481,6 +482,8 @@ def removed_spans(docs: DataFrame, parts: int | None = None) -> DataFrame:
                     now, blocks = part, []
                 blocks.append(_Block(block))
         yield from close()
+        blocks = []
+        common.trim()
 
     runs = docs.select("doc_id", "text_key", "text").mapInArrow(sort, RUNS)
     # Spans found inside a run pass through the same exchange, spread by document.

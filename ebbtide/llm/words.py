@@ -22,35 +22,66 @@ NOT_LETTERS[128:] = NOT_LETTERS[48:58] = NOT_LETTERS[65:91] = NOT_LETTERS[97:123
 #: A random value for each byte, the same everywhere.
 _VALUE = mix(np.arange(1, 257, dtype=np.uint64) * _WIDE)
 _BASE, _INVERSE = 0xD6E8FEB86659FD93, pow(0xD6E8FEB86659FD93, -1, 1 << 64)
-_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+#: Bytes that one pass works on.
+CHUNK = 1 << 20
+_powers: list[np.ndarray] = []
 
 
 def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The powers of the base and of its inverse, n of each."""
-    room = 1 << max(16, (n - 1).bit_length())
-    if room not in _powers:
-        _powers.clear()
+    """The powers of the base and of its inverse, n of each at least; those of a
+    chunk are kept."""
+    if not _powers or n > len(_powers[0]):
+        room = max(n, CHUNK + 1)
         ups = []
         for b in (_BASE, _INVERSE):
             p = np.full(room, b, np.uint64)
             p[0] = 1
             ups.append(np.multiply.accumulate(p))
-        _powers[room] = (ups[0], ups[1])
-    return _powers[room]
+        if room > CHUNK + 1:
+            return ups[0], ups[1]
+        _powers[:] = ups
+    return _powers[0], _powers[1]
+
+
+def _cut(data: np.ndarray, at: np.ndarray, space: np.ndarray, end: int) -> int:
+    """The first place from ``end`` on where no word is cut: a space, or where a text begins."""
+    border = int(at[np.searchsorted(at, end)])
+    while end < border:
+        ahead = space[data[end : min(border, end + CHUNK)]]
+        if ahead.any():
+            return end + int(ahead.argmax())
+        end += len(ahead)
+    return end
 
 
 def words(data: np.ndarray, at: np.ndarray, space: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Hash, start and end byte of every word, and for each text where its words begin (n + 1)."""
-    n = len(at) - 1
-    if not len(data):
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(n + 1, np.int64)
+    """Hash, start and end byte of every word, and for each text where its words begin (n + 1).
+
+    Works on ``CHUNK`` bytes at a time (or one word, if that is longer), so that its
+    memory is that of the words found, however long the texts are.
+    """
+    parts = []
+    begin = 0
+    while begin < len(data):
+        end = begin + CHUNK
+        end = len(data) if end >= len(data) else _cut(data, at, space, end)
+        inner = at[np.searchsorted(at, begin, "right") : np.searchsorted(at, end)] - begin
+        h, start, stop = _words(data[begin:end], inner, space)
+        parts.append((h, start + begin, stop + begin))
+        begin = end
+    if not parts:
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(at), np.int64)
+    h, start, stop = parts[0] if len(parts) == 1 else (np.concatenate(x) for x in zip(*parts, strict=True))
+    return h, start, stop, np.searchsorted(start, at)
+
+
+def _words(data: np.ndarray, inner: np.ndarray, space: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash, start and end of every word; texts begin at 0 and at ``inner``."""
     solid = ~space[data]
     begins = solid.copy()
     begins[1:] &= ~solid[:-1]
     ends = solid.copy()
     ends[:-1] &= ~solid[1:]
-    inner = at[1:-1]
-    inner = inner[(inner > 0) & (inner < len(data))]
     begins[inner] = solid[inner]
     ends[inner - 1] = solid[inner - 1]
     start, end = np.flatnonzero(begins), np.flatnonzero(ends) + 1
@@ -58,7 +89,7 @@ def words(data: np.ndarray, at: np.ndarray, space: np.ndarray = _SPACE) -> tuple
     total = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(_VALUE[_LOWER[data]] * up[: len(data)], out=total[1:])
     h = mix((total[end] - total[start]) * down[start] + (end - start).astype(np.uint64) * _WIDE)
-    return h, start, end, np.searchsorted(start, at)
+    return h, start, end
 
 
 def sequence_keys(h: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

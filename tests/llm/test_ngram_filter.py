@@ -110,3 +110,25 @@ def test_pairs_seen_once_count(spark):
             want += math.log10((min(about(two[a, b]), about(one[a])) + nf.MU * p) / (about(one[a]) + nf.MU))
         # A probe in thirty hits where it should miss.
         assert r["score"] == pytest.approx(want, rel=0.06)
+
+
+def test_words_in_pieces_are_the_words_of_the_whole(monkeypatch):
+    """Cut at spaces and where texts begin; a word longer than a piece stays whole."""
+    import numpy as np
+
+    from ebbtide.llm import words
+
+    draw = np.random.default_rng(2)
+    texts = ["", "One two", "x" * 90, " a  b\n", "ünï cödé", ""] + ["".join(draw.choice(list("ab \n"), 40)) for _ in range(30)]
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    at = np.cumsum([0, *[len(t.encode()) for t in texts]])
+    whole = words.words(data, at)
+    assert len(whole[0]) == sum(len(t.encode().split()) for t in texts)
+    for chunk in (1, 3, 16, 64):
+        monkeypatch.setattr(words, "CHUNK", chunk)
+        words._powers.clear()
+        for got, want in zip(words.words(data, at), whole, strict=True):
+            assert (got == want).all()
+    words._powers.clear()
+    none = words.words(data[:0], at[:1])
+    assert [len(x) for x in none] == [0, 0, 0, 1]
