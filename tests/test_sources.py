@@ -1,5 +1,7 @@
 """Files, schemas, staging and the JSON form of a search."""
 
+import os
+
 import pytest
 
 from ebbtide.session import durable, scratch_path, shared_dir
@@ -77,3 +79,39 @@ def test_durable_rows_come_from_the_shared_folder(spark):
     kept = durable(spark.range(5))
     assert kept.count() == 5 and shared_dir(spark) == spark.sparkContext.getCheckpointDir()
     assert scratch_path(spark, "x").startswith(shared_dir(spark))
+
+
+def test_scratch_tables_are_removed_by_their_owner(spark):
+    from ebbtide.session import clear_scratch, scratch_path, staged
+
+    clear_scratch(spark)
+    kept = staged(spark.range(5), "numbers")
+    assert kept.count() == 5
+    folder = os.path.dirname(kept.inputFiles()[0].removeprefix("file://").removeprefix("file:"))
+    assert os.path.isdir(folder)
+    scratch_path(spark, "never-written")
+    assert clear_scratch(spark) == 1 and not os.path.exists(folder)
+    assert clear_scratch(spark) == 0
+
+
+def test_bucketed_stage_needs_no_exchange(spark, tmp_path):
+    df = spark.range(50).selectExpr("id % 7 AS k", "id")
+    kept = files.stage(df, "bucketed", f"{tmp_path}/s", "k")
+    assert sorted(map(tuple, kept.collect())) == sorted(map(tuple, df.collect()))
+    was = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = kept.groupBy("k").count()._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", was)
+    assert "Exchange" not in plan
+
+
+def test_catalog_against_tables(spark, sf_dir):
+    from ebbtide.registry.spark_queries import _tables
+
+    tables = _tables(spark, sf_dir)
+    tables["members"] = tables["members"].drop("bd")
+    got = {(r.table_name, r.column_name): r.n_filled for r in schemas.catalog_against(tables).collect()}
+    assert len(got) == 26 and got["members", "bd"] is None
+    assert got["labels", "msno"] == tables["labels"].count()
