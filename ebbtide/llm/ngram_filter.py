@@ -43,7 +43,7 @@ from ebbtide.llm import common, words
 BASE, BITS_PER_KEY = 1.5, 10
 MU, ADD = 2.0, 0.1
 COMMON = 1 << 17
-GROUP_BYTES = 8 << 20
+GROUP_BYTES, PART_GROUPS = 8 << 20, 2
 WORD, PAIR, DOCS = 0, 1, 2
 END = common.mix(np.array([0xE0D], np.uint64))[0]
 
@@ -156,6 +156,7 @@ def asked(groups: DataFrame, parts: int) -> DataFrame:
                         ],
                         ["kind", "part", "grp", "block"],
                     )
+        common.trim()
 
     return groups.mapInArrow(run, BLOCK)
 
@@ -314,10 +315,11 @@ def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: s
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every document."""
     spark = docs.sparkSession
     common.ship(spark)
-    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     key = F.xxhash64("doc_id", "text")
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"), held_out.alias("held_out"))
     groups = common.stage(packed(rows.select(key.alias("key"), "doc_id", "text", "held_out")), "groups")
+    # A part holds the n-grams of PART_GROUPS groups, however many groups there are.
+    parts = parts or max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-groups.count() // PART_GROUPS))
     answers = common.stage(answered(asked(groups, parts), parts), "ngrams")
     sums = answers.where(F.col("grp").isNull())
     total = sums.where(F.col("kind") == WORD).agg(F.sum("n"), F.sum("distinct")).first()
