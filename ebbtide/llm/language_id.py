@@ -3,11 +3,13 @@
 Texts become hashed counts of one to three bytes over their letters. A linear
 one-versus-rest SVM picks the language family; inside the family one linear SVM
 for each pair of languages votes. The models are fitted on the driver from a
-bounded sample (``PER_LANGUAGE`` documents of each language, ``SAMPLE`` in all);
-every document is then scored by its task.
+bounded sample (``PER_LANGUAGE`` documents of each language, ``SAMPLE`` in all, of
+each one stretch of 4,000 characters; beyond SAMPLE languages the most frequent);
+every document is then scored by its task, as a whole.
 
 Nulls, edges: a null text, or one without any letter, is ``und`` with score 0.
-Rows without ``lang`` never teach. With one learned language every text with a
+Rows without ``lang`` never teach. Equal margins and equal votes go to the name
+that comes first. With one learned language every text with a
 letter gets it; with none, everything is ``und``. Repeated rows give repeated
 results, very long texts are read whole in pieces of the batch, an empty table
 gives no rows. Only the columns named by the arguments are read, so further

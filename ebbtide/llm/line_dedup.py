@@ -5,8 +5,8 @@ line of more than ``long_words`` words further at its sentence ends, so that a
 passage pasted into a long line is a unit of its own. Every unit is normalised
 (A-Z lower-cased, ASCII white space folded and trimmed) and digested. All places
 of a digest are ranked by (document id, offset); the first stays, the others are
-removed. Units of fewer than ``min_words`` words stay: one-word lines repeat
-without being copies. Only digests and places are exchanged. The first place of
+removed. Units of fewer than ``min_words`` words stay, by default only those
+without any word. Only digests and places are exchanged. The first place of
 a digest is found with a combine before the shuffle, so a line that a third of
 all documents hold is one row of each task; the join back to the places is a
 plain equi-join that adaptive execution splits where a digest is hot.
@@ -34,7 +34,7 @@ from ebbtide.llm import common
 # What ends a unit.
 BREAKS = {"line": re.compile(r"\n"), "paragraph": re.compile(r"\n[ \t\r]*\n\s*")}
 SENTENCE_END = re.compile(r"(?<=[.!?]) ")
-MIN_WORDS, LONG_WORDS = 8, 50
+MIN_WORDS, LONG_WORDS = 1, 50
 
 PLACE = "doc_id long, text_key long, start int, end int, after int, digest binary"
 
@@ -155,7 +155,7 @@ WITH lines AS (
     lead(ln) OVER (PARTITION BY doc_id ORDER BY ln, un) AS next_ln
   FROM units
 ), ranked AS (
-  SELECT *, len(string_split(body, ' ')) >= 8
+  SELECT *, body <> ''
     AND row_number() OVER (PARTITION BY body ORDER BY doc_id, start) > 1 AS gone
   FROM placed
 ), whole AS (

@@ -9,7 +9,7 @@ A = "one two three four five six seven eight nine"
 B = "alpha beta gamma delta epsilon zeta eta theta."
 
 
-def brute(rows, min_words=8, long_words=50):
+def brute(rows, min_words=1, long_words=50):
     seen, out = set(), {}
     for i, text in sorted(rows, key=lambda r: r[0]):
         if text is None:
@@ -48,6 +48,16 @@ def test_against_one_earlier_document(spark, text):
     assert as_dict(ld.dedup(df)) == brute(rows)
 
 
+def test_short_units_go_unless_asked_to_stay(spark):
+    """A repeated line of one word is a repeated line; white space alone is none."""
+    rows = [(1, f"Menu\n\n{A}\n  \nEnd."), (2, f"menu\n\n{B}\n  \nEND.\nend."), (3, f"x\nMenu {A}\nmenu")]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = as_dict(ld.dedup(df))
+    assert got == brute(rows)
+    assert got[2] == (f"\n{B}\n  \n", [(0, 4), (len(B) + 10, len(B) + 14), (len(B) + 15, len(B) + 19)])
+    assert as_dict(ld.dedup(df, min_words=8)) == brute(rows, 8)
+
+
 def test_paragraphs_nulls_repeats_and_no_rows(spark):
     rows = [(2, f"{A}\n{A}\n \n{B}"), (1, B), (None, f"{A}\n{A}"), (3, None)]
     got = as_dict(ld.dedup(spark.createDataFrame(rows, SCHEMA), unit="paragraph"))
