@@ -10,7 +10,7 @@ from pyspark.ml.classification import GBTClassifier, LogisticRegression, Logisti
 from pyspark.ml.feature import StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ebbtide.models import prepare as prep
@@ -51,6 +51,15 @@ class Fitted:
         return self.model.transform(df).select(*keep, vector_to_array("probability")[1].alias(name))
 
 
+def _without_summary(model: PipelineModel) -> PipelineModel:
+    """The model without the record of its training. That record holds the session,
+    which a task cannot take along once the session has observed a query."""
+    for stage in model.stages:
+        if isinstance(stage, LogisticRegressionModel) and stage.hasSummary:
+            stage._java_obj.setSummary(SparkSession.active()._jvm.scala.Option.empty())
+    return model
+
+
 def fit_baseline(train: DataFrame, features: Sequence[str], label: str = TARGET) -> Fitted:
     """L2 logistic regression with balanced class weights.
 
@@ -64,7 +73,7 @@ def fit_baseline(train: DataFrame, features: Sequence[str], label: str = TARGET)
         featuresCol="features", labelCol=label, weightCol="weight", maxIter=1000,
         regParam=1.0 / max(balance.n_pos + balance.n_neg, 1), elasticNetParam=0.0, standardization=False,
     )
-    return Fitted(Pipeline(stages=[*prep.linear_stages(train, numeric, categorical), learner]).fit(weighted))
+    return Fitted(_without_summary(Pipeline(stages=[*prep.linear_stages(train, numeric, categorical), learner]).fit(weighted)))
 
 
 DEFAULT_TREES = {
@@ -168,4 +177,4 @@ def recalibrate(pred: DataFrame, method: str, y: str = "y_true", p: str = "y_pro
         curve = IsotonicRegression(featuresCol="_x", labelCol=y, weightCol="_n", predictionCol="_calibrated")
     else:
         raise ValueError(f"unknown recalibration {method!r}")
-    return Recalibrated(Pipeline(stages=[vector, curve]).fit(rows), method)
+    return Recalibrated(_without_summary(Pipeline(stages=[vector, curve]).fit(rows)), method)

@@ -231,6 +231,18 @@ def test_missing_numbers_go_to_the_side_that_parts_the_label(spark):
     assert prepare.missing_sides(empty, ["low"]) == {"low": prepare.BELOW}
 
 
+def test_models_score_in_a_session_that_has_observed(spark, rows):
+    from pyspark.sql import Observation
+
+    seen = Observation("rows")
+    rows.observe(seen, F.count(F.lit(1)).alias("n")).write.format("noop").mode("overwrite").save()
+    assert seen.get == {"n": 600}
+    model = learners.fit_baseline(rows, FEATURES)
+    scored = model.score(rows, ["msno", F.col("is_churn").alias("y_true")])
+    assert learners.recalibrate(scored, "platt").apply(scored).count() == 600
+    assert scored.repartition(3).agg(F.max("y_prob")).first()[0] <= 1.0
+
+
 def test_recalibration_leaves_missing_scores_missing(spark, rows, trees):
     scored = trees.score(rows, ["msno", F.col("is_churn").alias("y_true")])
     gappy = scored.withColumn("y_prob", F.when(F.col("msno") == 3, None).when(F.col("msno") == 4, float("nan")).otherwise(F.col("y_prob")))
