@@ -271,3 +271,43 @@ def test_experiments_run_end_to_end(spark, sf_dir):
     )
     assert report["confusion"].count() == 4 and report["global_attribution"].count() == 20
     assert report["positive"].columns == ["msno", "line", "feature", "phi", "value"]
+
+
+def _counted(spark, n):
+    """Rows of a table that says how many of its rows were made, repeats included."""
+    made = spark.sparkContext.accumulator(0)
+
+    def row(i):
+        made.add(1)
+        return i, int(i % 3 == 0), float(i % 7)
+
+    return spark.createDataFrame(spark.sparkContext.parallelize(range(n), 2).map(row), "msno long, is_churn int, x double"), made
+
+
+def test_a_table_is_made_once_for_its_split(spark):
+    mart, made = _counted(spark, 60)
+    train, test = experiments.split_mart(mart)
+    assert (train.count(), test.count(), made.value) == (48, 12, 60)
+
+
+def test_an_experiment_and_an_ablation_take_a_split_as_it_is(spark):
+    mart, made = _counted(spark, 60)
+    split = experiments.split_mart(mart)
+    candidates = [{"maxDepth": 1, "minInstancesPerNode": 1}]
+    outcome = experiments.random_split_experiment(mart, k=2, rounds=1, patience=1, candidates=candidates, split=split)
+    assert outcome["test"].count() == 12
+    mart = mart.select("*", *[F.col("x").alias(c) for c in ("age", "last_cancel")])
+    split = tuple(part.select("*", *[F.col("x").alias(c) for c in ("age", "last_cancel")]) for part in split)
+    assert experiments.ablation(mart, candidates[0], 1, split=split).count() == 3
+    assert made.value == 60
+
+
+def test_the_workbench_hands_its_split_to_the_experiment(spark, monkeypatch):
+    from ebbtide.registry.workbench import Workbench
+
+    mart, made = _counted(spark, 60)
+    bench, given = Workbench(mart), {}
+    bench.study = {}
+    monkeypatch.setattr(experiments, "random_split_experiment", lambda mart, **kw: given.update(kw))
+    monkeypatch.setattr(experiments, "save_experiment", lambda outcome, path: None)
+    assert bench.folder and given["split"] is bench.split and made.value == 60
