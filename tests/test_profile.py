@@ -262,3 +262,12 @@ def test_correlation_over_many_tasks(spark, monkeypatch):
             assert n == both.sum() and r == pytest.approx(want, abs=1e-9)
     assert got["a", "e"][1] is None and ("a", "f") not in got and got["e", "e"] == (300, None)
     assert association.corr_matrix(df.limit(0), ["a", "b"]).count() == 0
+
+
+def test_order_keys_are_worked_out_once(spark, monkeypatch):
+    """The passes of the radix selection read keys that were stored with the values."""
+    kept, staged = [], distributions.staged
+    monkeypatch.setattr(distributions, "staged", lambda df, label: kept.append(df.columns) or staged(df, label))
+    df = spark.createDataFrame([(float(v),) for v in (3, -1, 2, 8)], "x double")
+    assert [r.value for r in distributions.exact_quantiles(df, ["x"], (0.5,)).collect()] == [2.5]
+    assert [columns.count("_key") for columns in kept] == [1]
