@@ -1,8 +1,9 @@
 """Token ids of all documents in compressed binary files, in ascending order of document id.
 
 Ids come from the installed tokenizer library; a document ends with id 0. A text
-is cut at single spaces (which always begin a token), and what stands between is
-encoded once and kept by each worker, as is what the library makes of a word;
+is cut at single spaces (which always begin a token), and of a batch of texts each
+different piece between them is encoded once and kept by each worker, as is what
+the library makes of a word;
 where white space stands beside a space, or the text holds the string of an added
 token, the library encodes the whole text.
 
@@ -51,12 +52,14 @@ from ebbtide.session import scratch_path
 TOKENIZER = os.environ.get("EBBTIDE_TOKENIZER", "/opt/tokenizers/byte_bpe_50k.json")
 END_ID = 0
 BLOCK, SEGMENT = 2048, 4_000_000
-KEPT = 400_000
+#: Chunks and words that a worker keeps, some 40 and 200 bytes each; texts that are encoded at once.
+KEPT, KEPT_WORDS, AT_ONCE = 2_000_000, 200_000, 8 << 20
 MAGIC = b"EBTK0001"
 NO_ID = -(1 << 63)
 
 # How the tokenizer parts a text before its merges, and its names of bytes.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+MARKS = ",.;:!?"
 PLAIN_BYTES = [*range(33, 127), *range(161, 173), *range(174, 256)]
 
 
@@ -72,23 +75,31 @@ class Encoder:
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         other = [b for b in range(256) if b not in PLAIN_BYTES]
         self.names = {b: b for b in PLAIN_BYTES} | {b: 256 + k for k, b in enumerate(other)}
+        self.space = chr(self.names[32])
+        self.two_bytes = [i.to_bytes(2, "little") for i in range(1 << 16)]
         self.parts = regex.compile(PATTERN).findall
-        self.after_space: dict[str, bytes | bool] = {}
+        self._forget()
         self.words: dict[str, bytes] = {}
+        self.marks = {x: self._made(x) for x in MARKS}
+
+    def _made(self, part: str) -> bytes:
+        """What the library makes of one word."""
+        plain = part.isascii() and part.isprintable()
+        named = part.replace(" ", self.space) if plain else part.encode().decode("latin-1").translate(self.names)
+        return b"".join([self.two_bytes[t.id] for t in self.model.tokenize(named)])
 
     def _ids(self, part: str) -> bytes:
         got = self.words.get(part)
         if got is None:
-            if len(self.words) > KEPT:
+            if len(self.words) > KEPT_WORDS:
                 self.words.clear()
-            tokens = self.model.tokenize(part.encode().decode("latin-1").translate(self.names))
-            got = self.words[part] = np.array([t.id for t in tokens], "<u2").tobytes()
+            got = self.words[part] = self._made(part)
         return got
 
     def _chunk(self, chunk: str, lead: str) -> bytes | bool:
         """Ids of what stands between two spaces, False if white space makes it depend on more."""
         if chunk.isalpha():
-            return self._ids(lead + chunk)
+            return self._made(lead + chunk)
         if not chunk or chunk[0].isspace():
             return False
         return b"".join(map(self._ids, self.parts(lead + chunk)))
@@ -96,25 +107,86 @@ class Encoder:
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u2").tobytes()
 
+    def _forget(self) -> None:
+        """Known chunks, the ids of each after a space, end to end, and if the chunk is clear by itself."""
+        self.known = pa.array([], pa.large_string())
+        self.ids = np.zeros(0, "<u2")
+        self.size = np.zeros(0, np.int32)
+        self.clear = np.zeros(0, bool)
+
+    def _numbers(self, chunks: pa.Array) -> np.ndarray:
+        """Number of each chunk among the known ones; new ones are encoded and known from now on."""
+        coded = chunks.dictionary_encode()
+        each = coded.dictionary
+        n = len(each)
+        # A mark after a word is a token of its own, so what is known of the word serves.
+        stems = pa.compute.utf8_rtrim(each, characters=MARKS)
+        if len(self.known) > KEPT:
+            self._forget()
+        found = pa.compute.index_in(pa.concat_arrays([each, stems]), value_set=self.known).fill_null(-1).to_numpy().copy()
+        new = np.flatnonzero(found[:n] < 0)
+        if len(new):
+            texts = each.take(pa.array(new)).to_numpy(zero_copy_only=False).tolist()
+            to = np.cumsum(self.size, dtype=np.int64)
+            raw = self.ids.tobytes()
+            made: list[bytes | bool] = []
+            for x, k in zip(texts, found[n + new].tolist(), strict=True):
+                if x[-1:] in self.marks and x[:-1].isalpha():
+                    word = raw[2 * int(to[k] - self.size[k]) : 2 * int(to[k])] if k >= 0 else self._ids(" " + x[:-1])
+                    made.append(word + self.marks[x[-1]])
+                else:
+                    made.append(self._chunk(x, " "))
+            found[new] = len(self.known) + np.arange(len(new))
+            self.clear = np.concatenate((self.clear, np.array([m is not False for m in made], bool)))
+            self.size = np.concatenate((self.size, np.array([len(m or b"") // 2 for m in made], np.int32)))
+            self.ids = np.concatenate((self.ids, np.frombuffer(b"".join(m or b"" for m in made), "<u2")))
+            self.known = pa.concat_arrays([self.known, each.take(pa.array(new))])
+        return found[:n][np.asarray(coded.indices)]
+
+    def encode_all(self, texts: pa.Array, end: bytes = b"") -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts (a null is empty) one after the other, 16 bits each, and the number of each text's.
+
+        Ids are gathered by chunk number, so a chunk is encoded once. ``end`` follows every text.
+        """
+        texts = pa.compute.fill_null(texts.cast(pa.large_string()), "")
+        n = len(texts)
+        if not n:
+            return np.zeros(0, "<u2"), np.zeros(0, np.int64)
+        parted = pa.compute.split_pattern(texts, " ")
+        first = np.asarray(parted.offsets).astype(np.int64)
+        chunks = parted.flatten()
+        first -= first[0]
+        heads = first[:-1]
+        number = self._numbers(chunks)
+        alone = np.zeros(n, bool)
+        for x in self.added:
+            alone |= pa.compute.match_substring(texts, x).to_numpy(zero_copy_only=False)
+        unclear = ~self.clear[number]
+        unclear[heads] = False
+        alone |= np.add.reduceat(unclear, heads, dtype=np.int64) > 0
+        # Beside the known chunks: nothing, the end, and the first chunk of each text, which for
+        # a text that the library encodes as a whole is all of it.
+        own = []
+        for i, head in enumerate(chunks.take(pa.array(heads)).to_pylist()):
+            got = False if alone[i] else self._chunk(head, "") if head else b""
+            if got is False:
+                alone[i], got = True, self._whole(texts[i].as_py())
+            own.append(got)
+        none = len(self.size)
+        number[np.repeat(alone, np.diff(first))] = none
+        number[heads] = none + 2 + np.arange(n)
+        number = np.insert(number, first[1:], none + 1)
+        ids = np.concatenate((self.ids, np.frombuffer(end + b"".join(own), "<u2")))
+        size = np.concatenate((self.size, np.array([0, len(end) // 2, *(len(x) // 2 for x in own)], np.int32)))
+        each = size[number].astype(np.int64)
+        shift = (np.cumsum(size, dtype=np.int64) - size)[number] - (np.cumsum(each) - each)
+        at = np.repeat(shift, each)
+        at += np.arange(len(at))
+        return ids[at], np.add.reduceat(each, heads + np.arange(n))
+
     def encode(self, text: str) -> bytes:
         """Ids of a text, 16 bits each."""
-        if not text:
-            return b""
-        if any(x in text for x in self.added):
-            return self._whole(text)
-        head, *rest = text.split(" ")
-        kept = self.after_space
-        out = list(map(kept.get, rest))
-        if None in out:
-            if len(kept) > KEPT:
-                kept.clear()
-            for i, got in enumerate(out):
-                if got is None:
-                    out[i] = kept[rest[i]] = self._chunk(rest[i], " ")
-        first = self._chunk(head, "") if head else b""
-        if first is False or False in out:
-            return self._whole(text)
-        return first + b"".join(out)
+        return self.encode_all(pa.array([text], pa.string()))[0].tobytes()
 
 
 _encoders: dict[str, Encoder] = {}
@@ -136,72 +208,121 @@ _H2, _H1 = 2048, 1024
 
 
 class _Model:
-    """Adaptive state of each block (lane), and the interval of the next id."""
+    """Adaptive state of each block (lane), and what it says of the next id.
 
-    def __init__(self, lanes: int, share: np.ndarray, below: np.ndarray):
-        self.share, self.below = share, below
-        self.two = np.zeros(lanes * _H2, np.int32)
-        self.one = np.zeros(lanes * _H1, np.int32)
+    Both orders are the two rows of one array. A context's entry is its guess and
+    twice the count of hits (``id << 4 | 2 * count``); flags are 0 or 1 in 32 bits,
+    so that a step is plain arithmetic on all lanes.
+    """
+
+    def __init__(self, lanes: int):
+        self.entries = np.zeros(lanes * (_H2 + _H1), np.int32)
         lane = np.arange(lanes, dtype=np.int64)
-        self.at2, self.at1, self.at16, self.at8 = lane * _H2, lane * _H1, lane * 16, lane * 8
-        self.by_two = np.full(lanes * 16, _ONE // 8, np.int32)
-        self.by_one = np.full(lanes * 16, _ONE // 8, np.int32)
+        self.entry_at = np.stack((lane * _H2, lanes * _H2 + lane * _H1))
+        self.mask = np.array([[_H2 - 1], [_H1 - 1]])
+        self.share_at = np.stack((lane * 16, (lanes + lane) * 16))
+        self.second_at = lane * 8
+        self.by_order = np.full(2 * lanes * 16, _ONE // 8, np.int32)
         self.second = np.full(lanes * 8, _ONE // 8, np.int32)
         self.weight = np.full(lanes, 32, np.int32)
         self.p1 = np.zeros(lanes, np.int64)
-        self.p2 = np.zeros(lanes, np.int64)
+        self.hashed = np.zeros((2, lanes), np.int64)
+        self.flags = np.zeros((2, lanes), np.int32)
 
     def ahead(self) -> None:
-        """Guesses of both orders and the size of their intervals (of 2**30)."""
-        self.i2 = self.at2 + ((self.p2 * 40503 + self.p1 * 30011) >> 5 & _H2 - 1)
-        self.i1 = self.at1 + ((self.p1 * 40503) >> 5 & _H1 - 1)
-        two, one = self.two[self.i2], self.one[self.i1]
-        self.g2, self.g1 = two >> 3, one >> 3
-        self.c2, self.c1 = two & 7, one & 7
-        self.same = self.g1 == self.g2
-        agree = self.same.astype(np.int32)
-        self.j2 = self.at16 + (self.c2 << 1 | agree)
-        self.j1 = self.at16 + (self.c1 << 1 | agree)
-        self.j0 = self.at8 + self.c1
-        self.a2, self.a1 = self.by_two[self.j2], self.by_one[self.j1]
-        a = self.weight * self.a2 + (64 - self.weight) * self.a1 >> 6
-        a = np.minimum(np.maximum(a, 16), _ONE - 512)
-        b = (_ONE - a) * self.second[self.j0] >> 14
-        b = np.minimum(np.maximum(b, 1), _ONE - a - 128)
-        b[self.same] = 0
-        self.rest = _ONE - a - b
-        self.size_a = a.astype(np.int64) << 16
-        self.size_b = b.astype(np.int64) << 16
-
-    def interval(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        hit2 = ids == self.g2
-        hit1 = ~hit2 & (ids == self.g1) & ~self.same
+        """Guesses of both orders and their shares of 2**14: ``a`` of order 2, ``b`` of order 1, the ``rest``."""
+        place = self.hashed
+        np.multiply(self.p1, 30011, out=place[0])
+        place[0] += place[1]
+        np.multiply(self.p1, 40503, out=place[1])
+        self.place = place >> 5
+        self.place &= self.mask
+        self.place += self.entry_at
+        entry = self.entries.take(self.place)
+        self.guess = entry >> 4
+        self.g2, self.g1 = self.guess
+        self.same = (self.g1 == self.g2).astype(np.int32)
+        entry &= 14
+        self.count = entry
+        self.j = self.share_at + (entry | self.same)
+        self.j0 = entry[1] >> 1
+        self.j0 = self.j0 + self.second_at
+        self.estimate, self.a0 = self.by_order.take(self.j), self.second.take(self.j0)
+        a2, a1 = self.estimate
+        self.apart = a2 - a1
+        a = self.weight * self.apart
+        a >>= 6
+        a += a1
+        np.maximum(a, 16, out=a)
+        np.minimum(a, _ONE - 512, out=a)
+        left = _ONE - a
+        b = left * self.a0
+        b >>= 14
+        np.maximum(b, 1, out=b)
+        np.minimum(b, left - 128, out=b)
+        b *= 1 - self.same
+        left -= b
+        self.a, self.b, self.rest = a, b, left
+
+    def interval(self, hit2: np.ndarray, hit1: np.ndarray, below: np.ndarray, share: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place and width (of 2**30) of an id: where a guess is hit that one's, else its own in what is left."""
         rest = self.rest.astype(np.int64)
-        start = np.where(hit1, self.size_a, self.size_a + self.size_b + rest * self.below[ids])
-        size = np.where(hit1, self.size_b, rest * self.share[ids])
-        start[hit2] = 0
-        size[hit2] = self.size_a[hit2]
+        a, b = self.a.astype(np.int64), self.b.astype(np.int64)
+        a <<= 16
+        b <<= 16
+        start = rest * below
+        start += a
+        start += b
+        size = rest
+        size *= share
+        at = hit1.nonzero()[0]
+        start[at] = a[at]
+        size[at] = b[at]
+        at = hit2.nonzero()[0]
+        start[at] = 0
+        size[at] = a[at]
         return start, size
 
-    def learn(self, ids: np.ndarray) -> None:
-        hit2, hit1 = ids == self.g2, ids == self.g1
-        goal = hit2.astype(np.int32) << 14
-        e2, e1 = np.abs(goal - self.a2), np.abs(goal - self.a1)
-        self.weight = np.minimum(np.maximum(self.weight + (e2 < e1) - (e1 < e2), 4), 60).astype(np.int32)
-        self.by_two[self.j2] = self.a2 + (goal - self.a2 >> 4)
-        self.by_one[self.j1] = self.a1 + (goal - self.a1 >> 4)
-        tried = np.flatnonzero(~hit2 & ~self.same)
-        j = self.j0[tried]
-        now = self.second[j]
-        self.second[j] = now + ((hit1[tried].astype(np.int32) << 14) - now >> 4)
-        self.two[self.i2] = ids << 3 | np.where(hit2, np.minimum(self.c2 + 1, 7), 0)
-        self.one[self.i1] = ids << 3 | np.where(hit1, np.minimum(self.c1 + 1, 7), 0)
-        self.p2, self.p1 = self.p1, ids.astype(np.int64)
+    def learn(self, ids: np.ndarray, hit2: np.ndarray, hit1: np.ndarray) -> None:
+        """``hit1``: order 1 alone was right."""
+        flags = self.flags
+        flags[0] = hit2
+        hit2 = flags[0]
+        goal = hit2 << 14
+        # The weight moves to the better estimate: the larger after a hit, else the smaller.
+        better = np.sign(self.apart)
+        better *= 2 * hit2 - 1
+        better += self.weight
+        np.maximum(better, 4, out=better)
+        self.weight = np.minimum(better, 60, out=better)
+        move = goal - self.estimate
+        move >>= 4
+        move += self.estimate
+        self.by_order[self.j] = move
+        # The second guess learns where it was asked: no hit, and a guess of its own.
+        flags[1] = hit1
+        at = (hit2 | self.same) == 0
+        move = flags[1] << 14
+        move -= self.a0
+        move >>= 4
+        move *= at
+        move += self.a0
+        self.second[self.j0] = move
+        flags[1] |= hit2 & self.same
+        entry = self.count
+        entry += 2
+        np.minimum(entry, 14, out=entry)
+        entry *= flags
+        entry += ids << 4
+        self.entries[self.place] = entry
+        self.p1 = ids.astype(np.int64)
 
 
 def _shares(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The ids that occur, ascending, and their shares of 2**16, one at least."""
-    used, count = np.unique(ids, return_counts=True)
+    count = np.bincount(ids)
+    used = np.flatnonzero(count)
+    count = count[used]
     share = np.maximum(1, count * (65536 - len(used)) // max(1, count.sum()))
     share[count.argmax()] += 65536 - share.sum()
     return used, share
@@ -215,14 +336,20 @@ def _tables(used: np.ndarray, share: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return shares, below, np.repeat(used, share).astype(np.int32)
 
 
-def _outward(low: np.ndarray, width: np.ndarray, lanes: np.ndarray) -> np.ndarray:
+def _outward(low: np.ndarray, width: np.ndarray, lanes: np.ndarray | None = None) -> np.ndarray:
     """The lanes whose next 16 bits are settled; a width too small to go on is cut down to settle them."""
-    x, w = low[lanes], width[lanes]
-    settled = (x ^ (x + w)) < _TOP
-    short = ~settled & (w < _LOW)
-    at = lanes[short]
-    width[at] = (~low[at] + _U(1)) & (_LOW - _U(1))
-    return lanes[settled | short]
+    x, w = (low, width) if lanes is None else (low[lanes], width[lanes])
+    settled = x + w
+    settled ^= x
+    settled = settled < _TOP
+    short = w < _LOW
+    short &= ~settled
+    if short.any():
+        at = short.nonzero()[0] if lanes is None else lanes[short]
+        width[at] = (~low[at] + _U(1)) & (_LOW - _U(1))
+        settled |= short
+    out = settled.nonzero()[0]
+    return out if lanes is None else lanes[out]
 
 
 def encode_blocks(ids: np.ndarray, used: np.ndarray, share: np.ndarray) -> list[bytes]:
@@ -230,31 +357,36 @@ def encode_blocks(ids: np.ndarray, used: np.ndarray, share: np.ndarray) -> list[
     grid = np.full(lanes * BLOCK, used[0], np.int32)
     grid[: len(ids)] = ids
     grid = np.ascontiguousarray(grid.reshape(lanes, BLOCK).T)
-    model = _Model(lanes, *_tables(used, share)[:2])
+    model = _Model(lanes)
+    shares, below, _ = _tables(used, share)
     low, width = np.zeros(lanes, np.uint64), np.full(lanes, 2**64 - 1, np.uint64)
     words: list[np.ndarray] = []
     owner: list[np.ndarray] = []
-    every = np.arange(lanes)
+    every = np.arange(lanes, dtype=np.uint16 if lanes <= 1 << 16 else np.int32)  # 16 bits sort in linear time
     for row in grid:
         model.ahead()
-        start, size = model.interval(row)
-        model.learn(row)
+        hit2 = row == model.g2
+        hit1 = row == model.g1
+        hit1 &= ~hit2
+        start, size = model.interval(hit2, hit1, below.take(row), shares.take(row))
+        model.learn(row, hit2, hit1)
         unit = width >> _U(30)
-        low += unit * start.astype(np.uint64)
-        width = unit * size.astype(np.uint64)
-        out = _outward(low, width, every)
+        low += unit * start.view(np.uint64)
+        width = unit
+        width *= size.view(np.uint64)
+        out = _outward(low, width)
         while len(out):
             words.append((low[out] >> _U(48)).astype("<u2"))
-            owner.append(out.astype(np.int32))
+            owner.append(out.astype(every.dtype))
             low[out] <<= _U(16)
             width[out] <<= _U(16)
             out = _outward(low, width, out)
     for shift in (48, 32, 16, 0):
         words.append((low >> _U(shift) & _U(0xFFFF)).astype("<u2"))
-        owner.append(every.astype(np.int32))
+        owner.append(every)
     lane, word = np.concatenate(owner), np.concatenate(words)
     order = np.argsort(lane, kind="stable")
-    at = np.searchsorted(lane[order], np.arange(lanes + 1))
+    at = np.concatenate(([0], np.cumsum(np.bincount(lane, minlength=lanes))))
     word = word[order]
     return [word[a:b].tobytes() for a, b in zip(at[:-1], at[1:], strict=True)]
 
@@ -266,28 +398,40 @@ def decode_blocks(blocks: list[bytes], n: int, used: np.ndarray, share: np.ndarr
     end = at + size
     word = np.concatenate((np.frombuffer(b"".join(blocks), "<u2"), np.zeros(1, "<u2"))).astype(np.uint64)
     shares, below, inverse = _tables(used, share)
-    model = _Model(lanes, shares, below)
+    model = _Model(lanes)
     low, width = np.zeros(lanes, np.uint64), np.full(lanes, 2**64 - 1, np.uint64)
     code = np.zeros(lanes, np.uint64)
     for _ in range(4):
         code = code << _U(16) | word[at]
         at += 1
     out = np.empty((BLOCK, lanes), np.int32)
-    every = np.arange(lanes)
     last = len(word) - 1
     for step in range(BLOCK):
         model.ahead()
         unit = width >> _U(30)
-        place = np.minimum((code - low) // unit, _U((1 << 30) - 1)).astype(np.int64)
-        other = (place - model.size_a - model.size_b) // model.rest
-        row = inverse[np.clip(other, 0, 65535)]
-        row = np.where(place < model.size_a, model.g2, np.where(place < model.size_a + model.size_b, model.g1, row))
+        place = code - low
+        place //= unit
+        np.minimum(place, _U((1 << 30) - 1), out=place)
+        place = place.astype(np.int32)
+        upper = place >> 16
+        hit2 = upper < model.a
+        guessed = model.a + model.b
+        hit1 = upper < guessed
+        hit1 &= ~hit2
+        # A quotient below 2**16 of numbers below 2**30: its double is cut to the right integer.
+        guessed <<= 16
+        place -= guessed
+        np.maximum(place, 0, out=place)
+        row = inverse.take((place / model.rest).astype(np.int32), mode="clip")
+        np.copyto(row, model.g1, where=hit1)
+        np.copyto(row, model.g2, where=hit2)
         out[step] = row
-        start, wide = model.interval(row)
-        model.learn(row)
-        low += unit * start.astype(np.uint64)
-        width = unit * wide.astype(np.uint64)
-        more = _outward(low, width, every)
+        start, wide = model.interval(hit2, hit1, below.take(row), shares.take(row))
+        model.learn(row, hit2, hit1)
+        low += unit * start.view(np.uint64)
+        width = unit
+        width *= wide.view(np.uint64)
+        more = _outward(low, width)
         while len(more):
             spot = at[more]
             code[more] = code[more] << _U(16) | word[np.where(spot < end[more], spot, last)]
@@ -346,22 +490,34 @@ def write(docs: DataFrame, path: str, tokenizer: str = TOKENIZER, id_col: str =
         enc = encoder(tokenizer)
         names: list[int] = []
         lengths: list[int] = []
-        held: list[bytes] = []
+        held: list[np.ndarray] = []
         size = 0
         end = np.array([END_ID], "<u2").tobytes()
 
         def flush() -> pa.RecordBatch:
-            body = pack_segment(names, lengths, np.frombuffer(b"".join(held), "<u2").astype(np.int32))
+            body = pack_segment(names, lengths, np.concatenate(held).astype(np.int32))
             names.clear(), lengths.clear(), held.clear()
             return pa.RecordBatch.from_arrays([pa.array([body], pa.binary())], ["segment"])
 
-        for batch in batches:
-            for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                ids = enc.encode(text or "") + end
+        def gathered() -> Iterator[pa.Table]:
+            waiting: list[pa.RecordBatch] = []
+            for batch in common.pieces(batches, "text", AT_ONCE):
+                waiting.append(batch)
+                if sum(b.nbytes for b in waiting) >= AT_ONCE:
+                    yield pa.Table.from_batches(waiting)
+                    waiting.clear()
+            if waiting:
+                yield pa.Table.from_batches(waiting)
+
+        for batch in gathered():
+            ids, count = enc.encode_all(batch.column(1).combine_chunks(), end)
+            at = 0
+            for i, n in zip(batch.column(0).to_pylist(), count.tolist(), strict=True):
                 names.append(NO_ID if i is None else i)
-                lengths.append(len(ids) // 2)
-                held.append(ids)
-                size += len(ids) // 2
+                lengths.append(n)
+                held.append(ids[at : at + n])
+                at += n
+                size += n
                 if size >= SEGMENT:
                     yield flush()
                     size = 0

@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from ebbtide.llm import common, token_files as tf
@@ -74,3 +75,22 @@ def test_added_tokens_are_what_the_library_makes_of_them():
     encoder = tf.Encoder(tf.TOKENIZER)
     for text in ("ab <|endoftext|> cd", "<|endoftext|>", "a<|endoftext|>b", "x <|endoftext |> y"):
         assert np.frombuffer(encoder.encode(text), "<u2").tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_a_batch_encodes_each_different_word_once():
+    encoder = tf.Encoder(tf.TOKENIZER)
+    asked = []
+    made = encoder._made
+    encoder._made = lambda part: asked.append(part) or made(part)
+    words = [f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(300)]
+    texts = [" ".join(["Head", *words[i:], *(w + "," for w in words[:i])]) for i in range(0, 300, 3)]
+    for rows in (texts, [None, "", " ", *ODD, *texts[::-1]], texts[50:]):
+        ids, count = encoder.encode_all(pa.array(rows, pa.string()), b"\0\0")
+        want = [whole(encoder, t) for t in rows]
+        assert count.tolist() == [len(w) for w in want]
+        assert ids.tolist() == [i for w in want for i in w]
+    again = [w for w in asked if w[1:] in words]
+    assert len(again) <= 2 * len(words)
+    sliced = pa.array(["no", *texts], pa.string())[1:]
+    assert encoder.encode_all(sliced)[0].tolist() == [i for t in texts for i in whole(encoder, t)[:-1]]
+    assert encoder.encode_all(pa.array([], pa.string()))[0].tolist() == []
