@@ -17,6 +17,8 @@ from ebbtide.session import scratch_path
 
 #: Rows of one Arrow batch at most; texts are long.
 BATCH_ROWS = 1000
+#: Bytes of one Arrow batch, more only if a row is larger; packed blocks and files are rows too.
+BATCH_BYTES = 8 << 20
 #: Bytes of text that one NumPy pass works on.
 PIECE_BYTES = 1 << 20
 
@@ -48,6 +50,7 @@ def ship(spark: SparkSession) -> None:
     context = spark.sparkContext
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     if context.applicationId in _shipped:
         return
     top = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))

@@ -46,7 +46,7 @@ from ebbtide.llm import common
 
 WIDTH, SEED = 100, 16
 LEFT = WIDTH - SEED
-RUN_BYTES, STRETCH, TIES = 16 << 20, 1 << 19, 16_000
+RUN_BYTES, STRETCH, TIES = 16 << 20, 1 << 17, 16_000
 HEAD = 8
 #: Layout of an entry: hash, suffix (zero-filled), its length, tail.
 TAIL = HEAD + WIDTH + 1
@@ -152,6 +152,7 @@ class _Run:
         data = np.concatenate([*self.data, np.zeros(WIDTH, np.uint8)])
         start, count, anchor, lead, row, place = (np.concatenate(x) for x in zip(*self.found, strict=True))
         ids, keys = np.array(self.ids, np.int64), np.array(self.keys, np.int64)
+        self.clear()
         by = np.lexsort((keys, ids))
         fresh = np.ones(len(by), bool)
         fresh[1:] = (ids[by][1:] != ids[by][:-1]) | (keys[by][1:] != keys[by][:-1])
@@ -161,7 +162,6 @@ class _Run:
         row = rank[row]
         left = anchor - start
         right = count + WIDTH - 1 - left
-        self.clear()
         view_right = np.lib.stride_tricks.sliding_window_view(data, WIDTH)
         view_left = np.lib.stride_tricks.sliding_window_view(data, LEFT)
 
@@ -245,9 +245,9 @@ class _Run:
 
 
 class _Block:
-    """A front-coded run of one range, read entry by entry."""
+    """A front-coded run of one range, read entry by entry from where it was unpacked."""
 
-    def __init__(self, block: bytes):
+    def __init__(self, block: bytes | pa.Buffer):
         raw = zstandard.ZstdDecompressor().decompress(block)
         n, docs = np.frombuffer(raw, np.int64, 2).tolist()
         at = 16
@@ -259,17 +259,17 @@ class _Block:
         self.local = np.frombuffer(raw, np.int32, n, at + 8 * n)
         self.shared = np.frombuffer(raw, np.uint8, n, at + 12 * n)
         self.size = np.frombuffer(raw, np.uint8, n, at + 13 * n)
-        self.rest = raw[at + 14 * n :]
+        self.raw, self.rest = raw, at + 14 * n
 
     def entries(self) -> Iterator[tuple[bytes, int]]:
         """Entry and the prefix it shares with the one before."""
-        rest, at, entry = self.rest, 0, b""
+        raw, at, entry = self.raw, self.rest, b""
         for a in range(0, self.n, 4096):
             shared = self.shared[a : a + 4096].tolist()
             size = self.size[a : a + 4096].tolist()
             for h, s in zip(shared, size, strict=True):
                 end = at + s - h
-                entry = entry[:h] + rest[at:end]
+                entry = entry[:h] + raw[at:end]
                 at = end
                 yield entry, h
 
@@ -440,6 +440,14 @@ def repeats(blocks: list[_Block]) -> Iterator[tuple[int, int, int, int]]:
     yield from out
 
 
+def by_range(runs: DataFrame, parts: int) -> DataFrame:
+    """Each range in a partition of its own (hashed, several would meet in one and others stay
+    empty), after the spans found inside runs, which are spread by document."""
+    spread = F.coalesce("part", F.pmod(F.xxhash64("doc_id", "start"), F.lit(parts)).cast("int"))
+    placed = runs.withColumn("to", spread).repartitionById(parts, "to")
+    return placed.sortWithinPartitions(F.col("part").asc_nulls_first()).drop("to")
+
+
 def removed_spans(docs: DataFrame, parts: int | None = None) -> DataFrame:
     """Spans to remove (they may overlap) of ``doc_id, text_key, text``, written to the shared folder."""
     spark = docs.sparkSession
@@ -472,24 +480,23 @@ def removed_spans(docs: DataFrame, parts: int | None = None) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], [x.split()[0] for x in SPANS.split(", ")])
 
         for batch in batches:
-            loose = batch.filter(pa.compute.is_null(batch.column(0)))
-            if loose.num_rows:
-                yield loose.select([2, 3, 4, 5])
-            tight = batch.filter(pa.compute.is_valid(batch.column(0)))
-            for part, block in zip(tight.column(0).to_pylist(), tight.column(1).to_pylist(), strict=True):
+            # Loose spans come first. Blocks are unpacked from the batch, without a copy.
+            n_loose = batch.column(0).null_count
+            if n_loose:
+                yield batch.slice(0, n_loose).select([2, 3, 4, 5])
+            for i in range(n_loose, batch.num_rows):
+                part = batch.column(0)[i].as_py()
                 if part != now:
                     yield from close()
                     now, blocks = part, []
-                blocks.append(_Block(block))
+                blocks.append(_Block(batch.column(1)[i].as_buffer()))
+        batch = None
         yield from close()
         blocks = []
         common.trim()
 
     runs = docs.select("doc_id", "text_key", "text").mapInArrow(sort, RUNS)
-    # Spans found inside a run pass through the same exchange, spread by document.
-    spread = F.coalesce("part", F.pmod(F.xxhash64("doc_id", "start"), F.lit(parts)).cast("int"))
-    runs = runs.withColumn("to", spread).repartition(parts, "to").sortWithinPartitions("part").drop("to")
-    return common.stage(runs.mapInArrow(merge, SPANS), "spans")
+    return common.stage(by_range(runs, parts).mapInArrow(merge, SPANS), "spans")
 
 
 def _joined(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

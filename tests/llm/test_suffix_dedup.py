@@ -1,7 +1,9 @@
 import hashlib
 import random
 
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from ebbtide.llm import common, suffix_dedup as sd
 
@@ -78,3 +80,24 @@ def test_repeated_rows_null_ids_and_no_rows(spark):
     got = sorted((r["doc_id"] or 99, r["n_removed"]) for r in sd.dedup(df).collect())
     assert got == [(1, 0), (1, 0), (2, len(text)), (99, len(text))]
     assert sd.dedup(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_a_task_merges_one_range_and_gets_its_blocks_in_small_batches(spark):
+    common.ship(spark)
+    size = common.BATCH_BYTES // 4
+    runs = spark.createDataFrame([(p, 0, 0, 0, 0) for p in range(31)] * 9 + [(None, i, i, i, i) for i in range(50)], "part int, doc_id long, text_key long, start long, end long")
+    runs = runs.withColumn("block", F.when(F.col("part") < 3, F.expr(f"cast(repeat('x', {size}) as binary)")))
+
+    def seen(batches):
+        for b in batches:
+            parts = b.column(b.schema.get_field_index("part")).to_pylist()
+            late = None in parts[1:] and parts[0] is not None
+            columns = [pa.array([sorted({p for p in parts if p is not None})], pa.list_(pa.int32())), pa.array([b.nbytes]), pa.array([late])]
+            yield pa.RecordBatch.from_arrays(columns, ["parts", "size", "late"])
+
+    placed = sd.by_range(runs, 31)
+    in_task = placed.where("part is not null").groupBy(F.spark_partition_id().alias("task")).agg(F.count_distinct("part").alias("n")).collect()
+    assert [r["n"] for r in in_task] == [1] * 31
+    got = placed.mapInArrow(seen, "parts array<int>, size long, late boolean").collect()
+    assert max(r["size"] for r in got) < common.BATCH_BYTES + size + 1000
+    assert not any(r["late"] or len(r["parts"]) > 1 for r in got)
