@@ -311,3 +311,15 @@ def test_the_workbench_hands_its_split_to_the_experiment(spark, monkeypatch):
     monkeypatch.setattr(experiments, "random_split_experiment", lambda mart, **kw: given.update(kw))
     monkeypatch.setattr(experiments, "save_experiment", lambda outcome, path: None)
     assert bench.folder and given["split"] is bench.split and made.value == 60
+
+
+def test_an_ablation_finds_the_sides_of_gaps_once(rows, monkeypatch):
+    found = learners.tree_sides(rows, FEATURES)
+    part = ["age", "city", "gender"]
+    assert learners.tree_sides(rows, part) == {c: found[c] for c in prepare.split_kinds(part)[0]}
+    table = rows.select("*", *[F.col("age").alias(c) for c in prepare.SUBSCRIPTION])
+    asked, plain = [], prepare.missing_sides
+    monkeypatch.setattr(prepare, "missing_sides", lambda df, columns, *more: asked.append(list(columns)) or plain(df, columns, *more))
+    runs = {r.run: r.n_features for r in experiments.ablation(table, {"maxDepth": 2}, 2, split=(table, table)).collect()}
+    assert runs == {"full": 8, "no_subscription": 5, "behaviour_only": 4}
+    assert len(asked) == 1 and set(prepare.SUBSCRIPTION) <= set(asked[0])
