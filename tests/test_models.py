@@ -313,6 +313,17 @@ def test_the_workbench_hands_its_split_to_the_experiment(spark, monkeypatch):
     assert bench.folder and given["split"] is bench.split and made.value == 60
 
 
+def test_tree_rows_of_some_tens_of_thousands_are_one_task(spark):
+    n = F.col("id")
+    rows = spark.range(0, 45_000, 1, 6).select(n.alias("msno"), (n % 2).cast("int").alias("is_churn"), (n % 7).alias("txn_count"))
+    _, data = learners.prepare_trees(rows, ["txn_count"])
+    try:
+        assert data.rdd.getNumPartitions() == 1
+        assert data.count() == 45_000
+    finally:
+        data.unpersist()
+
+
 def test_an_ablation_finds_the_sides_of_gaps_once(rows, monkeypatch):
     found = learners.tree_sides(rows, FEATURES)
     part = ["age", "city", "gender"]
