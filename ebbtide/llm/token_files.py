@@ -3,7 +3,7 @@
 Ids come from the installed tokenizer library; a document ends with id 0. A text
 is cut at single spaces (which always begin a token), and of a batch of texts each
 different piece between them is encoded once and kept by each worker, as is what
-the library makes of a word;
+the library makes of a word (pieces are found again by hash and compared);
 where white space stands beside a space, or the text holds the string of an added
 token, the library encodes the whole text.
 
@@ -11,18 +11,18 @@ A file is one segment of whole documents:
 
     magic, sizes            fixed struct
     documents               ids and lengths, zlib
-    order 0                 the ids that occur and their shares of 2**16, zlib
+    shares                  ids that no guess hit and their shares of 2**16, shares of the guesses, zlib
     blocks                  byte size and crc32 of each
     payload                 the blocks, end to end
 
 A block is ``BLOCK`` ids, coded on its own: all adaptive state starts anew. Each
 id is one interval of a range coder. Order 2 predicts the id that last followed
 the two before it, order 1 the one that last followed the one before, each with
-a count of hits. The share of the order-2 guess mixes the adaptive estimates of
-both contexts, by a weight that moves to the better one; what is left is shared
-by the order-1 guess and, for all other ids, order 0. All arithmetic is in
-integers, so every machine decodes alike. All blocks of a segment advance
-together, one NumPy step for each id place.
+a count of hits. Both counts, and whether the guesses agree, choose how the order-2
+guess, the order-1 guess and, for all other ids, order 0 are mixed; the shares are
+those of the whole segment. All numbers are whole and below 2**53, so every machine
+decodes alike. All blocks of a segment advance together, one NumPy step for each
+id place.
 
 Files are written by Spark's own writer (raw bytes of one row, and the line end),
 so task commits, retries and every file system work as for any table, and read
@@ -42,6 +42,7 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -54,7 +55,7 @@ END_ID = 0
 BLOCK, SEGMENT = 2048, 4_000_000
 #: Chunks and words that a worker keeps, some 40 and 200 bytes each; texts that are encoded at once.
 KEPT, KEPT_WORDS, AT_ONCE = 2_000_000, 200_000, 8 << 20
-MAGIC = b"EBTK0001"
+MAGIC = b"EBTK0002"
 NO_ID = -(1 << 63)
 
 # How the tokenizer parts a text before its merges, and its names of bytes.
@@ -108,29 +109,56 @@ class Encoder:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u2").tobytes()
 
     def _forget(self) -> None:
-        """Known chunks, the ids of each after a space, end to end, and if the chunk is clear by itself."""
+        """Known chunks, their hashes in order with the number of each, the ids of each after
+        a space, end to end, and if the chunk is clear by itself."""
         self.known = pa.array([], pa.large_string())
+        self.keys, self.key_of = np.zeros(0, np.uint64), np.zeros(0, np.int32)
         self.ids = np.zeros(0, "<u2")
         self.size = np.zeros(0, np.int32)
         self.clear = np.zeros(0, bool)
 
+    def _find(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Number of each text among the known chunks, -1 where it is none, and its hash.
+
+        The known chunks are kept in order of their hashes, so a batch costs by its own size;
+        a hash alone decides nothing, the strings are compared.
+        """
+        keys = pd.util.hash_array(texts.to_numpy(zero_copy_only=False), categorize=False)
+        found = np.full(len(keys), -1, np.int64)
+        if len(self.keys):
+            order = np.argsort(keys)
+            at = np.empty(len(keys), np.int64)
+            at[order] = np.searchsorted(self.keys, keys[order])
+            at = np.minimum(at, len(self.keys) - 1)
+            like = np.flatnonzero(self.keys[at] == keys)
+            number = self.key_of[at[like]]
+            same = pa.compute.equal(self.known.take(pa.array(number)), texts.take(pa.array(like))).to_numpy(zero_copy_only=False)
+            found[like[same]] = number[same]
+        return found, keys
+
+    def _keep(self, chunks: pa.Array, keys: np.ndarray) -> None:
+        order = np.argsort(keys)
+        keys = keys[order]
+        at = np.searchsorted(self.keys, keys)
+        self.key_of = np.insert(self.key_of, at, len(self.known) + order)
+        self.keys = np.insert(self.keys, at, keys)
+        self.known = pa.concat_arrays([self.known, chunks])
+
     def _numbers(self, chunks: pa.Array) -> np.ndarray:
         """Number of each chunk among the known ones; new ones are encoded and known from now on."""
         coded = chunks.dictionary_encode()
-        each = coded.dictionary
-        n = len(each)
-        # A mark after a word is a token of its own, so what is known of the word serves.
-        stems = pa.compute.utf8_rtrim(each, characters=MARKS)
         if len(self.known) > KEPT:
             self._forget()
-        found = pa.compute.index_in(pa.concat_arrays([each, stems]), value_set=self.known).fill_null(-1).to_numpy().copy()
-        new = np.flatnonzero(found[:n] < 0)
+        found, keys = self._find(coded.dictionary)
+        new = np.flatnonzero(found < 0)
         if len(new):
-            texts = each.take(pa.array(new)).to_numpy(zero_copy_only=False).tolist()
+            each = coded.dictionary.take(pa.array(new))
+            # A mark after a word is a token of its own, so what is known of the word serves.
+            stems, _ = self._find(pa.compute.utf8_rtrim(each, characters=MARKS))
             to = np.cumsum(self.size, dtype=np.int64)
             raw = self.ids.tobytes()
             made: list[bytes | bool] = []
-            for x, k in zip(texts, found[n + new].tolist(), strict=True):
+            for x, k in zip(each.to_numpy(zero_copy_only=False).tolist(), stems.tolist(), strict=True):
                 if x[-1:] in self.marks and x[:-1].isalpha():
                     word = raw[2 * int(to[k] - self.size[k]) : 2 * int(to[k])] if k >= 0 else self._ids(" " + x[:-1])
                     made.append(word + self.marks[x[-1]])
@@ -140,8 +168,8 @@ class Encoder:
             self.clear = np.concatenate((self.clear, np.array([m is not False for m in made], bool)))
             self.size = np.concatenate((self.size, np.array([len(m or b"") // 2 for m in made], np.int32)))
             self.ids = np.concatenate((self.ids, np.frombuffer(b"".join(m or b"" for m in made), "<u2")))
-            self.known = pa.concat_arrays([self.known, each.take(pa.array(new))])
-        return found[:n][np.asarray(coded.indices)]
+            self._keep(each, keys[new])
+        return found[np.asarray(coded.indices)]
 
     def encode_all(self, texts: pa.Array, end: bytes = b"") -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts (a null is empty) one after the other, 16 bits each, and the number of each text's.
@@ -201,18 +229,20 @@ def encoder(path: str) -> Encoder:
 
 # Range coder over all blocks of a segment -----------------------------------
 
-_TOP, _LOW = np.uint64(1 << 48), np.uint64(1 << 32)
-_U = np.uint64
-_ONE = 1 << 14
 _H2, _H1 = 2048, 1024
+#: Shares of the guesses are of 2**10, those of order 0 of 2**16. A coder's width lies between 2**32 and
+#: 2**48: whole numbers below 2**53 are exact in doubles, and so are their floors and quotients cut down.
+_MIX, _ORDER0 = 1 << 10, 1 << 16
+_UNIT, _LEAST, _WORD, _FULL = 2.0**-26, 2.0**32, 2.0**16, 2.0**48
+_CONTEXTS = 8 * 8 * 2
 
 
 class _Model:
-    """Adaptive state of each block (lane), and what it says of the next id.
+    """Adaptive state of each block (lane), and what it guesses of the next id.
 
-    Both orders are the two rows of one array. A context's entry is its guess and
-    twice the count of hits (``id << 4 | 2 * count``); flags are 0 or 1 in 32 bits,
-    so that a step is plain arithmetic on all lanes.
+    Both orders are the two rows of one array. An entry holds the guess and twice
+    the count of hits (``id << 4 | 2 * count``); the context of the shares is both
+    counts and whether both orders guess the same.
     """
 
     def __init__(self, lanes: int):
@@ -220,225 +250,194 @@ class _Model:
         lane = np.arange(lanes, dtype=np.int64)
         self.entry_at = np.stack((lane * _H2, lanes * _H2 + lane * _H1))
         self.mask = np.array([[_H2 - 1], [_H1 - 1]])
-        self.share_at = np.stack((lane * 16, (lanes + lane) * 16))
-        self.second_at = lane * 8
-        self.by_order = np.full(2 * lanes * 16, _ONE // 8, np.int32)
-        self.second = np.full(lanes * 8, _ONE // 8, np.int32)
-        self.weight = np.full(lanes, 32, np.int32)
-        self.p1 = np.zeros(lanes, np.int64)
+        self.last = np.zeros(lanes, np.int64)
         self.hashed = np.zeros((2, lanes), np.int64)
-        self.flags = np.zeros((2, lanes), np.int32)
+        self.place = np.zeros((2, lanes), np.int64)
 
     def ahead(self) -> None:
-        """Guesses of both orders and their shares of 2**14: ``a`` of order 2, ``b`` of order 1, the ``rest``."""
-        place = self.hashed
-        np.multiply(self.p1, 30011, out=place[0])
-        place[0] += place[1]
-        np.multiply(self.p1, 40503, out=place[1])
-        self.place = place >> 5
-        self.place &= self.mask
-        self.place += self.entry_at
-        entry = self.entries.take(self.place)
+        """``guess`` of both orders, and the ``context`` of their shares."""
+        hashed, place = self.hashed, self.place
+        np.multiply(self.last, 30011, out=hashed[0])
+        hashed[0] += hashed[1]
+        np.multiply(self.last, 40503, out=hashed[1])
+        np.right_shift(hashed, 5, out=place)
+        place &= self.mask
+        place += self.entry_at
+        entry = self.entries.take(place)
         self.guess = entry >> 4
-        self.g2, self.g1 = self.guess
-        self.same = (self.g1 == self.g2).astype(np.int32)
         entry &= 14
         self.count = entry
-        self.j = self.share_at + (entry | self.same)
-        self.j0 = entry[1] >> 1
-        self.j0 = self.j0 + self.second_at
-        self.estimate, self.a0 = self.by_order.take(self.j), self.second.take(self.j0)
-        a2, a1 = self.estimate
-        self.apart = a2 - a1
-        a = self.weight * self.apart
-        a >>= 6
-        a += a1
-        np.maximum(a, 16, out=a)
-        np.minimum(a, _ONE - 512, out=a)
-        left = _ONE - a
-        b = left * self.a0
-        b >>= 14
-        np.maximum(b, 1, out=b)
-        np.minimum(b, left - 128, out=b)
-        b *= 1 - self.same
-        left -= b
-        self.a, self.b, self.rest = a, b, left
-
-    def interval(self, hit2: np.ndarray, hit1: np.ndarray, below: np.ndarray, share: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Place and width (of 2**30) of an id: where a guess is hit that one's, else its own in what is left."""
-        rest = self.rest.astype(np.int64)
-        a, b = self.a.astype(np.int64), self.b.astype(np.int64)
-        a <<= 16
-        b <<= 16
-        start = rest * below
-        start += a
-        start += b
-        size = rest
-        size *= share
-        at = hit1.nonzero()[0]
-        start[at] = a[at]
-        size[at] = b[at]
-        at = hit2.nonzero()[0]
-        start[at] = 0
-        size[at] = a[at]
-        return start, size
-
-    def learn(self, ids: np.ndarray, hit2: np.ndarray, hit1: np.ndarray) -> None:
-        """``hit1``: order 1 alone was right."""
-        flags = self.flags
-        flags[0] = hit2
-        hit2 = flags[0]
-        goal = hit2 << 14
-        # The weight moves to the better estimate: the larger after a hit, else the smaller.
-        better = np.sign(self.apart)
-        better *= 2 * hit2 - 1
-        better += self.weight
-        np.maximum(better, 4, out=better)
-        self.weight = np.minimum(better, 60, out=better)
-        move = goal - self.estimate
-        move >>= 4
-        move += self.estimate
-        self.by_order[self.j] = move
-        # The second guess learns where it was asked: no hit, and a guess of its own.
-        flags[1] = hit1
-        at = (hit2 | self.same) == 0
-        move = flags[1] << 14
-        move -= self.a0
-        move >>= 4
-        move *= at
-        move += self.a0
-        self.second[self.j0] = move
-        flags[1] |= hit2 & self.same
+        self.context = entry[0] << 3
+        self.context += entry[1]
+        self.context += self.guess[0] == self.guess[1]
+
+    def learn(self, ids: np.ndarray) -> np.ndarray:
+        """Which orders were right."""
+        right = self.guess == ids
         entry = self.count
         entry += 2
         np.minimum(entry, 14, out=entry)
-        entry *= flags
+        entry *= right
         entry += ids << 4
         self.entries[self.place] = entry
-        self.p1 = ids.astype(np.int64)
+        self.last[:] = ids
+        return right
 
 
-def _shares(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The ids that occur, ascending, and their shares of 2**16, one at least."""
-    count = np.bincount(ids)
+def _shares(count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids that are counted, ascending, and their shares of 2**16, one at least."""
     used = np.flatnonzero(count)
     count = count[used]
-    share = np.maximum(1, count * (65536 - len(used)) // max(1, count.sum()))
-    share[count.argmax()] += 65536 - share.sum()
+    share = np.maximum(1, count * (_ORDER0 - len(used)) // max(1, count.sum()))
+    if len(share):
+        share[count.argmax()] += _ORDER0 - share.sum()
     return used, share
 
 
 def _tables(used: np.ndarray, share: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     size = 1 << 16
-    shares, below = np.zeros(size, np.int64), np.zeros(size, np.int64)
+    shares, below = np.zeros(size), np.zeros(size)
     shares[used] = share
     below[used] = np.cumsum(share) - share
-    return shares, below, np.repeat(used, share).astype(np.int32)
-
-
-def _outward(low: np.ndarray, width: np.ndarray, lanes: np.ndarray | None = None) -> np.ndarray:
-    """The lanes whose next 16 bits are settled; a width too small to go on is cut down to settle them."""
-    x, w = (low, width) if lanes is None else (low[lanes], width[lanes])
-    settled = x + w
-    settled ^= x
-    settled = settled < _TOP
-    short = w < _LOW
-    short &= ~settled
-    if short.any():
-        at = short.nonzero()[0] if lanes is None else lanes[short]
-        width[at] = (~low[at] + _U(1)) & (_LOW - _U(1))
-        settled |= short
-    out = settled.nonzero()[0]
-    return out if lanes is None else lanes[out]
-
-
-def encode_blocks(ids: np.ndarray, used: np.ndarray, share: np.ndarray) -> list[bytes]:
+    return shares, below, np.resize(np.repeat(used, share), size).astype(np.int32)
+
+
+def _mix(seen: np.ndarray) -> np.ndarray:
+    """Shares of 2**10 of the order-2 and the order-1 guess in each context, from how often each was right.
+
+    ``seen`` has a column for neither, order 1 alone, order 2 alone, both. All that is
+    left goes to order 0; nothing that can come has a share of 0.
+    """
+    total = np.maximum(1, seen.sum(1))
+    a = np.clip(_MIX * (seen[:, 2] + seen[:, 3]) // total, 1, _MIX - 2)
+    b = np.clip(_MIX * seen[:, 1] // total, 1, _MIX - 1 - a)
+    b[1::2] = 0  # both guess the same
+    return np.stack((a, b))
+
+
+def encode_blocks(ids: np.ndarray) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
+    """The blocks, the ids of order 0 and their shares, and the shares of the guesses."""
     lanes = -(-len(ids) // BLOCK)
-    grid = np.full(lanes * BLOCK, used[0], np.int32)
+    grid = np.full(lanes * BLOCK, ids[-1], np.int32)
     grid[: len(ids)] = ids
-    grid = np.ascontiguousarray(grid.reshape(lanes, BLOCK).T)
+    grid = np.ascontiguousarray(grid.reshape(lanes, BLOCK).T[: len(ids)])
     model = _Model(lanes)
-    shares, below, _ = _tables(used, share)
-    low, width = np.zeros(lanes, np.uint64), np.full(lanes, 2**64 - 1, np.uint64)
-    words: list[np.ndarray] = []
-    owner: list[np.ndarray] = []
-    every = np.arange(lanes, dtype=np.uint16 if lanes <= 1 << 16 else np.int32)  # 16 bits sort in linear time
-    for row in grid:
+    # What was right at each place decides all shares: four cases for each context.
+    case = np.empty(grid.shape, np.uint16)
+    for row, at in zip(grid, case, strict=True):
         model.ahead()
-        hit2 = row == model.g2
-        hit1 = row == model.g1
-        hit1 &= ~hit2
-        start, size = model.interval(hit2, hit1, below.take(row), shares.take(row))
-        model.learn(row, hit2, hit1)
-        unit = width >> _U(30)
-        low += unit * start.view(np.uint64)
-        width = unit
-        width *= size.view(np.uint64)
-        out = _outward(low, width)
-        while len(out):
-            words.append((low[out] >> _U(48)).astype("<u2"))
-            owner.append(out.astype(every.dtype))
-            low[out] <<= _U(16)
-            width[out] <<= _U(16)
-            out = _outward(low, width, out)
-    for shift in (48, 32, 16, 0):
-        words.append((low >> _U(shift) & _U(0xFFFF)).astype("<u2"))
-        owner.append(every)
-    lane, word = np.concatenate(owner), np.concatenate(words)
-    order = np.argsort(lane, kind="stable")
-    at = np.concatenate(([0], np.cumsum(np.bincount(lane, minlength=lanes))))
-    word = word[order]
-    return [word[a:b].tobytes() for a, b in zip(at[:-1], at[1:], strict=True)]
-
-
-def decode_blocks(blocks: list[bytes], n: int, used: np.ndarray, share: np.ndarray) -> np.ndarray:
+        right = model.learn(row)
+        np.left_shift(model.context, 2, out=at, casting="unsafe")
+        at += right[0] * np.uint16(2)
+        at += right[1]
+    del model
+    mix = _mix(np.bincount(case.ravel(), minlength=4 * _CONTEXTS).reshape(-1, 4))
+    used, share = _shares(np.bincount(grid[case & 3 == 0], minlength=1))
+    shares, below, _ = _tables(used, share)
+    # Place and width of a guess (of 2**26); for others the place of order 0 and the width of each of its shares.
+    a, b = mix * float(_ORDER0)
+    none = np.zeros_like(a)
+    first = np.stack((a + b, a, none, none), 1).ravel()
+    wide = np.stack((_MIX - (a + b) / _ORDER0, b, a, a), 1).ravel()
+    shares, below = np.append(shares, 1.0), np.append(below, 0.0)
+
+    low, width = np.zeros(lanes), np.full(lanes, _FULL)
+    room = 2 * len(grid) + 1
+    # Words may be above 16 bits until what is carried is added to the ones before them.
+    out = np.zeros(lanes * room, np.uint32)
+    begin = np.arange(lanes, dtype=np.int64) * room
+    at = begin.copy()
+    for k in range(0, len(grid), 32):
+        part = case[k : k + 32]
+        size = wide.take(part)
+        by_id = np.where(part & 3, len(shares) - 1, grid[k : k + 32])
+        start = below.take(by_id)
+        start *= size
+        start += first.take(part)
+        size *= shares.take(by_id)
+        for begins, sizes in zip(start, size, strict=True):
+            width *= _UNIT
+            np.floor(width, out=width)
+            begins *= width
+            low += begins
+            width *= sizes
+            short = (width < _LEAST).nonzero()[0]
+            while len(short):
+                rest = low[short]
+                word = np.floor(rest / _LEAST)
+                to = at[short]
+                out[to] = word
+                at[short] = to + 1
+                word *= _LEAST
+                rest -= word
+                low[short] = rest * _WORD
+                rest = width[short] * _WORD
+                width[short] = rest
+                short = short[rest < _LEAST]
+    out[at] = np.ceil(low / _LEAST)
+    size = at + 1 - begin
+    to = np.cumsum(size)
+    word = out[np.repeat(begin - (to - size), size) + np.arange(to[-1])]
+    over = np.flatnonzero(word >> 16)
+    while len(over):
+        carried = word[over] >> 16
+        word[over] &= 0xFFFF
+        over = over - 1
+        word[over] += carried
+        over = over[word[over] > 0xFFFF]
+    word = word.astype("<u2")
+    return [word[x:y].tobytes() for x, y in zip((to - size).tolist(), to.tolist(), strict=True)], used, share, mix
+
+
+def decode_blocks(blocks: list[bytes], n: int, used: np.ndarray, share: np.ndarray, mix: np.ndarray) -> np.ndarray:
     lanes = len(blocks)
     size = np.array([len(b) // 2 for b in blocks])
     at = np.concatenate(([0], np.cumsum(size)))[:-1].astype(np.int64)
     end = at + size
-    word = np.concatenate((np.frombuffer(b"".join(blocks), "<u2"), np.zeros(1, "<u2"))).astype(np.uint64)
+    word = np.concatenate((np.frombuffer(b"".join(blocks), "<u2"), np.zeros(1, "<u2"))).astype(np.float64)
+    last = len(word) - 1
     shares, below, inverse = _tables(used, share)
+    of_2, of_1 = mix * float(_ORDER0)
+    of_both, left = of_2 + of_1, _MIX - mix.sum(0).astype(np.float64)
     model = _Model(lanes)
-    low, width = np.zeros(lanes, np.uint64), np.full(lanes, 2**64 - 1, np.uint64)
-    code = np.zeros(lanes, np.uint64)
-    for _ in range(4):
-        code = code << _U(16) | word[at]
+    width, code = np.full(lanes, _FULL), np.zeros(lanes)
+    for _ in range(3):
+        code = code * _WORD + word[np.where(at < end, at, last)]
         at += 1
-    out = np.empty((BLOCK, lanes), np.int32)
-    last = len(word) - 1
-    for step in range(BLOCK):
+    out = np.empty((min(BLOCK, n), lanes), np.int32)
+    for row in out:
         model.ahead()
-        unit = width >> _U(30)
-        place = code - low
-        place //= unit
-        np.minimum(place, _U((1 << 30) - 1), out=place)
-        place = place.astype(np.int32)
-        upper = place >> 16
-        hit2 = upper < model.a
-        guessed = model.a + model.b
-        hit1 = upper < guessed
-        hit1 &= ~hit2
-        # A quotient below 2**16 of numbers below 2**30: its double is cut to the right integer.
-        guessed <<= 16
-        place -= guessed
-        np.maximum(place, 0, out=place)
-        row = inverse.take((place / model.rest).astype(np.int32), mode="clip")
-        np.copyto(row, model.g1, where=hit1)
-        np.copyto(row, model.g2, where=hit2)
-        out[step] = row
-        start, wide = model.interval(hit2, hit1, below.take(row), shares.take(row))
-        model.learn(row, hit2, hit1)
-        low += unit * start.view(np.uint64)
-        width = unit
-        width *= wide.view(np.uint64)
-        more = _outward(low, width)
+        context = model.context
+        width *= _UNIT
+        np.floor(width, out=width)
+        place = code / width
+        np.floor(place, out=place)
+        start, size = of_both.take(context), left.take(context)
+        guessed = (place < start).nonzero()[0]
+        spot = place - start
+        spot /= size
+        inverse.take(spot.astype(np.int32), out=row, mode="clip")
+        start += size * below.take(row)
+        size *= shares.take(row)
+        if len(guessed):
+            which = context[guessed]
+            a = of_2[which]
+            second = place[guessed] >= a
+            row[guessed] = model.guess[second.astype(np.int8), guessed]
+            start[guessed] = a * second
+            size[guessed] = np.where(second, of_1[which], a)
+        model.learn(row)
+        start *= width
+        code -= start
+        width *= size
+        more = (width < _LEAST).nonzero()[0]
         while len(more):
             spot = at[more]
-            code[more] = code[more] << _U(16) | word[np.where(spot < end[more], spot, last)]
-            at[more] += 1
-            low[more] <<= _U(16)
-            width[more] <<= _U(16)
-            more = _outward(low, width, more)
+            code[more] = code[more] * _WORD + word[np.where(spot < end[more], spot, last)]
+            at[more] = spot + 1
+            wider = width[more] * _WORD
+            width[more] = wider
+            more = more[wider < _LEAST]
     return np.ascontiguousarray(out.T).ravel()[:n]
 
 
@@ -448,10 +447,9 @@ _SIZES = struct.Struct("<8sqqqqq")
 
 
 def pack_segment(doc_ids: list[int], lengths: list[int], ids: np.ndarray) -> bytes:
-    used, share = _shares(ids)
-    blocks = encode_blocks(ids, used, share)
+    blocks, used, share, mix = encode_blocks(ids)
     docs = zlib.compress(np.array(doc_ids, "<i8").tobytes() + np.array(lengths, "<i8").tobytes(), 6)
-    order0 = zlib.compress(used.astype("<u4").tobytes() + share.astype("<u4").tobytes(), 6)
+    order0 = zlib.compress(used.astype("<u4").tobytes() + share.astype("<u4").tobytes() + mix.astype("<u4").tobytes(), 6)
     table = np.array([[len(b), zlib.crc32(b)] for b in blocks], "<u4").tobytes()
     return b"".join((_SIZES.pack(MAGIC, len(doc_ids), len(ids), len(docs), len(order0), len(used)), docs, order0, table, *blocks))
 
@@ -476,7 +474,8 @@ def unpack_segment(content: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             raise ValueError(f"block {k} is broken")
         blocks.append(block)
         at += size
-    return docs[:n_docs], docs[n_docs:], decode_blocks(blocks, n, order0[:n_used], order0[n_used:])
+    used, share, mix = np.split(order0, (n_used, 2 * n_used))
+    return docs[:n_docs], docs[n_docs:], decode_blocks(blocks, n, used, share, mix.reshape(2, _CONTEXTS))
 
 
 def write(docs: DataFrame, path: str, tokenizer: str = TOKENIZER, id_col: str = "doc_id", text_col: str = "text") -> None:

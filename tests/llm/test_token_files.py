@@ -94,3 +94,45 @@ def test_a_batch_encodes_each_different_word_once():
     sliced = pa.array(["no", *texts], pa.string())[1:]
     assert encoder.encode_all(sliced)[0].tolist() == [i for t in texts for i in whole(encoder, t)[:-1]]
     assert encoder.encode_all(pa.array([], pa.string()))[0].tolist() == []
+
+
+def test_a_small_batch_does_not_go_through_all_that_is_known(monkeypatch):
+    encoder = tf.Encoder(tf.TOKENIZER)
+    encoder.encode_all(pa.array([" ".join(f"k{i}" for i in range(3000))]))
+    hashed, hash_array = [], tf.pd.util.hash_array
+    monkeypatch.setattr(pa.compute, "index_in", lambda *a, **k: pytest.fail("a table of all known chunks"))
+    monkeypatch.setattr(tf.pd.util, "hash_array", lambda x, **k: hashed.append(len(x)) or hash_array(x, **k))
+    for text in ("a k5 k2999, new", "b new k6", "c"):
+        assert encoder.encode_all(pa.array([text]))[0].tolist() == whole(encoder, text)[:-1]
+    assert sum(hashed) < 20 and len(encoder.keys) == len(encoder.known) and (np.diff(encoder.keys.astype(float)) >= 0).all()
+
+
+def test_equal_hashes_do_not_mix_chunks_up(monkeypatch):
+    monkeypatch.setattr(tf.pd.util, "hash_array", lambda x, **k: np.array([len(t) for t in x], np.uint64))
+    encoder = tf.Encoder(tf.TOKENIZER)
+    for text in ("x aa bb aa cc dd", "y bb cc aa, bb. ee f", "z ee, dd bb", *ODD):
+        assert encoder.encode_all(pa.array([text]))[0].tolist() == whole(encoder, text)[:-1]
+
+
+def test_shares_of_the_guesses_are_those_of_the_segment():
+    draw = np.random.default_rng(5)
+    word = draw.integers(0, 50_257, (40, 3))
+    ids = np.concatenate([np.tile(word[draw.permutation(40)].ravel(), 17) for _ in range(10)]).astype(np.int32)
+    body = tf.pack_segment([1], [len(ids)], ids)
+    assert (tf.unpack_segment(body)[2] == ids).all()
+    assert 8 * len(body) / len(ids) < 0.93
+
+
+@pytest.mark.parametrize("block", [1, 3, 50, 2048])
+def test_words_carry_and_last_places_hold(monkeypatch, block):
+    monkeypatch.setattr(tf, "BLOCK", block)
+    draw = np.random.default_rng(7)
+    for ids in (
+        np.sort(draw.integers(0, 1 << 16, 5_001))[::-1],
+        np.where(draw.random(20_003) < 0.999, 65_535, draw.integers(0, 65_536, 20_003)),
+        np.where(draw.random(9_999) < 0.5, 65_535, 65_534),
+        draw.integers(0, 3, 1),
+    ):
+        ids = ids.astype(np.int32)
+        blocks, *tables = tf.encode_blocks(ids)
+        assert (tf.decode_blocks(blocks, len(ids), *tables) == ids).all()
