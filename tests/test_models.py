@@ -334,3 +334,31 @@ def test_an_ablation_finds_the_sides_of_gaps_once(rows, monkeypatch):
     runs = {r.run: r.n_features for r in experiments.ablation(table, {"maxDepth": 2}, 2, split=(table, table)).collect()}
     assert runs == {"full": 8, "no_subscription": 5, "behaviour_only": 4}
     assert len(asked) == 1 and set(prepare.SUBSCRIPTION) <= set(asked[0])
+
+
+def test_a_fold_whose_fit_has_ended_is_not_fitted_again(spark, monkeypatch):
+    ends = [[3, 20, 9], [2, 2, 2], [30, 4, 2], [1, 1, 1]]  # rounds that each fold falls
+
+    class Learner:
+        def __init__(self, trial, rounds):
+            self.trial, self.rounds = trial, rounds
+
+        def setParams(self, **_):
+            return self
+
+        def fit(self, _):
+            return self
+
+    def losses(_, model, fold):
+        return [1.0 / i for i in range(1, min(model.rounds, ends[model.trial][fold]) + 1)]
+
+    monkeypatch.setattr(tuning, "tree_learner", lambda params, rounds, *_: Learner(params["trial"], rounds))
+    monkeypatch.setattr(tuning.Trials, "_losses", losses)
+    rows = spark.range(1).selectExpr("0 AS fold", "1D AS weight")
+    trials = tuning.Trials(rows, [{"trial": t} for t in range(4)], 3, 32, "y", 2)
+    left, curves, rungs = tuning.halve(trials, 40, 5)
+    assert left == [0, 2] and [[len(c) for c in curves[t]] for t in range(4)] == ends
+    assert {(r["rung"], r["length"]) for r in rungs} == {(0, 6), (1, 12), (2, 24), (3, 40)}
+    assert len(rungs) == 12 + 3 * 6
+    again = sorted((t, f) for t, f, _ in trials.fits)
+    assert again == sorted([(t, f) for t in range(4) for f in range(3)] + [(0, 1), (0, 2), (2, 0)] + [(0, 1), (2, 0)] + [(2, 0)])
