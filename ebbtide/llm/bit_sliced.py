@@ -12,9 +12,12 @@ surely in or surely out, and those that tie at the boundary are resolved exactly
 by the smaller id. Every block gives its best k for each query, and a ranking
 over blocks gives the answer.
 
-Rows meet queries in blocks: index blocks are sent once for each block of
-``QUERY_BLOCK`` queries by an equi-join on the number of the query block; nothing
-is broadcast and no row pair is ever made.
+Rows are dealt out evenly, and each partition streams into one block of the index,
+which is a single row of bitmaps. The queries go to the blocks as single rows: a
+partition receives one block, and after it its queries in small batches. A block
+has as many copies as it takes to keep all cores at work, each with a share of the
+queries. So a task holds one block and one batch, however large the tables are;
+nothing is broadcast and no row pair is ever made.
 
 Nulls, edges: a vector that is null, or holds a null or a non-finite component,
 is neither candidate nor query; so is a row without id. Vectors of fewer
@@ -26,6 +29,7 @@ columns are read.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,7 +39,10 @@ from pyspark.sql import functions as F
 
 from ebbtide.llm import common
 
-ROW_BLOCK, QUERY_BLOCK = 1 << 16, 128
+#: Most rows of an index block, and most bytes of its integers.
+ROW_BLOCK, BLOCK_BYTES = 1 << 16, 1 << 25
+#: Queries that are worth a copy of an index block where cores are idle, and most queries of one copy.
+QUERY_BLOCK, MOST_QUERIES = 128, 1 << 14
 
 
 def to_integers(df: DataFrame, id_col: str, vec_col: str, scale: int) -> DataFrame:
@@ -66,18 +73,35 @@ class Slices:
 
     def __init__(self, ids: np.ndarray, rows: np.ndarray):
         order = np.argsort(ids, kind="stable")
-        self.ids, rows = ids[order], rows[order]
+        self.ids = ids[order]
         self.n, self.dims = rows.shape
         self.words = (self.n + 63) // 64
         self.low = rows.min(axis=0)
         self.high = rows.max(axis=0)
         self.slices: list[list[np.ndarray]] = []
         for d in range(self.dims):
-            u = (rows[:, d] - self.low[d]).astype(np.uint64)
+            u = (rows[:, d][order] - self.low[d]).astype(np.uint64)
             bits = int(self.high[d] - self.low[d]).bit_length()
             self.slices.append([self._pack((u >> np.uint64(b)) & np.uint64(1)) for b in range(bits)])
         self.full = self._pack(np.ones(self.n, np.uint8))
 
+    def to_bytes(self) -> bytes:
+        """Rows and dimensions, ids, least and greatest values, then all bitmaps."""
+        parts = [np.array([self.n, self.dims], np.int64), self.ids, self.low, self.high]
+        return b"".join(part.tobytes() for part in (*parts, *(s for column in self.slices for s in column)))
+
+    @classmethod
+    def from_bytes(cls, data) -> Slices:
+        words = np.frombuffer(data, np.int64)
+        self = cls.__new__(cls)
+        self.n, self.dims = words[:2].tolist()
+        self.words = (self.n + 63) // 64
+        self.ids, self.low, self.high, flat = np.split(words[2:], np.cumsum([self.n, self.dims, self.dims]))
+        bitmaps = iter(flat.view(np.uint64).reshape(-1, self.words))
+        self.slices = [[next(bitmaps) for _ in range(int(high - low).bit_length())] for low, high in zip(self.low, self.high, strict=True)]
+        self.full = self._pack(np.ones(self.n, np.uint8))
+        return self
+
     def _pack(self, bits: np.ndarray) -> np.ndarray:
         packed = np.zeros(self.words * 8, np.uint8)
         got = np.packbits(bits.astype(np.uint8), bitorder="little")
@@ -152,33 +176,53 @@ class Slices:
         return np.flatnonzero(np.unpackbits(bitmap.view(np.uint8), count=self.n, bitorder="little"))
 
 
-def _blocks(df: DataFrame, size: int, name: str) -> DataFrame:
-    """Rows gathered into blocks of about ``size``: block, ids, vectors end to end."""
-    parts = max(1, -(-df.count() // size))
-    return (
-        df.withColumn(name, F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int"))
-        .groupBy(name)
-        .agg(F.collect_list(F.struct("id", "v")).alias("rows"))
-    )
+def _spread(blocks: int, queries: int, cores: int) -> int:
+    """Copies of each index block: enough to bound the queries of one, and to keep
+    the cores at work where a copy still gets ``QUERY_BLOCK`` queries."""
+    return max(1, -(-queries // MOST_QUERIES), min(-(-3 * cores // blocks), -(-queries // QUERY_BLOCK)))
 
 
 def top_k(df: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_id", vec_col: str = "embedding", scale: int = 1024) -> DataFrame:
     """query_id, rank, the id and the integer score of the k best rows for each query."""
     common.ship(df.sparkSession)
-    asked = _blocks(to_integers(queries, id_col, vec_col, scale), QUERY_BLOCK, "ask")
-    held = _blocks(to_integers(df, id_col, vec_col, scale), ROW_BLOCK, "block")
-    n_ask = max(1, -(-to_integers(queries, id_col, vec_col, scale).count() // QUERY_BLOCK))
-    sent = held.select("rows", F.explode(F.sequence(F.lit(0), F.lit(n_ask - 1))).alias("ask"))
-    pairs = sent.join(asked.select("ask", F.col("rows").alias("queries")), "ask").select("rows", "queries")
+    held, asked = (to_integers(x, id_col, vec_col, scale) for x in (df, queries))
+    n, wide = held.agg(F.count(F.lit(1)), F.max(F.size("v"))).first()
+    blocks = max(1, -(-n // max(1, min(ROW_BLOCK, BLOCK_BYTES // (8 * max(wide or 0, 1))))))
+    copies = _spread(blocks, asked.count(), df.sparkSession.sparkContext.defaultParallelism)
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, ids, parts = 0, [], []
+        for batch in batches:
+            if batch.num_rows:
+                block = batch.column("block")[0].as_py()
+                ids.append(np.array(batch.column("id")))
+                parts.append(_matrix(batch.column("v")))
+        if ids:
+            rows = np.zeros((sum(map(len, ids)), max(p.shape[1] for p in parts)), np.int64)
+            at = len(rows)
+            while parts:
+                part = parts.pop()
+                at -= len(part)
+                rows[at : at + len(part), : part.shape[1]] = part
+            index = Slices(np.concatenate(ids), rows).to_bytes()
+            del rows
+            yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([index], pa.binary())], ["block", "index"])
+        common.trim()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        index, held_unit = None, None
         for batch in batches:
-            for i in range(batch.num_rows):
-                rows, queries = (batch.column(c).slice(i, 1).flatten() for c in (0, 1))
-                index = Slices(np.asarray(rows.field("id")), _matrix(rows.field("v")))
-                names, vectors = np.asarray(queries.field("id")), _matrix(queries.field("v"))
+            units = np.asarray(batch.column("unit"))
+            cuts = np.flatnonzero(np.diff(units)) + 1
+            for start, end in itertools.pairwise([0, *cuts.tolist(), batch.num_rows]):
+                asks = batch.slice(start, end - start)
+                if asks.num_rows and asks.column("index")[0].is_valid:  # a block goes before its queries
+                    index, held_unit = Slices.from_bytes(asks.column("index")[0].as_buffer()), units[start]
+                    asks = asks.slice(1)
+                if not asks.num_rows or units[start] != held_unit:  # a block may have got no rows
+                    continue
                 out: list[tuple[int, np.ndarray, np.ndarray]] = []
-                for q, v in zip(names.tolist(), vectors, strict=True):
+                for q, v in zip(asks.column("id").to_pylist(), _matrix(asks.column("v")), strict=True):
                     at, score = index.best(v, q, k)
                     out.append((q, index.ids[at], score))
                 yield pa.RecordBatch.from_arrays(
@@ -190,7 +234,18 @@ def top_k(df: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_id"
                     ["query_id", "vec_id", "score"],
                 )
 
-    best = pairs.mapInArrow(run, "query_id long, vec_id long, score long")
+    index = held.repartition(blocks).withColumn("block", F.spark_partition_id()).mapInArrow(build, "block int, index binary")
+    index = index.select(
+        F.explode(F.sequence(F.col("block") * copies, F.col("block") * copies + (copies - 1))).alias("unit"), "index",
+        F.lit(None).cast("long").alias("id"), F.lit(None).cast("array<bigint>").alias("v"),
+    )
+    share = F.pmod(F.xxhash64("id", "v"), F.lit(copies)).cast("int")
+    asks = asked.withColumn("share", share).select(
+        F.explode(F.sequence(F.col("share"), F.col("share") + (blocks - 1) * copies, F.lit(copies))).alias("unit"),
+        F.lit(None).cast("binary").alias("index"), "id", "v",
+    )
+    dealt = index.unionByName(asks).repartitionById(blocks * copies, "unit").sortWithinPartitions("unit", F.col("index").isNull())
+    best = dealt.mapInArrow(run, "query_id long, vec_id long, score long")
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return best.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
