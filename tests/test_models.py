@@ -362,3 +362,25 @@ def test_a_fold_whose_fit_has_ended_is_not_fitted_again(spark, monkeypatch):
     assert len(rungs) == 12 + 3 * 6
     again = sorted((t, f) for t, f, _ in trials.fits)
     assert again == sorted([(t, f) for t in range(4) for f in range(3)] + [(0, 1), (0, 2), (2, 0)] + [(0, 1), (2, 0)] + [(2, 0)])
+
+
+def test_the_workbench_makes_its_table_once(spark):
+    from ebbtide.registry.workbench import Workbench
+
+    mart, made = _counted(spark, 60)
+    bench = Workbench(mart)
+    assert [part.count() for part in (*bench.split, bench.mart, bench.mart)] == [48, 12, 60, 60]
+    assert made.value == 60
+
+
+def test_the_next_period_is_the_table_of_the_workbench(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from ebbtide.registry import spark_queries
+
+    kept = SimpleNamespace(value=lambda _: {"best_params": {}, "best_round": 1})
+    bench = SimpleNamespace(mart=object(), kept=kept)
+    monkeypatch.setattr(spark_queries, "_bench", lambda *_: bench)
+    monkeypatch.setattr(spark_queries, "_mart", lambda *_: None)
+    monkeypatch.setattr(experiments, "temporal_experiment", lambda earlier, later, *_: {"drift": later})
+    assert spark_queries.temporal_experiment(spark, "/none") is bench.mart
