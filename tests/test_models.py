@@ -2,6 +2,7 @@
 
 import math
 import random
+import threading
 
 import numpy as np
 import pytest
@@ -384,3 +385,30 @@ def test_the_next_period_is_the_table_of_the_workbench(spark, monkeypatch):
     monkeypatch.setattr(spark_queries, "_mart", lambda *_: None)
     monkeypatch.setattr(experiments, "temporal_experiment", lambda earlier, later, *_: {"drift": later})
     assert spark_queries.temporal_experiment(spark, "/none") is bench.mart
+
+
+def test_scores_are_made_once_for_both_recalibrations(spark):
+    from ebbtide.registry.spark_queries import _recalibrations
+
+    rows, made = _counted(spark, 60)
+    earlier = rows.select("msno", F.col("is_churn").alias("y_true"), ((F.col("x") + 1) / 9).alias("y_prob"))
+    isotonic, platt = _recalibrations(earlier, earlier.limit(0))
+    assert (isotonic.count(), platt.count(), platt.where("y_prob_cal > 0").count()) == (0, 60, 60)
+    assert made.value == 60
+
+
+def test_the_fits_of_the_folds_run_at_once(rows, monkeypatch):
+    meet, plain = threading.Barrier(3, timeout=120), tuning.tree_learner
+
+    class Learner:
+        def __init__(self, *given):
+            self.learner = plain(*given)
+
+        def fit(self, df):
+            meet.wait()
+            return self.learner.fit(df)
+
+    study = {"folds": 3, "seed": 42, "best_params": {"maxDepth": 2}, "best_round": 2}
+    alone = [r.log_loss for r in tuning.fold_losses(rows, FEATURES, study).orderBy("fold").collect()]
+    monkeypatch.setattr(tuning, "tree_learner", Learner)
+    assert [r.log_loss for r in tuning.fold_losses(rows, FEATURES, study).orderBy("fold").collect()] == pytest.approx(alone, abs=1e-12)
