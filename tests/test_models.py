@@ -412,3 +412,16 @@ def test_the_fits_of_the_folds_run_at_once(rows, monkeypatch):
     alone = [r.log_loss for r in tuning.fold_losses(rows, FEATURES, study).orderBy("fold").collect()]
     monkeypatch.setattr(tuning, "tree_learner", Learner)
     assert [r.log_loss for r in tuning.fold_losses(rows, FEATURES, study).orderBy("fold").collect()] == pytest.approx(alone, abs=1e-12)
+
+
+def test_the_fits_of_an_ablation_run_at_once(rows, monkeypatch):
+    meet, plain = threading.Barrier(3, timeout=120), experiments.fit_trees
+
+    def fit(*given, **named):
+        meet.wait()
+        return plain(*given, **named)
+
+    monkeypatch.setattr(experiments, "fit_trees", fit)
+    table = rows.select("*", *[F.col("age").alias(c) for c in prepare.SUBSCRIPTION])
+    runs = {r.run: r.n_features for r in experiments.ablation(table, {"maxDepth": 2}, 2, split=(table, table)).collect()}
+    assert runs == {"full": 8, "no_subscription": 5, "behaviour_only": 4}
